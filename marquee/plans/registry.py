@@ -6,6 +6,7 @@ import importlib
 
 MODULES = (
     "marquee.plans.events_queries",
+    "marquee.plans.commerce_queries",
 )
 
 
