@@ -7,6 +7,8 @@ import importlib
 MODULES = (
     "marquee.plans.events_queries",
     "marquee.plans.commerce_queries",
+    "marquee.plans.flights_queries",
+    "marquee.plans.delivery_queries",
 )
 
 

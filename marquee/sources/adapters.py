@@ -13,14 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marquee.sources.tables import table
 
+_BODY = ("'{\"username\":\"user' || CAST(user_id AS STRING) || '\",\"password\":\"pw' "
+         "|| CAST(event_id AS STRING) || '\",\"note\":\"' || event_type || '\"}'")
+
 DIALECT = {
     "spark": {
         "json_k": "get_json_object(props, '$.k')",
+        "body": _BODY,
         "departs": "CAST(date_add(DATE '2026-04-01', CAST(p_partkey % 30 AS INT)) AS TIMESTAMP_NTZ)"
                    " + make_dt_interval(0, CAST(p_partkey % 24 AS INT), 0, 0)",
     },
     "duckdb": {
         "json_k": "json_extract_string(props, '$.k')",
+        "body": _BODY,
         "departs": "CAST(DATE '2026-04-01' + CAST(p_partkey % 30 AS INT) AS TIMESTAMP)"
                    " + to_hours(CAST(p_partkey % 24 AS INT))",
     },
@@ -191,6 +196,20 @@ VIEWS: dict[str, dict] = {
             ("opt_out_marketing", "c_custkey % 3 = 0"),
         ],
     },
+    # logged request bodies over events: compact JSON, every 11th cut short
+    "request_bodies": {
+        "base": "events",
+        "cols": [
+            ("request_id", "event_id"),
+            ("body", "CASE WHEN event_id % 11 = 0 THEN substr(" + "{body}" + ", 1, 20) ELSE {body} END"),
+        ],
+    },
+    # receipts from the app: present unless event_id % 10 = 0
+    "receipts": {
+        "base": "events",
+        "where": "event_id % 10 <> 0",
+        "cols": [("attempt_id", "event_id"), ("shown_at", "ts")],
+    },
     # request log over events (endpoint = type)
     "request_log": {
         "base": "events",
