@@ -14,11 +14,11 @@ the state), so it is computed as a composition of per-chunk transfer tables:
    find each chunk's real starting seats;
 4. every chunk is replayed once from its real start to label its requests.
 
-A booking reference seen in an earlier chunk makes a later request a no-op
-only if it was accepted there; the tables are first built assuming it was
-not, and the few chunks whose assumption turns out wrong are rebuilt with
-the corrected flags (repeat until stable; each round fixes at least the
-earliest wrong chunk, normally zero or one round is needed).
+Whether a repeated booking reference is a no-op depends on its earlier
+outcome, so a chunk must see every request of a reference: chunks spanned by
+one reference are merged first (interval merging over the per-flight list of
+chunks).  Retries sit close together in time, so merges stay small; the fold
+stays exact when they do not.
 """
 
 from __future__ import annotations
@@ -94,154 +94,171 @@ def bookings_newest(bookings: DataFrame) -> DataFrame:
 # Seat admission (H1) and release (H2)
 # ---------------------------------------------------------------------------
 
-def _fold(seats0: np.ndarray, kinds, refs, qty, holding0: set, record: bool = False):
-    """Run one chunk for a vector of starting seat counts.
-
-    ``holding0``: refs holding seats when the chunk starts.  Returns the final
-    seats per start state and, with ``record`` (single start state), the
-    status and seats left after each request."""
+def _fold(seats0: np.ndarray, kinds, refs, qty):
+    """Run one chunk for a vector of starting seat counts; returns the final
+    seats per start state (the chunk's transfer table)."""
     s = seats0.astype(np.int64).copy()
     m = len(s)
     holding: dict = {}   # ref -> bool vector per start state
     held_qty: dict = {}  # ref -> seats held per start state
-    status, left = [], []
     for k, r, q in zip(kinds, refs, qty):
         h = holding.get(r)
         if h is None:
-            h = np.full(m, r in holding0)
+            h = np.zeros(m, dtype=bool)
         if k == "RELEASE":
             s = s + np.where(h, held_qty.get(r, np.full(m, q)), 0)
             holding[r] = np.zeros(m, dtype=bool)
-            st = "RELEASED" if h[0] else "NOT_HELD"
         else:
             acc = (~h) & (s >= q)
             s = s - np.where(acc, q, 0)
             holding[r] = h | acc
             held_qty[r] = np.where(acc, q, held_qty.get(r, np.zeros(m, dtype=np.int64)))
-            st = "DUPLICATE" if h[0] else ("ACCEPTED" if acc[0] else "REJECTED")
-        if record:
-            status.append(st)
-            left.append(int(s[0]))
-    return s, status, left
-
-
-def _groups(pdf: pd.DataFrame, keys: list[str]):
-    """Yield (key tuple, sub-frame) for a frame sorted by ``keys``."""
-    if pdf.empty:
-        return
-    kv = pdf[keys].to_numpy()
-    cut = np.flatnonzero((kv[1:] != kv[:-1]).any(axis=1)) + 1
-    bounds = np.concatenate([[0], cut, [len(pdf)]])
-    for i in range(len(bounds) - 1):
-        yield tuple(kv[bounds[i]]), pdf.iloc[bounds[i]:bounds[i + 1]]
-
-
-def _held(x) -> set:
-    return set(x) if isinstance(x, (list, np.ndarray)) else set()
+    return s
 
 
-def seat_admission(requests: DataFrame, flights: DataFrame, chunk: F.Column = None,
-                   max_rounds: int = 20) -> DataFrame:
+def _fold_one(s: int, kinds, refs, qty):
+    """The same fold for one known starting state, in plain Python."""
+    holding = set()
+    held_qty: dict = {}
+    status, left = [], []
+    for k, r, q in zip(kinds, refs, qty):
+        q = int(q)
+        if k == "RELEASE":
+            if r in holding:
+                s += held_qty.get(r, q)
+                holding.discard(r)
+                status.append("RELEASED")
+            else:
+                status.append("NOT_HELD")
+        elif r in holding:
+            status.append("DUPLICATE")
+        elif s >= q:
+            s -= q
+            holding.add(r)
+            held_qty[r] = q
+            status.append("ACCEPTED")
+        else:
+            status.append("REJECTED")
+        left.append(s)
+    return status, left
+
+
+def _bounds(*keys: np.ndarray) -> np.ndarray:
+    """Start/end offsets of runs of equal keys in arrays sorted by them."""
+    n = len(keys[0])
+    if n == 0:
+        return np.array([0])
+    change = np.zeros(n - 1, dtype=bool)
+    for k in keys:
+        change |= k[1:] != k[:-1]
+    return np.concatenate([[0], np.flatnonzero(change) + 1, [n]])
+
+
+def _merged_chunks(slim: DataFrame) -> DataFrame:
+    """(flight_id, chunk) -> block: consecutive chunks joined by a booking
+    reference that occurs in both are merged into one block."""
+    span = (slim.groupBy("flight_id", "booking_ref")
+            .agg(F.min("chunk").alias("chunk"), F.max("chunk").alias("last")))
+    reach = span.groupBy("flight_id", "chunk").agg(F.max("last").alias("last"))
+    chunks = (slim.select("flight_id", "chunk").distinct()
+              .join(reach, ["flight_id", "chunk"], "left")
+              .withColumn("last", F.coalesce("last", "chunk")))
+    w = Window.partitionBy("flight_id").orderBy("chunk")
+    prev = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    starts = chunks.withColumn("__new", F.when(prev.isNull() | (F.col("chunk") > prev), 1).otherwise(0))
+    return starts.select("flight_id", "chunk",
+                         F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")
+                         .alias("block"))
+
+
+def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 4096,
+                   bucket: F.Column = None) -> DataFrame:
     """H1 (and H2 when ``requests`` has ``kind`` = RELEASE rows): status of
     every request -- ACCEPTED, REJECTED, DUPLICATE (ref already holding),
     RELEASED / NOT_HELD -- and ``seats_left`` after it.
 
     Requests need ``flight_id, booking_ref, seats`` and the ordering columns
     of ``REQ_ORDER``; a booking_ref is expected on one flight only (V7).
-    ``chunk`` must be non-decreasing in request order (default: the day)."""
-    from marquee.session import scratch_path
-
+    Chunks hold ``chunk_rows`` consecutive requests of a flight, numbered by
+    a running count that is itself split by ``bucket`` (default: the day of
+    the request).  The result is one lazy plan, no driver loop."""
     spark = requests.sparkSession
     nb = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) * 4)
     if "kind" not in requests.columns:
         requests = requests.withColumn("kind", F.lit("RESERVE"))
-    chunk = chunk if chunk is not None else F.unix_date(F.to_date("req_ts")).cast("long")
-    order_cols = [c for c in REQ_ORDER if c in requests.columns]
+    bucket = bucket if bucket is not None else F.unix_date(F.to_date("req_ts"))
+    order_cols = [c for c in REQ_ORDER if c in requests.columns] + ["kind", "booking_ref"]
     cap = flights.select("flight_id", F.col("total_seats").cast("long").alias("cap"))
-    w = Window.partitionBy("flight_id", "chunk").orderBy(*order_cols, "kind", "booking_ref")
     req = (requests.join(cap, "flight_id")
-           .withColumn("chunk", chunk.cast("long"))
-           .withColumn("rank", F.row_number().over(w).cast("long")))
-    path0 = scratch_path(spark, "seat-requests")
-    req.write.parquet(path0)  # fixed numbering, read by every pass
-    req = spark.read.parquet(path0)
-    slim = req.select("flight_id", "chunk", "rank", "cap", "kind", "booking_ref",
-                      F.col("seats").cast("long").alias("seats"))
-
-    # refs that also occur in an earlier chunk of the same flight
-    first = slim.groupBy("flight_id", "booking_ref").agg(F.min("chunk").alias("first_chunk"))
-    carried = (slim.join(first, ["flight_id", "booking_ref"]).where(F.col("chunk") > F.col("first_chunk"))
-               .select("flight_id", "chunk", "booking_ref").distinct())
-    assumed = carried.withColumn("held", F.lit(False))
-
-    def with_held(df: DataFrame, assume: DataFrame) -> DataFrame:
-        held = (assume.where("held").groupBy("flight_id", "chunk")
-                .agg(F.collect_list("booking_ref").alias("held_refs")))
-        return (df.join(held, ["flight_id", "chunk"], "left")
-                .withColumn("__bucket", F.pmod(F.xxhash64("flight_id", "chunk"), F.lit(nb))))
-
-    def tables(assume: DataFrame) -> DataFrame:
-        def build(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(["flight_id", "chunk", "rank"])
-            out = []
-            for (fid, ch), g in _groups(pdf, ["flight_id", "chunk"]):
-                c = int(g["cap"].iloc[0])
-                s, _, _ = _fold(np.arange(c + 1), g["kind"].tolist(), g["booking_ref"].tolist(),
-                                g["seats"].to_numpy(), _held(g["held_refs"].iloc[0]))
-                out.append((int(fid), int(ch), s.astype(np.int64).tolist()))
-            return pd.DataFrame(out, columns=["flight_id", "chunk", "table"])
-        return (with_held(slim, assume).groupBy("__bucket")
-                .applyInPandas(build, "flight_id long, chunk long, table array<long>"))
-
-    def starts(tabs: DataFrame) -> DataFrame:
-        def comp(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(["flight_id", "chunk"])
-            out = []
-            for (fid,), g in _groups(pdf, ["flight_id"]):
-                s = int(g["cap"].iloc[0])
-                for ch, tab in zip(g["chunk"], g["table"]):
-                    out.append((int(fid), int(ch), s))
-                    s = int(tab[s])
-            return pd.DataFrame(out, columns=["flight_id", "chunk", "start"])
-        t = tabs.join(cap, "flight_id").withColumn("__bucket", F.pmod(F.xxhash64("flight_id"), F.lit(nb)))
-        return t.groupBy("__bucket").applyInPandas(comp, "flight_id long, chunk long, start long")
-
-    def replay(st: DataFrame, assume: DataFrame) -> DataFrame:
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(["flight_id", "chunk", "rank"])
-            parts = []
-            for _, g in _groups(pdf, ["flight_id", "chunk"]):
-                _, stat, left = _fold(np.array([int(g["start"].iloc[0])]), g["kind"].tolist(),
-                                      g["booking_ref"].tolist(), g["seats"].to_numpy(),
-                                      _held(g["held_refs"].iloc[0]), record=True)
-                parts.append(pd.DataFrame({"flight_id": g["flight_id"].to_numpy(), "chunk": g["chunk"].to_numpy(),
-                                           "rank": g["rank"].to_numpy(), "status": stat, "seats_left": left}))
-            if not parts:
-                return pd.DataFrame({"flight_id": [], "chunk": [], "rank": [], "status": [], "seats_left": []})
-            return pd.concat(parts, ignore_index=True)
-        d = with_held(slim.join(st, ["flight_id", "chunk"]), assume)
-        return d.groupBy("__bucket").applyInPandas(
-            run, "flight_id long, chunk long, rank long, status string, seats_left long")
-
-    for _ in range(max_rounds):
-        lab = replay(starts(tables(assumed)), assumed)
-        path = scratch_path(spark, "seat-labels")
-        lab.write.parquet(path)  # lineage cut: the labels feed the check and the result
-        lab = spark.read.parquet(path)
-        moves = (lab.where(F.col("status").isin("ACCEPTED", "RELEASED"))
-                 .join(slim.select("flight_id", "chunk", "rank", "booking_ref"), ["flight_id", "chunk", "rank"])
-                 .select("flight_id", "booking_ref", F.col("chunk").alias("m_chunk"),
-                         F.when(F.col("status") == "ACCEPTED", 1).otherwise(-1).alias("d")))
-        truth = (carried.join(moves, ["flight_id", "booking_ref"], "left")
-                 .withColumn("d", F.when(F.col("m_chunk") < F.col("chunk"), F.col("d")).otherwise(0))
-                 .groupBy("flight_id", "chunk", "booking_ref")
-                 .agg((F.sum("d") > 0).alias("held")))
-        wrong = (truth.join(assumed.withColumnRenamed("held", "was"), ["flight_id", "chunk", "booking_ref"])
-                 .where(F.col("held") != F.col("was")))
-        if wrong.isEmpty():
-            break
-        assumed = truth
-    else:
-        raise RuntimeError("seat admission did not settle")
-    return (req.join(lab, ["flight_id", "chunk", "rank"])
-            .drop("chunk", "rank", "cap"))
+           .withColumn("seats", F.col("seats").cast("long")))
+    req = running_totals(req, ["flight_id"], [F.col(c) for c in order_cols],
+                         {"__seq": F.lit(1).cast("long")}, bucket)
+    req = req.withColumn("chunk", F.floor((F.col("__seq") - 1) / F.lit(chunk_rows)).cast("long")).drop("__seq")
+    blocks = _merged_chunks(req.select("flight_id", "booking_ref", "chunk"))
+    req = req.join(blocks, ["flight_id", "chunk"]).drop("chunk").withColumnRenamed("block", "chunk")
+    slim = req.select("flight_id", "chunk", "cap", *order_cols, "seats")
+    slim = slim.select(*dict.fromkeys(slim.columns))
+    sort_keys = ["flight_id", "chunk", *order_cols]
+
+    def bucketed(df: DataFrame, *keys) -> DataFrame:
+        return df.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(nb)))
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(sort_keys, kind="stable")
+        fid, ch = pdf["flight_id"].to_numpy(), pdf["chunk"].to_numpy()
+        kinds, refs = pdf["kind"].to_numpy(), pdf["booking_ref"].to_numpy()
+        qty, caps = pdf["seats"].to_numpy(), pdf["cap"].to_numpy()
+        b = _bounds(fid, ch)
+        out = []
+        for i in range(len(b) - 1):
+            lo, hi = b[i], b[i + 1]
+            c = int(caps[lo])
+            s = _fold(np.arange(c + 1), kinds[lo:hi], refs[lo:hi], qty[lo:hi])
+            # seats never exceed capacity on a real trajectory; clip the
+            # unreachable start states so the table stays in range
+            out.append((int(fid[lo]), int(ch[lo]), int(c), np.clip(s, 0, c).astype(np.int64).tolist()))
+        return pd.DataFrame(out, columns=["flight_id", "chunk", "cap", "table"])
+
+    tables = (bucketed(slim, "flight_id", "chunk").groupBy("__bucket")
+              .applyInPandas(build, "flight_id long, chunk long, cap long, table array<long>"))
+
+    def comp(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["flight_id", "chunk"])
+        fid, ch = pdf["flight_id"].to_numpy(), pdf["chunk"].to_numpy()
+        caps, tabs_ = pdf["cap"].to_numpy(), pdf["table"].to_numpy()
+        b = _bounds(fid)
+        start = np.empty(len(pdf), dtype=np.int64)
+        for i in range(len(b) - 1):
+            s = int(caps[b[i]])
+            for j in range(b[i], b[i + 1]):
+                start[j] = s
+                s = int(tabs_[j][s])
+        return pd.DataFrame({"flight_id": fid, "chunk": ch, "start": start})
+
+    starts = (bucketed(tables, "flight_id").groupBy("__bucket")
+              .applyInPandas(comp, "flight_id long, chunk long, start long"))
+
+    keep = [c for c in requests.columns if c not in ("cap",)]
+    fields = {f.name: f for f in req.schema.fields}
+    out_schema = T.StructType([fields[c] for c in keep] + [
+        T.StructField("status", T.StringType()), T.StructField("seats_left", T.LongType())])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(sort_keys, kind="stable")
+        fid, ch = pdf["flight_id"].to_numpy(), pdf["chunk"].to_numpy()
+        kinds, refs = pdf["kind"].to_numpy(), pdf["booking_ref"].to_numpy()
+        qty, st = pdf["seats"].to_numpy(), pdf["start"].to_numpy()
+        b = _bounds(fid, ch)
+        status, left = [], []
+        for i in range(len(b) - 1):
+            lo, hi = b[i], b[i + 1]
+            s_, l_ = _fold_one(int(st[lo]), kinds[lo:hi], refs[lo:hi], qty[lo:hi])
+            status += s_
+            left += l_
+        res = pdf[keep].copy()
+        res["status"] = status
+        res["seats_left"] = np.asarray(left, dtype=np.int64)
+        return res
+
+    lab = bucketed(req.join(starts, ["flight_id", "chunk"]), "flight_id", "chunk")
+    return lab.groupBy("__bucket").applyInPandas(run, out_schema)

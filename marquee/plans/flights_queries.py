@@ -80,16 +80,16 @@ fold AS (
   FROM req GROUP BY flight_id
   UNION ALL
   SELECT r.flight_id, r.rn,
-    CASE WHEN r.kind = 'RELEASE' THEN f.seats_left + COALESCE(list_filter(f.held, x -> x.ref = r.booking_ref)[1].q, 0)
-         WHEN len(list_filter(f.held, x -> x.ref = r.booking_ref)) > 0 THEN f.seats_left
+    CASE WHEN r.kind = 'RELEASE' THEN f.seats_left + COALESCE(list_filter(f.held, lambda x: x.ref = r.booking_ref)[1].q, 0)
+         WHEN len(list_filter(f.held, lambda x: x.ref = r.booking_ref)) > 0 THEN f.seats_left
          WHEN f.seats_left >= r.seats THEN f.seats_left - r.seats ELSE f.seats_left END,
-    CASE WHEN r.kind = 'RELEASE' THEN list_filter(f.held, x -> x.ref <> r.booking_ref)
-         WHEN len(list_filter(f.held, x -> x.ref = r.booking_ref)) > 0 THEN f.held
+    CASE WHEN r.kind = 'RELEASE' THEN list_filter(f.held, lambda x: x.ref <> r.booking_ref)
+         WHEN len(list_filter(f.held, lambda x: x.ref = r.booking_ref)) > 0 THEN f.held
          WHEN f.seats_left >= r.seats THEN list_append(f.held, {{'ref': r.booking_ref, 'q': CAST(r.seats AS BIGINT)}})
          ELSE f.held END,
     CASE WHEN r.kind = 'RELEASE' THEN
-              CASE WHEN len(list_filter(f.held, x -> x.ref = r.booking_ref)) > 0 THEN 'RELEASED' ELSE 'NOT_HELD' END
-         WHEN len(list_filter(f.held, x -> x.ref = r.booking_ref)) > 0 THEN 'DUPLICATE'
+              CASE WHEN len(list_filter(f.held, lambda x: x.ref = r.booking_ref)) > 0 THEN 'RELEASED' ELSE 'NOT_HELD' END
+         WHEN len(list_filter(f.held, lambda x: x.ref = r.booking_ref)) > 0 THEN 'DUPLICATE'
          WHEN f.seats_left >= r.seats THEN 'ACCEPTED' ELSE 'REJECTED' END
   FROM fold f JOIN req r ON r.flight_id = f.flight_id AND r.rn = f.rn + 1)
 SELECT {cols}, f.status, f.seats_left
@@ -132,7 +132,7 @@ def _requests_with_flag(spark, sf):
       "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS booking_ref, "
       "CAST(l_quantity AS INT) AS seats, l_shipdate AS req_ts, l_orderkey AS order_id, l_linenumber AS line_no, "
       "l_suppkey AS supplier_id, l_extendedprice AS extendedprice, l_returnflag AS returnflag FROM lineitem), "
-      "reqs AS (SELECT * EXCLUDE (returnflag), 'RESERVE' AS kind FROM sr UNION ALL "
+      "reqs AS (SELECT * EXCLUDE (returnflag), 'RESERVE' AS kind FROM sr UNION ALL BY NAME "
       "SELECT * EXCLUDE (returnflag, req_ts), req_ts + INTERVAL 1 DAY AS req_ts, 'RELEASE' AS kind FROM sr "
       "WHERE returnflag = 'R')"))
 def q_seat_release(spark, sf):
