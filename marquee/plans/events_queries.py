@@ -201,3 +201,44 @@ SELECT event_id,
 FROM movie_events""")
 def q_event_quarantine(spark, sf):
     return Q.validate_events(_ev(spark, sf)).select("event_id", "valid")
+
+
+_NOON = ", noon_events AS (SELECT * FROM movie_events WHERE event_time < CAST(event_date AS TIMESTAMP) + INTERVAL 12 HOUR)"
+
+
+@register("latest_metrics", EV + _NOON + ",\nm1 AS (" + _DAILY_SQL.replace("{src}", "noon_events") + "),\nm2 AS ("
+          + _DAILY_SQL.replace("{src}", "movie_events") + """),
+store AS (SELECT metric_date, metric_name, extra FROM m2
+          UNION ALL
+          SELECT metric_date, metric_name, extra FROM m1
+          WHERE (metric_date, metric_name, extra) NOT IN (SELECT (metric_date, metric_name, extra) FROM m2)),
+v AS (SELECT metric_date, metric_name, COUNT(*) AS versions FROM store GROUP BY metric_date, metric_name)
+SELECT m2.metric_date, m2.metric_name, m2.metric_value, m2.extra, v.versions
+FROM m2 JOIN v USING (metric_date, metric_name)""")
+def q_latest_metrics(spark, sf):
+    from marquee.operators import stores as ST
+    ev = _ev(spark, sf)
+    noon = ev.where(F.col("event_time") < F.col("event_date").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS"))
+    day_ts = F.col("metric_date").cast("timestamp_ntz")
+    run1 = M.daily_metrics(noon).withColumn("updated_at", day_ts + F.expr("INTERVAL 12 HOURS"))
+    run2 = M.daily_metrics(ev).withColumn("updated_at", day_ts + F.expr("INTERVAL 25 HOURS"))
+    store = ST.merge_rows(run1, run2, ST.METRIC_KEY, "updated_at")
+    return ST.latest_metrics(store).drop("updated_at")
+
+
+@register("export_union", EV + _ACT + ",\nmetrics AS (" + _DAILY_SQL.replace("{src}", "movie_events") + """),
+top AS (SELECT metric_date, movie_id, rank_pos, view_count FROM (
+  SELECT event_date AS metric_date, movie_id, view_count,
+         ROW_NUMBER() OVER (PARTITION BY event_date ORDER BY view_count DESC, movie_id) AS rank_pos
+  FROM (SELECT event_date, movie_id, COUNT(*) AS view_count FROM movie_events
+        WHERE event_type = 'VIEW_STARTED' GROUP BY event_date, movie_id)) WHERE rank_pos <= 10),
+ret AS (SELECT a.cohort_date, a.day_offset, s.cohort_size AS cohort_total, COUNT(*) AS returned,
+               COUNT(*) / s.cohort_size AS retention_pct
+        FROM activity a JOIN sizes s USING (cohort_date) GROUP BY a.cohort_date, a.day_offset, s.cohort_size)
+SELECT 'metrics' AS "table", * FROM metrics
+UNION ALL BY NAME SELECT 'top_movies' AS "table", * FROM top
+UNION ALL BY NAME SELECT 'retention' AS "table", * FROM ret""")
+def q_export_union(spark, sf):
+    from marquee.operators import export as X
+    ev = _ev(spark, sf)
+    return X.export_union(M.daily_metrics(ev), M.top_movies_daily(ev), R.retention_long(ev))
