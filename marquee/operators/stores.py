@@ -52,7 +52,10 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, keys: list[str], ts: str,
            part: str) -> None:
-    """K3 / K5: upsert ``new`` into the table at ``path`` partitioned by ``part``."""
+    """K3 / K5: upsert ``new`` into the table at ``path`` partitioned by ``part``.
+    No new rows: nothing changes."""
+    if new.isEmpty():
+        return
     if path_exists(spark, path):
         touched = new.select(part).distinct()
         old = spark.read.parquet(path).join(touched, part, "left_semi")

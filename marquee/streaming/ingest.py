@@ -98,7 +98,9 @@ def write_raw_batch(events: DataFrame, raw_path: str) -> None:
 def dedup(stream: DataFrame, key: str = "event_id", within: str = "24 hours",
           ts: str = "event_time") -> DataFrame:
     """Drop repeats of ``key`` arriving within ``within`` of each other;
-    the watermark bounds the state."""
+    the watermark bounds the state.  A batch frame is deduplicated whole."""
+    if not stream.isStreaming:
+        return stream.dropDuplicates([key])
     return stream.withWatermark(ts, within).dropDuplicatesWithinWatermark([key])
 
 
