@@ -4,10 +4,13 @@ A plain ``Window.partitionBy(key)`` sends every row of a key to one task.
 These helpers split each key's rows into ordered buckets (a coarse, monotone
 function of the ordering column, e.g. the day of a timestamp):
 
-* ``running_totals``: prefix sums per key.  Bucket totals are summed with a
-  map-side partial aggregate, the (small) per-key list of bucket totals gets
-  an exclusive prefix sum, and each row adds its in-bucket running sum.  The
-  widest window partition is one (key, bucket), not one key.
+* ``running_totals``: prefix sums per key.  Keys are first counted (a
+  partial aggregate); keys with more than ``hot_rows`` rows take the split
+  path -- bucket totals summed map-side, an exclusive prefix sum over the
+  (small) per-key list of bucket totals, plus each row's in-bucket running
+  sum, so the widest window partition is one (key, bucket) -- while all other
+  keys use one plain window.  The hot-key list is broadcast: it has at most
+  ``rows / hot_rows`` entries.
 * ``count_in_range``: rows of the same key in ``[t - width, t]``.  Rows near
   the end of a bucket are also sent to the next bucket as context ("halo"),
   so every row's time frame lies inside its own bucket.
@@ -19,26 +22,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+HOT_KEY_ROWS = 1_000_000
+
+
 def running_totals(df: DataFrame, keys: list[str], order: list[Column], sums: dict[str, Column],
-                   bucket: Column) -> DataFrame:
+                   bucket: Column, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Add one inclusive running-sum column per entry of ``sums``.
 
     ``bucket`` must be non-decreasing along ``order`` within a key, and
     ``order`` must be a total order inside a bucket (ties would make the
     running value arbitrary, as in any ROWS frame)."""
     tmp = {name: f"__v_{name}" for name in sums}
-    d = df.withColumn("__b", bucket)
+    d = df
     for name, expr in sums.items():
         d = d.withColumn(tmp[name], expr)
-    totals = d.groupBy(*keys, "__b").agg(*[F.sum(tmp[n]).alias(f"__t_{n}") for n in sums])
+    hot = (d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+           .where(F.col("__n") > hot_rows).select(*keys))
+    cold_part = d.join(F.broadcast(hot), keys, "left_anti")
+    hot_part = d.join(F.broadcast(hot), keys, "left_semi")
+
+    wk = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    cold_out = cold_part
+    for n in sums:
+        cold_out = cold_out.withColumn(n, F.sum(tmp[n]).over(wk))
+
+    h = hot_part.withColumn("__b", bucket)
+    totals = h.groupBy(*keys, "__b").agg(*[F.sum(tmp[n]).alias(f"__t_{n}") for n in sums])
     wb = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "__b", *[
         F.coalesce(F.sum(f"__t_{n}").over(wb), F.lit(0)).alias(f"__o_{n}") for n in sums])
     wr = Window.partitionBy(*keys, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.join(offsets, [*keys, "__b"])
+    hot_out = h.join(offsets, [*keys, "__b"])
     for n in sums:
-        d = d.withColumn(n, F.col(f"__o_{n}") + F.sum(tmp[n]).over(wr))
-    return d.drop("__b", *tmp.values(), *[f"__o_{n}" for n in sums])
+        hot_out = hot_out.withColumn(n, F.col(f"__o_{n}") + F.sum(tmp[n]).over(wr))
+    hot_out = hot_out.drop("__b", *[f"__o_{n}" for n in sums])
+    return cold_out.unionByName(hot_out).drop(*tmp.values())
 
 
 def count_in_range(df: DataFrame, keys: list[str], micros: Column, width_us: int,

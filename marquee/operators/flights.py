@@ -172,7 +172,7 @@ def _merged_chunks(slim: DataFrame) -> DataFrame:
 
 
 def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 4096,
-                   bucket: F.Column = None) -> DataFrame:
+                   bucket: F.Column = None, hot_rows: int | None = None) -> DataFrame:
     """H1 (and H2 when ``requests`` has ``kind`` = RELEASE rows): status of
     every request -- ACCEPTED, REJECTED, DUPLICATE (ref already holding),
     RELEASED / NOT_HELD -- and ``seats_left`` after it.
@@ -191,8 +191,9 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
     cap = flights.select("flight_id", F.col("total_seats").cast("long").alias("cap"))
     req = (requests.join(cap, "flight_id")
            .withColumn("seats", F.col("seats").cast("long")))
+    extra = {} if hot_rows is None else {"hot_rows": hot_rows}
     req = running_totals(req, ["flight_id"], [F.col(c) for c in order_cols],
-                         {"__seq": F.lit(1).cast("long")}, bucket)
+                         {"__seq": F.lit(1).cast("long")}, bucket, **extra)
     req = req.withColumn("chunk", F.floor((F.col("__seq") - 1) / F.lit(chunk_rows)).cast("long")).drop("__seq")
     blocks = _merged_chunks(req.select("flight_id", "booking_ref", "chunk"))
     req = req.join(blocks, ["flight_id", "chunk"]).drop("chunk").withColumnRenamed("block", "chunk")

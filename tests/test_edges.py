@@ -173,7 +173,8 @@ def test_seat_fold_split_in_chunks(spark):
     r = _reqs(spark, rows)
     one = _statuses(FL.seat_admission(r, _flight(spark, 30)))
     many = _statuses(FL.seat_admission(r, _flight(spark, 30), chunk_rows=3))
-    assert one == many
+    split = _statuses(FL.seat_admission(r, _flight(spark, 30), chunk_rows=3, hot_rows=0))
+    assert one == many == split
     assert one[-1] == "DUPLICATE"
 
 
@@ -208,10 +209,12 @@ def test_running_totals_equal_plain_window(spark):
     from pyspark.sql import Window
     df = spark.range(500).select((F.col("id") % 3).alias("k"), F.col("id"),
                                  (F.col("id") * 7 % 11).alias("v"))
-    r = running_totals(df, ["k"], [F.col("id")], {"run": F.col("v")}, F.floor(F.col("id") / 37))
     w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
-    ref = df.withColumn("run", F.sum("v").over(w))
-    assert sorted(map(tuple, r.select("k", "id", "run").collect())) == sorted(map(tuple, ref.select("k", "id", "run").collect()))
+    ref = sorted(map(tuple, df.withColumn("run", F.sum("v").over(w)).select("k", "id", "run").collect()))
+    for hot_rows in (0, 170, 10_000):  # all keys split, some split, none split
+        r = running_totals(df, ["k"], [F.col("id")], {"run": F.col("v")}, F.floor(F.col("id") / 37),
+                           hot_rows=hot_rows)
+        assert sorted(map(tuple, r.select("k", "id", "run").collect())) == ref
 
 
 def test_count_in_range_equal_plain_window(spark):
