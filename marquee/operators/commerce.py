@@ -10,7 +10,6 @@ results come from a group-by over lines.
 
 from __future__ import annotations
 
-import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -62,10 +61,13 @@ TRANSITIONS = [
 
 
 def promo_table(spark: SparkSession) -> DataFrame:
-    ts = dt.datetime.fromisoformat
-    rows = [(c, t, Decimal(v), Decimal(m), mx, cu, ts(a), ts(b), act)
-            for c, t, v, m, mx, cu, a, b, act in PROMOS]
-    return spark.createDataFrame(rows, PROMO_SCHEMA)
+    """The promo codes as an inline VALUES relation: Catalyst knows its size,
+    so its own broadcast threshold decides the join strategy."""
+    vals = ", ".join(
+        f"('{c}', '{t}', CAST({v} AS DECIMAL(12,2)), CAST({m} AS DECIMAL(12,2)), {mx}, {cu}, "
+        f"TIMESTAMP_NTZ '{a}', TIMESTAMP_NTZ '{b}', {str(act).upper()})"
+        for c, t, v, m, mx, cu, a, b, act in PROMOS)
+    return spark.sql(f"SELECT * FROM VALUES {vals} AS t({', '.join(PROMO_SCHEMA.fieldNames())})")
 
 
 def promo_values_sql() -> str:
@@ -138,9 +140,22 @@ def priced_lines(items: DataFrame, products: DataFrame) -> DataFrame:
     return j.withColumn("line_code", code)
 
 
+# Line verdicts in rule order (the first failing rule of a line).
+LINE_CODES = ("PRODUCT_NOT_FOUND", "PRODUCT_INACTIVE", "INSUFFICIENT_STOCK")
+
+
 def _first_failure() -> F.Column:
-    key = F.struct("line_no", "product_id", "supplier_id", "quantity", "line_code")
-    return F.min(F.when(F.col("line_code").isNotNull(), key))["line_code"]
+    """Verdict of the first failing line: lowest line number, then rule order.
+    Encoded as one long (line_no * 4 + rule) so the aggregate stays a hash
+    aggregate with a fixed-width buffer."""
+    rule = F.col("line_code")
+    for i, c in enumerate(LINE_CODES, 1):
+        rule = F.when(F.col("line_code") == c, F.lit(i)) if i == 1 else rule.when(F.col("line_code") == c, F.lit(i))
+    r = F.min(F.col("line_no").cast("long") * 4 + rule) % 4
+    out = None
+    for i, c in enumerate(LINE_CODES, 1):
+        out = F.when(r == i, F.lit(c)) if out is None else out.when(r == i, F.lit(c))
+    return out
 
 
 def stock_verdict(items: DataFrame, products: DataFrame) -> DataFrame:

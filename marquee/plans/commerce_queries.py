@@ -67,8 +67,10 @@ lines AS (
               WHEN p.stock < i.quantity THEN 'INSUFFICIENT_STOCK' END AS line_code
   FROM order_items i LEFT JOIN products p USING (product_id))"""
 
-_FIRST_FAIL = ("MIN(CASE WHEN line_code IS NOT NULL THEN {'line_no': line_no, 'product_id': product_id, "
-               "'supplier_id': supplier_id, 'quantity': quantity, 'line_code': line_code} END).line_code")
+_FIRST_FAIL = ("['PRODUCT_NOT_FOUND', 'PRODUCT_INACTIVE', 'INSUFFICIENT_STOCK'][CAST(MIN(CASE "
+               "WHEN line_code = 'PRODUCT_NOT_FOUND' THEN line_no * 4 + 1 "
+               "WHEN line_code = 'PRODUCT_INACTIVE' THEN line_no * 4 + 2 "
+               "WHEN line_code = 'INSUFFICIENT_STOCK' THEN line_no * 4 + 3 END) % 4 AS INT)]")
 
 
 @register("stock_verdict", with_views("products", "order_items") + _LINES + f"""
