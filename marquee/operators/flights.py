@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.functions.windows import running_totals
+from marquee.session import checkpoint_dir
 
 REQ_ORDER = ["req_ts", "order_id", "line_no", "supplier_id", "seats", "extendedprice"]
 
@@ -194,12 +195,22 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
     extra = {} if hot_rows is None else {"hot_rows": hot_rows}
     req = running_totals(req, ["flight_id"], [F.col(c) for c in order_cols],
                          {"__seq": F.lit(1).cast("long")}, bucket, **extra)
-    req = req.withColumn("chunk", F.floor((F.col("__seq") - 1) / F.lit(chunk_rows)).cast("long")).drop("__seq")
+    req = req.withColumn("chunk", F.floor((F.col("__seq") - 1) / F.lit(chunk_rows)).cast("long"))
+    # the numbered requests feed four branches below: write them once to the
+    # shared checkpoint folder (a reliable lineage cut) instead of recomputing
+    checkpoint_dir(spark)
+    req = req.checkpoint(eager=True)
+    # Flights with more than one chunk take the table path; the rest start
+    # at capacity and are replayed directly.  At most rows / chunk_rows
+    # flights can be multi-chunk, which bounds the broadcast list.
+    multi = req.where(F.col("chunk") > 0).select("flight_id").distinct()
+    single = req.join(F.broadcast(multi), "flight_id", "left_anti")
+    req = req.join(F.broadcast(multi), "flight_id", "left_semi")
     blocks = _merged_chunks(req.select("flight_id", "booking_ref", "chunk"))
     req = req.join(blocks, ["flight_id", "chunk"]).drop("chunk").withColumnRenamed("block", "chunk")
-    slim = req.select("flight_id", "chunk", "cap", *order_cols, "seats")
-    slim = slim.select(*dict.fromkeys(slim.columns))
-    sort_keys = ["flight_id", "chunk", *order_cols]
+    slim = req.select("flight_id", "chunk", "__seq", "cap", "kind", "booking_ref", "seats")
+    # the JVM-side running count is the request's position: Python sorts ints
+    sort_keys = ["flight_id", "chunk", "__seq"]
 
     def bucketed(df: DataFrame, *keys) -> DataFrame:
         return df.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(nb)))
@@ -239,9 +250,9 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
     starts = (bucketed(tables, "flight_id").groupBy("__bucket")
               .applyInPandas(comp, "flight_id long, chunk long, start long"))
 
-    keep = [c for c in requests.columns if c not in ("cap",)]
+    keep = [c for c in requests.columns if c not in ("cap",)] + ["__seq"]
     fields = {f.name: f for f in req.schema.fields}
-    out_schema = T.StructType([fields[c] for c in keep] + [
+    out_schema = T.StructType([fields[c] for c in keep if c != "__seq"] + [
         T.StructField("status", T.StringType()), T.StructField("seats_left", T.LongType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -259,7 +270,8 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
         res = pdf[keep].copy()
         res["status"] = status
         res["seats_left"] = np.asarray(left, dtype=np.int64)
-        return res
+        return res.drop(columns=["__seq"])
 
-    lab = bucketed(req.join(starts, ["flight_id", "chunk"]), "flight_id", "chunk")
-    return lab.groupBy("__bucket").applyInPandas(run, out_schema)
+    lab = req.join(starts, ["flight_id", "chunk"]).unionByName(
+        single.withColumn("start", F.col("cap")))
+    return bucketed(lab, "flight_id", "chunk").groupBy("__bucket").applyInPandas(run, out_schema)
