@@ -109,9 +109,10 @@ def soft_delete(products: DataFrame, ids: DataFrame, now_col=None) -> DataFrame:
     hit = ids.select(F.col("product_id")).distinct().withColumn("__hit", F.lit(True))
     j = products.join(hit, "product_id", "left")
     changed = F.col("__hit").isNotNull() & (F.col("status") != "ARCHIVED")
-    out = j.withColumn("status", F.when(F.col("__hit").isNotNull(), F.lit("ARCHIVED")).otherwise(F.col("status")))
-    if "updated_at" in products.columns:
+    out = j
+    if "updated_at" in products.columns:  # decided on the old status
         out = out.withColumn("updated_at", F.when(changed, now).otherwise(F.col("updated_at")))
+    out = out.withColumn("status", F.when(F.col("__hit").isNotNull(), F.lit("ARCHIVED")).otherwise(F.col("status")))
     return out.drop("__hit")
 
 

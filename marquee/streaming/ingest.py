@@ -60,8 +60,8 @@ def to_kafka_records(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").cast("string").alias("key"),
         F.to_json(F.struct(*[F.col(c) for c in events.columns])).alias("value"),
-        F.array(F.struct(F.lit("event_type").alias("key"), F.col("event_type").cast("binary").alias("value")),
-                F.struct(F.lit("event_id").alias("key"), F.col("event_id").cast("binary").alias("value")))
+        F.array(F.struct(F.lit("event_type").alias("key"), F.col("event_type").cast("string").cast("binary").alias("value")),
+                F.struct(F.lit("event_id").alias("key"), F.col("event_id").cast("string").cast("binary").alias("value")))
         .alias("headers"))
 
 
