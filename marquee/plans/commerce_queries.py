@@ -238,3 +238,30 @@ WHERE h.from_status IS NOT NULL""")
 def q_status_transitions(spark, sf):
     tr = spark.createDataFrame(C.TRANSITIONS, "from_status string, to_status string")
     return C.status_history_check(_history_df(spark, sf), tr)
+
+
+@register("order_request_rules", with_views("shop_orders", "order_items") + """
+SELECT o.order_id, o.promo_code, COUNT(*) AS n_items,
+  concat_ws(',',
+    CASE WHEN NOT (COUNT(*) BETWEEN 1 AND 50) THEN 'items_count' END,
+    CASE WHEN bool_or(i.quantity < 1 OR i.quantity > 999) THEN 'quantity_range' END,
+    CASE WHEN NOT (o.promo_code IS NULL OR regexp_matches(o.promo_code, '^[A-Z0-9_]{4,20}$'))
+         THEN 'promo_pattern' END) AS reasons
+FROM shop_orders o JOIN order_items i USING (order_id)
+GROUP BY o.order_id, o.promo_code""")
+def q_order_request_rules(spark, sf):
+    n = C.orders_nested(_v(spark, sf, "shop_orders"), _v(spark, sf, "order_items"))
+    n = n.join(_v(spark, sf, "shop_orders").select("order_id", "promo_code"), "order_id")
+    v = Q.apply_rules(n, Q.order_request_rules())
+    return v.select("order_id", "promo_code", F.size("items").cast("long").alias("n_items"),
+                    F.array_join("reasons", ",").alias("reasons"))
+
+
+@register("line_totals", with_views("order_items", "products") + """
+SELECT i.order_id, i.line_no, i.product_id, i.supplier_id, i.quantity, i.quantity > 0 AS quantity_ok,
+       ROUND(CAST(i.quantity AS DECIMAL(10,0)) * p.price, 2) AS total
+FROM order_items i JOIN products p USING (product_id)""")
+def q_line_totals(spark, sf):
+    j = _v(spark, sf, "order_items").join(_v(spark, sf, "products").select("product_id", "price"), "product_id")
+    return Q.line_total(j).select("order_id", "line_no", "product_id", "supplier_id", "quantity",
+                                  "quantity_ok", "total")
