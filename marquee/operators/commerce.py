@@ -130,6 +130,14 @@ def apply_changes(current: DataFrame, changes: DataFrame, key: str = "product_id
 # Orders: lines, stock verdict, pricing
 # ---------------------------------------------------------------------------
 
+def _money_sum(price: str = "price", qty: str = "quantity") -> F.Column:
+    """Exact sum of price x quantity.  Summing in integer cents keeps the
+    aggregate buffer a long (a decimal sum wider than 18 digits falls back to
+    BigDecimal arithmetic per row)."""
+    cents = F.sum((F.col(price) * 100).cast("long") * F.col(qty))
+    return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
+
+
 def priced_lines(items: DataFrame, products: DataFrame) -> DataFrame:
     """Each line with its product's status, stock and price; the line's
     verdict against the stock snapshot (NULL = fine)."""
@@ -171,7 +179,7 @@ def order_subtotals(items: DataFrame, products: DataFrame) -> DataFrame:
     """A16 + H5: per order subtotal at snapshot prices and stock verdict."""
     pl = priced_lines(items, products)
     return (pl.groupBy("order_id")
-            .agg(F.sum(F.col("price") * F.col("quantity")).cast(MONEY).alias("subtotal"),
+            .agg(_money_sum().alias("subtotal"),
                  _first_failure().alias("stock_code")))
 
 
@@ -231,7 +239,7 @@ def order_repricing(orders: DataFrame, items: DataFrame, new_items: DataFrame, p
                        .when(F.col("product_status") != "ACTIVE", "PRODUCT_INACTIVE")
                        .when(F.col("stock") < F.col("quantity"), "INSUFFICIENT_STOCK"))
     sub = nl.groupBy("order_id").agg(
-        F.sum(F.col("price") * F.col("quantity")).cast(MONEY).alias("subtotal"),
+        _money_sum().alias("subtotal"),
         _first_failure().alias("stock_code"))
     j = (cur.join(sub, "order_id", "left")
          .join(promos, F.col("applied_promo") == F.col("code"), "left"))
