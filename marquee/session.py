@@ -26,7 +26,7 @@ SQL_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "marquee") -> SparkSession:
+                  app_name: str = "marquee", driver_memory: str | None = None) -> SparkSession:
     """Create (or reuse) a session.  ``master`` is only set when given, so a
     cluster launcher's own master wins."""
     b = SparkSession.builder.appName(app_name)
@@ -37,6 +37,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:  # only takes effect when this call starts the JVM
+        b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     apply_conf(spark)
     return spark
@@ -72,6 +74,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
     """Session used by tests and the bench on one machine."""
     os.environ.setdefault("PYSPARK_PYTHON", "python")
-    spark = build_session(master=f"local[{cores}]", shuffle_partitions=shuffle_partitions)
+    spark = build_session(master=f"local[{cores}]", shuffle_partitions=shuffle_partitions,
+                          driver_memory=os.environ.get("MARQUEE_DRIVER_MEMORY", "16g"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
