@@ -75,6 +75,6 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
     """Session used by tests and the bench on one machine."""
     os.environ.setdefault("PYSPARK_PYTHON", "python")
     spark = build_session(master=f"local[{cores}]", shuffle_partitions=shuffle_partitions,
-                          driver_memory=os.environ.get("MARQUEE_DRIVER_MEMORY", "16g"))
+                          driver_memory=os.environ.get("MARQUEE_DRIVER_MEMORY"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
