@@ -17,8 +17,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_percentiles(df: DataFrame, groups: list[str], value: str, ps: dict[str, float]) -> DataFrame:
-    """One row per group with a column per entry of ``ps`` (name -> p)."""
+def exact_percentiles(df: DataFrame, groups: list[str], value: str, ps: dict[str, float],
+                      digits: int | None = 6) -> DataFrame:
+    """One row per group with a column per entry of ``ps`` (name -> p).
+
+    The result is rounded to ``digits`` decimals (default 6): interpolating
+    values of fixed precision gives a few more decimals at most, and the
+    rounding removes the last-bit differences between equivalent float
+    formulas, so engines agree exactly."""
     v = df.where(F.col(value).isNotNull())
     hist = v.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__c"))
     w = Window.partitionBy(*groups).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
@@ -37,6 +43,7 @@ def exact_percentiles(df: DataFrame, groups: list[str], value: str, ps: dict[str
             F.max(F.when(in_bucket("__r0"), F.col(value))).alias("__lo"),
             F.max(F.when(in_bucket("__r1"), F.col(value))).alias("__v1")))
         frac = F.col("__pos") - F.floor("__pos")
-        res = picked.select(*groups, (F.col("__lo") + (F.col("__v1") - F.col("__lo")) * frac).alias(name))
+        val = F.col("__lo") + (F.col("__v1") - F.col("__lo")) * frac
+        res = picked.select(*groups, (F.round(val, digits) if digits is not None else val).alias(name))
         out = out.join(res, groups)
     return out.drop("__n")

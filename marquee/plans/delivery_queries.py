@@ -114,7 +114,7 @@ def q_delivery_success(spark, sf):
 
 
 @register("delivery_latency", with_views("attempts") + """
-SELECT tier, quantile_cont(latency_s, 0.95) AS p95, quantile_cont(latency_s, 0.99) AS p99
+SELECT tier, ROUND(quantile_cont(latency_s, 0.95), 6) AS p95, ROUND(quantile_cont(latency_s, 0.99), 6) AS p99
 FROM attempts WHERE status = 'DELIVERED' GROUP BY tier""")
 def q_delivery_latency(spark, sf):
     return D.delivery_latency(_att(spark, sf))
@@ -179,7 +179,7 @@ def q_provider_health(spark, sf):
 
 @register("request_log_rollup", with_views("request_log") + """
 SELECT endpoint, status_code, COUNT(*) AS requests, AVG(duration_ms) AS avg_ms,
-       quantile_cont(duration_ms, 0.95) AS p95_ms,
+       ROUND(quantile_cont(duration_ms, 0.95), 6) AS p95_ms,
        CAST(floor(status_code / 100) AS BIGINT) || 'xx' AS status_class
 FROM request_log GROUP BY endpoint, status_code""")
 def q_request_log_rollup(spark, sf):

@@ -1,8 +1,12 @@
 """Every registered query against its DuckDB oracle on the smallest tables
 (the driver repeats this at sf0.01)."""
 
+import os
+
 import pytest
 
+os.environ["ORACLE_STRICT"] = "1"  # floats compared bit for bit (repr)
+
 import __spark_entry__ as E
 from oracle_check import duck, rows_of
 
