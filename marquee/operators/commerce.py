@@ -119,11 +119,13 @@ def soft_delete(products: DataFrame, ids: DataFrame, now_col=None) -> DataFrame:
 def apply_changes(current: DataFrame, changes: DataFrame, key: str = "product_id",
                   ts: str = "updated_at") -> DataFrame:
     """Inserts and full-row updates from a change table: the newest row
-    per key wins (ties: the change over the current row)."""
+    per key wins (ties: the change over the current row).  A ``max_by``
+    aggregate, reduced map-side however many changes one key gets."""
     u = (current.withColumn("__src", F.lit(0))
          .unionByName(changes.withColumn("__src", F.lit(1)), allowMissingColumns=True))
-    w = Window.partitionBy(key).orderBy(F.desc(ts), F.desc("__src"))
-    return u.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__src")
+    rest = [c for c in u.columns if c not in (key, "__src")]
+    return (u.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(F.col(ts), F.col("__src"))).alias("__row"))
+            .select(key, *[F.col(f"__row.{c}").alias(c) for c in rest]))
 
 
 # ---------------------------------------------------------------------------
@@ -342,10 +344,14 @@ def last_operation(ops: DataFrame) -> DataFrame:
 
 
 def status_history_check(history: DataFrame, transitions: DataFrame) -> DataFrame:
-    """Each status change with the status before it (``lag`` within the
-    order's own history) and whether the pair is an allowed transition."""
-    w = Window.partitionBy("order_key").orderBy("ts", "step_id")
-    h = history.withColumn("from_status", F.lag("status").over(w)).where(F.col("from_status").isNotNull())
+    """Each status change with the status before it in the order's own
+    history, and whether the pair is an allowed transition.  The previous
+    step is found by numbering steps (hot-key-aware running count) and an
+    equi-join on the step number, not a ``lag`` over a whole order."""
+    seq = running_totals(history, ["order_key"], [F.col("ts"), F.col("step_id")],
+                         {"__seq": F.lit(1).cast("long")}, F.unix_date(F.to_date("ts")))
+    prev = seq.select("order_key", (F.col("__seq") + 1).alias("__seq"), F.col("status").alias("from_status"))
+    h = seq.join(prev, ["order_key", "__seq"])
     t = transitions.select(F.col("from_status"), F.col("to_status").alias("status"),
                            F.lit(True).alias("allowed"))
     return (h.join(t, ["from_status", "status"], "left")

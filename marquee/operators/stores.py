@@ -12,7 +12,7 @@ no rows arrive).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.session import scratch_path
@@ -23,9 +23,11 @@ TOP_KEY = ["metric_date", "movie_id"]
 
 
 def newest_per_key(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """Keep the newest row per key (ties: any one of the newest)."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(ts))
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    """Keep the newest row per key (ties: any one of the newest).  A
+    ``max_by`` aggregate, so a key with many versions is reduced map-side."""
+    rest = [c for c in df.columns if c not in keys]
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(ts)).alias("__row"))
+            .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]))
 
 
 def merge_rows(existing: DataFrame, new: DataFrame, keys: list[str], ts: str) -> DataFrame:
@@ -95,9 +97,11 @@ def read_day(spark: SparkSession, root: str, day) -> dict[str, DataFrame]:
 def latest_metrics(store: DataFrame) -> DataFrame:
     """One row per (date, name): the most recently updated, with the
     number of stored versions (Q9 keeps one per distinct ``extra``)."""
-    w = Window.partitionBy("metric_date", "metric_name")
-    return (store.withColumn("versions", F.count(F.lit(1)).over(w))
-            .transform(lambda d: newest_per_key(d, ["metric_date", "metric_name"], "updated_at")))
+    keys = ["metric_date", "metric_name"]
+    rest = [c for c in store.columns if c not in keys]
+    return (store.groupBy(*keys).agg(F.count(F.lit(1)).alias("versions"),
+                                     F.max_by(F.struct(*rest), F.col("updated_at")).alias("__row"))
+            .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest], "versions"))
 
 
 def newest_rows(store: DataFrame, n: int = 30) -> DataFrame:
