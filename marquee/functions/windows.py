@@ -60,19 +60,26 @@ def running_totals(df: DataFrame, keys: list[str], order: list[Column], sums: di
 
 
 def count_in_range(df: DataFrame, keys: list[str], micros: Column, width_us: int,
-                   bucket_us: int, out: str = "n_in_range") -> DataFrame:
+                   bucket_us: int, out: str = "n_in_range", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Add ``out`` = rows of the same key with time in ``[t - width, t]``
-    (the row itself included).  ``bucket_us`` must be >= ``width_us``."""
+    (the row itself included).  ``bucket_us`` must be >= ``width_us``.
+    Keys with more than ``hot_rows`` rows use buckets of the range width
+    itself, so their windows hold at most two widths of rows."""
     if bucket_us < width_us:
         raise ValueError("bucket must be at least as wide as the range")
-    d = df.withColumn("__t", micros).withColumn("__b", F.floor(F.col("__t") / F.lit(bucket_us)))
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+           .where(F.col("__n") > hot_rows).select(*keys).withColumn("__hot", F.lit(True)))
+    d = (df.join(F.broadcast(hot), keys, "left")
+         .withColumn("__w", F.when(F.col("__hot"), F.lit(width_us)).otherwise(F.lit(bucket_us)))
+         .withColumn("__t", micros)
+         .withColumn("__b", F.floor(F.col("__t") / F.col("__w"))))
     own = d.withColumn("__ctx", F.lit(False))
     # rows in the last `width` of a bucket are context for the next bucket
-    halo = (d.where(F.col("__t") >= (F.col("__b") + 1) * F.lit(bucket_us) - F.lit(width_us))
+    halo = (d.where(F.col("__t") >= (F.col("__b") + 1) * F.col("__w") - F.lit(width_us))
             .withColumn("__b", F.col("__b") + 1).withColumn("__ctx", F.lit(True)))
     w = (Window.partitionBy(*keys, "__b").orderBy("__t")
          .rangeBetween(-width_us, 0))
     return (own.unionByName(halo)
             .withColumn(out, F.count(F.lit(1)).over(w))
             .where(~F.col("__ctx"))
-            .drop("__t", "__b", "__ctx"))
+            .drop("__t", "__b", "__ctx", "__w", "__hot"))

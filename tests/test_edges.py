@@ -220,10 +220,11 @@ def test_running_totals_equal_plain_window(spark):
 def test_count_in_range_equal_plain_window(spark):
     from pyspark.sql import Window
     df = spark.range(300).select((F.col("id") % 2).alias("k"), (F.col("id") * 13 % 997).alias("t"))
-    c = count_in_range(df, ["k"], F.col("t"), 50, 120, out="n")
     w = Window.partitionBy("k").orderBy("t").rangeBetween(-50, 0)
-    ref = df.withColumn("n", F.count(F.lit(1)).over(w))
-    assert sorted(map(tuple, c.collect())) == sorted(map(tuple, ref.collect()))
+    ref = sorted(map(tuple, df.withColumn("n", F.count(F.lit(1)).over(w)).collect()))
+    for hot_rows in (0, 10_000):  # every key hot (range-wide buckets) / none hot
+        c = count_in_range(df, ["k"], F.col("t"), 50, 120, out="n", hot_rows=hot_rows)
+        assert sorted(map(tuple, c.collect())) == ref
 
 
 def test_upsert_q9_and_latest(spark):
