@@ -81,3 +81,28 @@ def export_day(spark: SparkSession, store_root: str, out_root: str, day, fmt: st
     union = X.export_union(flat["metrics"], flat["top_movies"], flat["retention"])
     doc = X.export_document(day, flat["metrics"], flat["top_movies"], flat["retention"]) if fmt == "json" else None
     return X.write_export(union, out_root, day, fmt, document=doc)
+
+
+def main(argv=None) -> None:
+    """Scheduler entry (T5): ``python -m marquee.plans.daily RAW STORE [--date D]
+    [--export OUT --format json]``.  The date defaults to yesterday, UTC."""
+    import argparse
+
+    from marquee.session import build_session
+
+    ap = argparse.ArgumentParser(prog="marquee.plans.daily")
+    ap.add_argument("raw", help="raw event table (Parquet, partitioned by event_date)")
+    ap.add_argument("store", help="metric store root")
+    ap.add_argument("--date", default=None)
+    ap.add_argument("--export", default=None, help="export root; skip when absent")
+    ap.add_argument("--format", default="json", choices=X.FORMATS)
+    a = ap.parse_args(argv)
+    spark = build_session()
+    day = dt.date.fromisoformat(a.date) if a.date else default_day()
+    run_day(spark, spark.read.parquet(a.raw), a.store, day)
+    if a.export:
+        export_day(spark, a.store, a.export, day, a.format)
+
+
+if __name__ == "__main__":
+    main()

@@ -242,3 +242,28 @@ def q_export_union(spark, sf):
     from marquee.operators import export as X
     ev = _ev(spark, sf)
     return X.export_union(M.daily_metrics(ev), M.top_movies_daily(ev), R.retention_long(ev))
+
+
+@register("newest_metrics", EV + ",\nm AS (" + _DAILY_SQL.replace("{src}", "movie_events") + """)
+SELECT metric_date, metric_name, metric_value, extra FROM m
+ORDER BY metric_date DESC, metric_name LIMIT 30""")
+def q_newest_metrics(spark, sf):
+    """Newest 30 rows of the metric store (a top-k report)."""
+    from marquee.operators import stores as ST
+    m = M.daily_metrics(_ev(spark, sf)).withColumn("updated_at", F.col("metric_date").cast("timestamp_ntz"))
+    return ST.newest_rows(m, 30).drop("updated_at")
+
+
+@register("export_counts", EV + _ACT + ",\nmetrics AS (" + _DAILY_SQL.replace("{src}", "movie_events") + """),
+top AS (SELECT * FROM (
+  SELECT event_date, movie_id, ROW_NUMBER() OVER (PARTITION BY event_date ORDER BY view_count DESC, movie_id) AS rank_pos
+  FROM (SELECT event_date, movie_id, COUNT(*) AS view_count FROM movie_events
+        WHERE event_type = 'VIEW_STARTED' GROUP BY event_date, movie_id)) WHERE rank_pos <= 10),
+ret AS (SELECT DISTINCT cohort_date, day_offset FROM activity)
+SELECT 'metrics' AS "table", COUNT(*) AS records FROM metrics
+UNION ALL SELECT 'top_movies', COUNT(*) FROM top
+UNION ALL SELECT 'retention', COUNT(*) FROM ret""")
+def q_export_counts(spark, sf):
+    """Records per export section."""
+    from marquee.operators import export as X
+    return X.section_counts(q_export_union(spark, sf))
