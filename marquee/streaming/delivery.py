@@ -82,3 +82,14 @@ def tier_sinks(stream: DataFrame, root: str, checkpoint_root: str, trigger: dict
                   .option("path", f"{root}/{tier}").option("checkpointLocation", f"{checkpoint_root}/{tier}")
                   .trigger(**(trigger or {"availableNow": True})).start())
     return qs
+
+
+def start_dead_letter_sink(states: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """K8: exhausted notifications from the state stream go to their own
+    table.  Each micro-batch writes under ``batch_id=<id>`` with overwrite,
+    so a replayed batch replaces its own rows."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.where(F.col("state") == "EXHAUSTED").write.mode("overwrite")
+         .parquet(f"{path}/batch_id={batch_id}"))
+    return (states.writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
