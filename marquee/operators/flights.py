@@ -173,7 +173,7 @@ def _merged_chunks(slim: DataFrame) -> DataFrame:
 
 
 def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 4096,
-                   bucket: F.Column = None, hot_rows: int | None = None) -> DataFrame:
+                   bucket: F.Column = None, hot_rows: int | None = None, group: int = 1024) -> DataFrame:
     """H1 (and H2 when ``requests`` has ``kind`` = RELEASE rows): status of
     every request -- ACCEPTED, REJECTED, DUPLICATE (ref already holding),
     RELEASED / NOT_HELD -- and ``seats_left`` after it.
@@ -234,21 +234,49 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
     tables = (bucketed(slim, "flight_id", "chunk").groupBy("__bucket")
               .applyInPandas(build, "flight_id long, chunk long, cap long, table array<long>"))
 
-    def comp(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["flight_id", "chunk"])
-        fid, ch = pdf["flight_id"].to_numpy(), pdf["chunk"].to_numpy()
-        caps, tabs_ = pdf["cap"].to_numpy(), pdf["table"].to_numpy()
-        b = _bounds(fid)
-        start = np.empty(len(pdf), dtype=np.int64)
+    # Composition is a two-level scan so no flight's chunk list has to sit
+    # in one task: (1) compose the tables of each run of `group` chunks,
+    # (2) walk the per-flight list of run tables to get each run's start,
+    # (3) walk each run's chunks from its start.
+    t = tables.withColumn("run", F.floor(F.col("chunk") / F.lit(group)).cast("long"))
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["flight_id", "run", "chunk"])
+        fid, run, caps = pdf["flight_id"].to_numpy(), pdf["run"].to_numpy(), pdf["cap"].to_numpy()
+        tabs_ = pdf["table"].to_numpy()
+        b = _bounds(fid, run)
+        out = []
         for i in range(len(b) - 1):
-            s = int(caps[b[i]])
+            v = np.arange(int(caps[b[i]]) + 1)
             for j in range(b[i], b[i + 1]):
-                start[j] = s
-                s = int(tabs_[j][s])
-        return pd.DataFrame({"flight_id": fid, "chunk": ch, "start": start})
-
-    starts = (bucketed(tables, "flight_id").groupBy("__bucket")
-              .applyInPandas(comp, "flight_id long, chunk long, start long"))
+                v = np.asarray(tabs_[j])[v]
+            out.append((int(fid[b[i]]), int(run[b[i]]), int(caps[b[i]]), v.astype(np.int64).tolist()))
+        return pd.DataFrame(out, columns=["flight_id", "run", "cap", "table"])
+
+    runs = (bucketed(t, "flight_id", "run").groupBy("__bucket")
+            .applyInPandas(compose, "flight_id long, run long, cap long, table array<long>"))
+
+    def walk(keys: list[str], order: str, first: str):
+        def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values([*keys, order])
+            kv = [pdf[k].to_numpy() for k in keys]
+            firsts, tabs_ = pdf[first].to_numpy(), pdf["table"].to_numpy()
+            b = _bounds(*kv)
+            start = np.empty(len(pdf), dtype=np.int64)
+            for i in range(len(b) - 1):
+                s = int(firsts[b[i]])
+                for j in range(b[i], b[i + 1]):
+                    start[j] = s
+                    s = int(tabs_[j][s])
+            return pd.DataFrame({"flight_id": pdf["flight_id"].to_numpy(), order: pdf[order].to_numpy(),
+                                 "start": start})
+        return fn
+
+    run_starts = (bucketed(runs, "flight_id").groupBy("__bucket")
+                  .applyInPandas(walk(["flight_id"], "run", "cap"), "flight_id long, run long, start long"))
+    starts = (bucketed(t.join(run_starts.withColumnRenamed("start", "run_start"), ["flight_id", "run"]),
+                       "flight_id", "run").groupBy("__bucket")
+              .applyInPandas(walk(["flight_id", "run"], "chunk", "run_start"), "flight_id long, chunk long, start long"))
 
     keep = [c for c in requests.columns if c not in ("cap",)] + ["__seq"]
     fields = {f.name: f for f in req.schema.fields}

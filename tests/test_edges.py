@@ -174,7 +174,8 @@ def test_seat_fold_split_in_chunks(spark):
     one = _statuses(FL.seat_admission(r, _flight(spark, 30)))
     many = _statuses(FL.seat_admission(r, _flight(spark, 30), chunk_rows=3))
     split = _statuses(FL.seat_admission(r, _flight(spark, 30), chunk_rows=3, hot_rows=0))
-    assert one == many == split
+    runs = _statuses(FL.seat_admission(r, _flight(spark, 30), chunk_rows=2, group=3))
+    assert one == many == split == runs
     assert one[-1] == "DUPLICATE"
 
 
