@@ -204,6 +204,9 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
     # at capacity and are replayed directly.  At most rows / chunk_rows
     # flights can be multi-chunk, which bounds the broadcast list.
     multi = req.where(F.col("chunk") > 0).select("flight_id").distinct()
+    # one cheap look at the staged table: with no multi-chunk flight the
+    # table passes are skipped entirely
+    all_single = multi.isEmpty()
     single = req.join(F.broadcast(multi), "flight_id", "left_anti")
     req = req.join(F.broadcast(multi), "flight_id", "left_semi")
     blocks = _merged_chunks(req.select("flight_id", "booking_ref", "chunk"))
@@ -300,6 +303,7 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
         res["seats_left"] = np.asarray(left, dtype=np.int64)
         return res.drop(columns=["__seq"])
 
-    lab = req.join(starts, ["flight_id", "chunk"]).unionByName(
-        single.withColumn("start", F.col("cap")))
+    lab = single.withColumn("start", F.col("cap"))
+    if not all_single:
+        lab = req.join(starts, ["flight_id", "chunk"]).unionByName(lab)
     return bucketed(lab, "flight_id", "chunk").groupBy("__bucket").applyInPandas(run, out_schema)
