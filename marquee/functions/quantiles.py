@@ -31,19 +31,21 @@ def exact_percentiles(df: DataFrame, groups: list[str], value: str, ps: dict[str
     # cumulative count: values ranked [__hi - __c, __hi) (0-based ranks)
     cum = hist.withColumn("__hi", F.sum("__c").over(w))
     n = hist.groupBy(*groups).agg(F.sum("__c").alias("__n"))
-    out = n
-    for name, p in ps.items():
-        pos = (F.col("__n") - 1).cast("double") * F.lit(float(p))
-        t = n.select(*groups, "__n", pos.alias("__pos"),
-                     F.floor(pos).cast("long").alias("__r0"), F.ceil(pos).cast("long").alias("__r1"))
-        j = t.join(cum, groups)
-        in_bucket = lambda r: (F.col(r) < F.col("__hi")) & (F.col(r) >= F.col("__hi") - F.col("__c"))
-        picked = (j.groupBy(*groups).agg(
-            F.first("__pos").alias("__pos"),
-            F.max(F.when(in_bucket("__r0"), F.col(value))).alias("__lo"),
-            F.max(F.when(in_bucket("__r1"), F.col(value))).alias("__v1")))
-        frac = F.col("__pos") - F.floor("__pos")
-        val = F.col("__lo") + (F.col("__v1") - F.col("__lo")) * frac
-        res = picked.select(*groups, (F.round(val, digits) if digits is not None else val).alias(name))
-        out = out.join(res, groups)
-    return out.drop("__n")
+    # all targets of a group in one pass: one row per (group, percentile)
+    tgt = F.explode(F.array(*[F.struct(F.lit(k).alias("__p"), F.lit(float(p)).alias("__q"))
+                              for k, p in ps.items()]))
+    t = (n.select(*groups, "__n", tgt.alias("__t"))
+         .select(*groups, F.col("__t.__p").alias("__p"),
+                 ((F.col("__n") - 1).cast("double") * F.col("__t.__q")).alias("__pos")))
+    t = t.withColumn("__r0", F.floor("__pos").cast("long")).withColumn("__r1", F.ceil("__pos").cast("long"))
+    j = t.join(cum, groups)
+    in_bucket = lambda r: (F.col(r) < F.col("__hi")) & (F.col(r) >= F.col("__hi") - F.col("__c"))
+    picked = (j.groupBy(*groups, "__p").agg(
+        F.first("__pos").alias("__pos"),
+        F.max(F.when(in_bucket("__r0"), F.col(value))).alias("__lo"),
+        F.max(F.when(in_bucket("__r1"), F.col(value))).alias("__v1")))
+    frac = F.col("__pos") - F.floor("__pos")
+    val = F.col("__lo") + (F.col("__v1") - F.col("__lo")) * frac
+    val = F.round(val, digits) if digits is not None else val
+    return (picked.groupBy(*groups)
+            .agg(*[F.max(F.when(F.col("__p") == k, val)).alias(k) for k in ps]))
