@@ -137,9 +137,12 @@ def campaign_batches(attempts: DataFrame, batch_size: int = 1000, shards: int =
     r = running_totals(rec, ["campaign_day", "channel", "shard"], [F.col("user_id")],
                        {"__n": F.lit(1).cast("long")}, F.floor(F.col("user_id") / F.lit(1 << 20)))
     b = r.withColumn("batch_no", F.floor((F.col("__n") - 1) / F.lit(batch_size)))
+    ids = F.transform(F.sort_array(F.collect_list("user_id")), lambda x: x.cast("string"))
     return (b.groupBy("campaign_day", "channel", "shard", "batch_no")
             .agg(F.count(F.lit(1)).alias("recipients"), F.min("user_id").alias("first_user"),
-                 F.max("user_id").alias("last_user")))
+                 F.max("user_id").alias("last_user"),
+                 # one provider call's recipient list: at most batch_size ids
+                 F.array_join(ids, ",").alias("recipient_ids")))
 
 
 def attempt_history(attempts: DataFrame) -> DataFrame:

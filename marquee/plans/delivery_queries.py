@@ -140,7 +140,8 @@ rec AS (SELECT DISTINCT CAST(ts AS DATE) AS campaign_day, channel, user_id FROM
 n AS (SELECT *, user_id % 16 AS shard,
              ROW_NUMBER() OVER (PARTITION BY campaign_day, channel, user_id % 16 ORDER BY user_id) AS rn FROM rec)
 SELECT campaign_day, channel, shard, CAST(floor((rn - 1) / 1000) AS BIGINT) AS batch_no,
-       COUNT(*) AS recipients, MIN(user_id) AS first_user, MAX(user_id) AS last_user
+       COUNT(*) AS recipients, MIN(user_id) AS first_user, MAX(user_id) AS last_user,
+       string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS recipient_ids
 FROM n GROUP BY campaign_day, channel, shard, CAST(floor((rn - 1) / 1000) AS BIGINT)""")
 def q_campaign_batches(spark, sf):
     return D.campaign_batches(_att(spark, sf), batch_size=1000, shards=16)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marquee.operators import commerce as C
 from marquee.operators import flights as FL
 from marquee.operators import quality as Q
 from marquee.sources.adapters import view, with_views
@@ -140,10 +141,29 @@ def q_seat_release(spark, sf):
                                              view(spark, sf, "flights")))
 
 
-@register("duplicate_keys", with_views("seat_requests") + """
-SELECT booking_ref, COUNT(*) AS copies FROM seat_requests GROUP BY booking_ref HAVING COUNT(*) > 1""")
+@register("duplicate_keys", with_views("seat_requests", "flights") + ", " + C.promo_values_sql() + """
+SELECT 'seat_requests.booking_ref' AS check_name, booking_ref AS key, COUNT(*) AS copies
+FROM seat_requests GROUP BY booking_ref HAVING COUNT(*) > 1
+UNION ALL
+SELECT 'flights.flight_number_day', flight_number || '@' || CAST(CAST(departs_at AS DATE) AS VARCHAR), COUNT(*)
+FROM flights GROUP BY flight_number, CAST(departs_at AS DATE) HAVING COUNT(*) > 1
+UNION ALL
+SELECT 'promo_codes.code', code, COUNT(*) FROM promos GROUP BY code HAVING COUNT(*) > 1""")
 def q_duplicate_keys(spark, sf):
-    return Q.duplicate_keys(view(spark, sf, "seat_requests"), ["booking_ref"])
+    """V7 over the unique keys of the mapped tables: booking reference,
+    (flight number, UTC day), promo code."""
+    checks = [
+        ("seat_requests.booking_ref", view(spark, sf, "seat_requests"), [F.col("booking_ref")]),
+        ("flights.flight_number_day", view(spark, sf, "flights"),
+         [F.col("flight_number"), F.to_date("departs_at").cast("string")]),
+        ("promo_codes.code", C.promo_table(spark), [F.col("code")]),
+    ]
+    out = None
+    for name, df, key in checks:
+        k = df.select(F.concat_ws("@", *key).alias("key"))
+        d = Q.duplicate_keys(k, ["key"]).select(F.lit(name).alias("check_name"), "key", "copies")
+        out = d if out is None else out.unionByName(d)
+    return out
 
 
 _FK = [
@@ -154,17 +174,31 @@ _FK = [
 ]
 
 
-@register("fk_orphans", "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS check_name, COUNT(*) AS orphans FROM {c} WHERE {ck} IS NOT NULL "
-    f"AND {ck} NOT IN (SELECT {pk} FROM {p} WHERE {pk} IS NOT NULL)" for n, c, ck, p, pk in _FK))
+@register("fk_orphans", with_views("shop_orders", "seat_requests", "flights") + ", " + C.promo_values_sql() + "\n"
+          + "\nUNION ALL\n".join(
+              f"SELECT '{n}' AS check_name, COUNT(*) AS orphans FROM {c} WHERE {ck} IS NOT NULL "
+              f"AND {ck} NOT IN (SELECT {pk} FROM {p} WHERE {pk} IS NOT NULL)" for n, c, ck, p, pk in _FK)
+          + """
+UNION ALL
+SELECT 'shop_orders.promo_code->promo_codes', COUNT(*) FROM shop_orders WHERE promo_code IS NOT NULL
+  AND promo_code NOT IN (SELECT code FROM promos)
+UNION ALL
+SELECT 'seat_requests.flight_id->flights', COUNT(*) FROM seat_requests
+  WHERE flight_id NOT IN (SELECT flight_id FROM flights)""")
 def q_fk_orphans(spark, sf):
-    parts = []
-    for n, c, ck, p, pk in _FK:
-        o = Q.orphans(table(spark, sf, c).select(ck), table(spark, sf, p), ck, pk)
-        parts.append(o.agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(n).alias("check_name"), "orphans"))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
+    """V8: child rows whose key has no parent, one count per relation."""
+    pairs = [(n, table(spark, sf, c).select(ck), table(spark, sf, p), ck, pk) for n, c, ck, p, pk in _FK]
+    pairs += [
+        ("shop_orders.promo_code->promo_codes", view(spark, sf, "shop_orders").select("promo_code"),
+         C.promo_table(spark), "promo_code", "code"),
+        ("seat_requests.flight_id->flights", view(spark, sf, "seat_requests").select("flight_id"),
+         view(spark, sf, "flights"), "flight_id", "flight_id"),
+    ]
+    out = None
+    for n, child, parent, ck, pk in pairs:
+        o = Q.orphans(child, parent, ck, pk)
+        d = o.agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(n).alias("check_name"), "orphans")
+        out = d if out is None else out.unionByName(d)
     return out
 
 
