@@ -172,6 +172,28 @@ def _merged_chunks(slim: DataFrame) -> DataFrame:
                          .alias("block"))
 
 
+def _replay_pass(keep: list[str], sort_keys: list[str]):
+    """Grouped pandas pass: replay each (flight, chunk) from its ``start``
+    seats and label every request."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(sort_keys, kind="stable")
+        fid, ch = pdf["flight_id"].to_numpy(), pdf["chunk"].to_numpy()
+        kinds, refs = pdf["kind"].to_numpy(), pdf["booking_ref"].to_numpy()
+        qty, st = pdf["seats"].to_numpy(), pdf["start"].to_numpy()
+        b = _bounds(fid, ch)
+        status, left = [], []
+        for i in range(len(b) - 1):
+            lo, hi = b[i], b[i + 1]
+            s_, l_ = _fold_one(int(st[lo]), kinds[lo:hi], refs[lo:hi], qty[lo:hi])
+            status += s_
+            left += l_
+        res = pdf[[c for c in keep if c != "__seq"]].copy()
+        res["status"] = status
+        res["seats_left"] = np.asarray(left, dtype=np.int64)
+        return res
+    return run
+
+
 def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 4096,
                    bucket: F.Column = None, hot_rows: int | None = None, group: int = 1024) -> DataFrame:
     """H1 (and H2 when ``requests`` has ``kind`` = RELEASE rows): status of
@@ -192,6 +214,24 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
     cap = flights.select("flight_id", F.col("total_seats").cast("long").alias("cap"))
     req = (requests.join(cap, "flight_id")
            .withColumn("seats", F.col("seats").cast("long")))
+    keep = [c for c in requests.columns if c not in ("cap",)] + ["__seq"]
+    fields = {f.name: f for f in req.schema.fields}
+    out_schema = T.StructType([fields[c] for c in keep if c != "__seq"] + [
+        T.StructField("status", T.StringType()), T.StructField("seats_left", T.LongType())])
+
+    def bucketed(df: DataFrame, *keys) -> DataFrame:
+        return df.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(nb)))
+
+    # Common case: no flight has more than chunk_rows requests.  One cheap
+    # aggregate says so; then every flight is one chunk starting at capacity
+    # and a single grouped pass replays it (no numbering, no tables).
+    big = (req.groupBy("flight_id").agg(F.count(F.lit(1)).alias("__n"))
+           .where(F.col("__n") > chunk_rows))
+    if hot_rows is None and big.isEmpty():
+        lab = (req.withColumn("chunk", F.lit(0).cast("long")).withColumn("__seq", F.lit(0).cast("long"))
+               .withColumn("start", F.col("cap")))
+        return (bucketed(lab, "flight_id").groupBy("__bucket")
+                .applyInPandas(_replay_pass(keep, ["flight_id", "chunk", *order_cols]), out_schema))
     extra = {} if hot_rows is None else {"hot_rows": hot_rows}
     req = running_totals(req, ["flight_id"], [F.col(c) for c in order_cols],
                          {"__seq": F.lit(1).cast("long")}, bucket, **extra)
@@ -215,9 +255,6 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
     # the JVM-side running count is the request's position: Python sorts ints
     sort_keys = ["flight_id", "chunk", "__seq"]
 
-    def bucketed(df: DataFrame, *keys) -> DataFrame:
-        return df.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(nb)))
-
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(sort_keys, kind="stable")
         fid, ch = pdf["flight_id"].to_numpy(), pdf["chunk"].to_numpy()
@@ -281,27 +318,7 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
                        "flight_id", "run").groupBy("__bucket")
               .applyInPandas(walk(["flight_id", "run"], "chunk", "run_start"), "flight_id long, chunk long, start long"))
 
-    keep = [c for c in requests.columns if c not in ("cap",)] + ["__seq"]
-    fields = {f.name: f for f in req.schema.fields}
-    out_schema = T.StructType([fields[c] for c in keep if c != "__seq"] + [
-        T.StructField("status", T.StringType()), T.StructField("seats_left", T.LongType())])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(sort_keys, kind="stable")
-        fid, ch = pdf["flight_id"].to_numpy(), pdf["chunk"].to_numpy()
-        kinds, refs = pdf["kind"].to_numpy(), pdf["booking_ref"].to_numpy()
-        qty, st = pdf["seats"].to_numpy(), pdf["start"].to_numpy()
-        b = _bounds(fid, ch)
-        status, left = [], []
-        for i in range(len(b) - 1):
-            lo, hi = b[i], b[i + 1]
-            s_, l_ = _fold_one(int(st[lo]), kinds[lo:hi], refs[lo:hi], qty[lo:hi])
-            status += s_
-            left += l_
-        res = pdf[keep].copy()
-        res["status"] = status
-        res["seats_left"] = np.asarray(left, dtype=np.int64)
-        return res.drop(columns=["__seq"])
+    run = _replay_pass(keep, sort_keys)
 
     lab = single.withColumn("start", F.col("cap"))
     if not all_single:
