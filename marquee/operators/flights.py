@@ -172,11 +172,13 @@ def _merged_chunks(slim: DataFrame) -> DataFrame:
                          .alias("block"))
 
 
-def _replay_pass(keep: list[str], sort_keys: list[str]):
+def _replay_pass(keep: list[str], sort_keys: list[str] | None):
     """Grouped pandas pass: replay each (flight, chunk) from its ``start``
-    seats and label every request."""
+    seats and label every request.  ``sort_keys=None``: the rows arrive
+    already in request order (sorted on the JVM)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(sort_keys, kind="stable")
+        if sort_keys is not None:
+            pdf = pdf.sort_values(sort_keys, kind="stable")
         fid, ch = pdf["flight_id"].to_numpy(), pdf["chunk"].to_numpy()
         kinds, refs = pdf["kind"].to_numpy(), pdf["booking_ref"].to_numpy()
         qty, st = pdf["seats"].to_numpy(), pdf["start"].to_numpy()
@@ -230,8 +232,11 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
     if hot_rows is None and big.isEmpty():
         lab = (req.withColumn("chunk", F.lit(0).cast("long")).withColumn("__seq", F.lit(0).cast("long"))
                .withColumn("start", F.col("cap")))
-        return (bucketed(lab, "flight_id").groupBy("__bucket")
-                .applyInPandas(_replay_pass(keep, ["flight_id", "chunk", *order_cols]), out_schema))
+        # the request order is sorted on the JVM inside each bucket; the
+        # grouped pass then receives rows in that order and sorts nothing
+        lab = (bucketed(lab, "flight_id").repartition(nb, "__bucket")
+               .sortWithinPartitions("__bucket", "flight_id", *order_cols))
+        return lab.groupBy("__bucket").applyInPandas(_replay_pass(keep, None), out_schema)
     extra = {} if hot_rows is None else {"hot_rows": hot_rows}
     req = running_totals(req, ["flight_id"], [F.col(c) for c in order_cols],
                          {"__seq": F.lit(1).cast("long")}, bucket, **extra)
