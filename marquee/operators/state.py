@@ -69,3 +69,15 @@ def avg_from_state(state: DataFrame, days: DataFrame = None) -> DataFrame:
         m = days.select("event_date").distinct().join(m, "event_date", "left")
     return m.select("event_date",
                     F.coalesce(F.try_divide(F.col("s"), F.col("c")), F.lit(0.0)).alias("avg_watch_seconds"))
+
+
+def dau_exact_state(events: DataFrame) -> DataFrame:
+    """A2, exact variant: the distinct (day, user) set of each batch."""
+    return with_batch(events).select("event_date", "batch_id", "user_id").distinct()
+
+
+def dau_exact_from_state(state: DataFrame) -> DataFrame:
+    """A3, exact variant: users per day over all batches.  Users are first
+    made distinct per day, so the count is a plain count."""
+    return (state.select("event_date", "user_id").distinct()
+            .groupBy("event_date").agg(F.count(F.lit(1)).alias("dau")))

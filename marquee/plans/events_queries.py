@@ -43,6 +43,12 @@ def q_dau_sketch_state(spark, sf):
     return S.dau_from_state(S.dau_state(_ev(spark, sf)))
 
 
+@register("dau_exact_state", EV + """
+SELECT event_date, COUNT(DISTINCT user_id) AS dau FROM movie_events GROUP BY event_date""")
+def q_dau_exact_state(spark, sf):
+    return S.dau_exact_from_state(S.dau_exact_state(_ev(spark, sf)))
+
+
 @register("views_state_merge", EV + """
 SELECT event_date, movie_id, COUNT(*) AS view_count FROM movie_events
 WHERE event_type = 'VIEW_STARTED' GROUP BY event_date, movie_id""")
