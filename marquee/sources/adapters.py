@@ -64,7 +64,7 @@ VIEWS: dict[str, dict] = {
              "THEN CAST(floor(value) AS INT) END"),
         ],
     },
-    # catalogue (HW 2 products)
+    # marketplace catalogue
     "products": {
         "base": "part",
         "cols": [
