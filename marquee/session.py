@@ -61,7 +61,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="marquee-ckpt-")  # single machine only
-        spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")

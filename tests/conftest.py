@@ -16,8 +16,8 @@ def spark():
     from marquee.session import local_session
     s = local_session(cores=8, shuffle_partitions=8)
     # tests run locally: give the session its own shared-folder stand-in
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="marquee-test-ckpt-"))
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="marquee-test-ckpt-"))
     yield s
     s.stop()
 
