@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, decontam, minhash, mixing, quality, tokens, urls
+from marquee.llm import chat, decontam, minhash, mixing, quality, substrings, tokens, toxicity, urls
 from marquee.llm.common import read_table
 
 
@@ -43,6 +43,16 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings of 200 bytes."""
+    return substrings.repeats_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of every document's ids, read back from the token shards."""
     return tokens.token_digest(tokens.write_tokens(read_table(spark, sf_dir, "documents")))
@@ -55,4 +65,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_quality_rules, op3_decontamination, op5_url_filter, op6_chat_format, op7_mixing, op10_token_ids, pipeline)}
+    op1_minhash_dedup, op2_quality_rules, op3_decontamination, op5_url_filter, op6_chat_format, op7_mixing,
+    op8_toxicity, op9_substring_dedup, op10_token_ids, pipeline)}
