@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, decontam, minhash, mixing, quality, substrings, tokens, toxicity, urls
+from marquee.llm import chat, decontam, licences, minhash, mixing, quality, substrings, tokens, toxicity, urls
 from marquee.llm.common import read_table
 
 
@@ -24,6 +24,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families of every document that states one."""
+    return licences.document_licences(read_table(spark, sf_dir, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
     return urls.judge_urls(read_table(spark, sf_dir, "pages"))
@@ -65,5 +70,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_quality_rules, op3_decontamination, op5_url_filter, op6_chat_format, op7_mixing,
+    op1_minhash_dedup, op2_quality_rules, op3_decontamination, op4_licence_scan, op5_url_filter, op6_chat_format, op7_mixing,
     op8_toxicity, op9_substring_dedup, op10_token_ids, pipeline)}
