@@ -38,8 +38,9 @@ POSITIONS = CHUNKS * CHUNK_SIZE
 GUARANTEED = CHUNKS * (CHUNK_ERRORS + 1) - 1
 #: Signature distance up to which a pair that met is confirmed on its sets: mean + 4.3 deviations at 0.75.
 NEAR = 37
-#: Rows of one key that one task compares with each other at a time.
+#: Rows of one key, and their shingles, that make up a block; a task compares two blocks at a time.
 BLOCK_ROWS = 1500
+BLOCK_SHINGLES = 1 << 20
 
 _PATTERNS = [c for c in combinations(range(CHUNK_SIZE), CHUNK_SIZE - CHUNK_ERRORS)]
 
@@ -81,10 +82,10 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def index_keys(sigs: DataFrame) -> DataFrame:
-    """One row per chunk key of a signature: doc_id, which (number of the chunk and pattern), key (64 bits)."""
+    """One row per chunk key of a signature: doc_id, n, which (number of the chunk and pattern), key (64 bits)."""
     keys = [F.xxhash64(F.lit(i * len(_PATTERNS) + p), *[F.col("sig")[i * CHUNK_SIZE + x] for x in pattern])
             for i in range(CHUNKS) for p, pattern in enumerate(_PATTERNS)]
-    return sigs.select("doc_id", F.posexplode(F.array(*keys)).alias("which", "key"))
+    return sigs.select("doc_id", "n", F.posexplode(F.array(*keys)).alias("which", "key"))
 
 
 def shingle_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -140,54 +141,97 @@ def near_star_pairs(stars: DataFrame, sigs: DataFrame, percent: int) -> DataFram
     return sized.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def cross_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs from different components under one key, within ``NEAR``.
+def _pairs_of_group(table, lo: int, hi: int, which: int, percent: int):
+    """(i, js): row numbers of pairs of the group to look at, one i at a time.
+
+    Pairs have different components, compatible sizes and signatures within
+    ``NEAR``; each pair of rows belongs to one group only, that of the first
+    key that both share."""
+    chunk, pattern = divmod(which, len(_PATTERNS))
+    own, n, comp = (table.column(c).to_numpy() for c in ("own", "n", "component"))
+    sig = table.column("sig").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(own), -1).astype(np.uint16)
+    order = np.argsort(table.column("doc_id").to_numpy(), kind="stable")
+    left, right = (order, order) if lo == hi else (order[own[order] == lo], order[own[order] == hi])
+    for k, i in enumerate(left):
+        rest = right[k + 1:] if lo == hi else right
+        rest = rest[(comp[rest] != comp[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))]
+        if not len(rest):
+            continue
+        same = sig[rest] == sig[i]
+        near = same.sum(axis=1) >= POSITIONS - NEAR
+        rest, same = rest[near], same[near].reshape(-1, CHUNKS, CHUNK_SIZE)
+        if not len(rest):
+            continue
+        first = (same.sum(axis=2) >= CHUNK_SIZE - CHUNK_ERRORS).argmax(axis=1) == chunk
+        rest, same = rest[first], same[first][:, chunk]
+        if len(rest):
+            rest = rest[np.stack([same[:, list(p)].all(axis=1) for p in _PATTERNS], axis=1).argmax(axis=1) == pattern]
+        if len(rest):
+            yield i, rest
+
+
+_GROUP = ("key", "lo", "hi", "which")
+
+
+def in_blocks(members: DataFrame) -> DataFrame:
+    """Deals the rows of every key to groups (key, lo, hi).
+
+    A key's rows fall into blocks by a hash of doc_id, about ``BLOCK_ROWS``
+    rows or ``BLOCK_SHINGLES`` shingles to a block; every pair of blocks is a
+    group, so a hot key is split over many tasks and none holds more than two blocks."""
+    blocks = F.greatest(F.ceil(F.col("size") / F.lit(BLOCK_ROWS)), F.ceil(F.col("total") / F.lit(BLOCK_SHINGLES)))
+    return (members.withColumn("own", F.pmod(F.xxhash64("doc_id"), blocks))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
+            .drop("other", "size", "total"))
+
+
+def crossing_rows(placed: DataFrame, percent: int) -> DataFrame:
+    """The rows of each group that are in a pair to look at: group, doc_id, own, component."""
+    def run(keys, table):
+        lo, hi, which = (k.as_py() for k in keys[1:])
+        hit = np.zeros(len(table), bool)
+        for i, js in _pairs_of_group(table, lo, hi, which, percent):
+            hit[i] = True
+            hit[js] = True
+        return table.select([*_GROUP, "doc_id", "own", "component"]).filter(pa.array(hit))
+
+    return placed.groupBy(*_GROUP).applyInArrow(run, "key long, lo long, hi long, which int, doc_id long, own long, component long")
+
 
-    ``members``: key, size (rows of the key), doc_id, n, sig, component.  The
-    rows of a key are dealt to blocks by a hash of doc_id, about ``BLOCK_ROWS``
-    to a block; every pair of blocks is one group, so a hot key is split over
-    many tasks and none holds more than two blocks.  A pair is returned only
-    under the first key that both share."""
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK_ROWS))
-    own = F.pmod(F.xxhash64("doc_id"), blocks)
-    placed = (members.withColumn("own", own)
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-              .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
-              .drop("other", "size"))
+def crossing_links(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components, confirmed on the full sets of their rows.
 
+    ``rows``: group, doc_id, own, component, n, sig, shingles.  Pairs whose
+    components are linked already within the group are not looked at again, so
+    a group returns fewer links than it has rows."""
     def run(keys, table):
-        lo, hi = keys[1].as_py(), keys[2].as_py()
-        own = table.column("own").to_numpy()
-        doc, n = table.column("doc_id").to_numpy(), table.column("n").to_numpy()
+        lo, hi, which = (k.as_py() for k in keys[1:])
         comp = table.column("component").to_numpy()
-        sig = table.column("sig").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(doc), -1).astype(np.uint16)
-        which = table.column("which").to_numpy()[0]
-        chunk, pattern = divmod(int(which), len(_PATTERNS))
-        order = np.argsort(doc, kind="stable")
-        left = order if lo == hi else order[own[order] == lo]
-        right = order if lo == hi else order[own[order] == hi]
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+        root = {int(c): int(c) for c in comp}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
         found = []
-        for k, i in enumerate(left):
-            rest = right[k + 1:] if lo == hi else right
-            rest = rest[(comp[rest] != comp[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))]
-            if not len(rest):
-                continue
-            same = sig[rest] == sig[i]
-            near = same.sum(axis=1) >= POSITIONS - NEAR
-            if not near.any():
-                continue
-            rest, same = rest[near], same[near].reshape(-1, CHUNKS, CHUNK_SIZE)
-            first = (same.sum(axis=2) >= CHUNK_SIZE - CHUNK_ERRORS).argmax(axis=1)
-            rest, same = rest[first == chunk], same[first == chunk][:, chunk]
-            # the first pattern of that chunk that both share
-            shared = np.stack([same[:, list(p)].all(axis=1) for p in _PATTERNS], axis=1).argmax(axis=1) if len(rest) else np.zeros(0, int)
-            rest = rest[shared == pattern]
-            if len(rest):
-                found.append(np.stack([np.minimum(doc[rest], doc[i]), np.maximum(doc[rest], doc[i])], axis=1))
-        out = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(out[:, 0], pa.int64()), "b": pa.array(out[:, 1], pa.int64())})
-
-    return placed.groupBy("key", "lo", "hi").applyInArrow(run, "a long, b long")
+        for i, js in _pairs_of_group(table, lo, hi, which, percent):
+            mine, size = sets[i], len(sets[i])
+            lengths = np.array([len(sets[j]) for j in js])
+            every = np.concatenate([sets[j] for j in js])
+            equal = mine[np.minimum(np.searchsorted(mine, every), size - 1)] == every
+            common = np.add.reduceat(equal, np.cumsum(lengths) - lengths, dtype=np.int64)
+            for j in js[100 * common >= percent * (size + lengths - common)]:
+                a, b = find(int(comp[i])), find(int(comp[j]))
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    found.append((min(a, b), max(a, b)))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return rows.groupBy(*_GROUP).applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
@@ -210,9 +254,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = stored(named.join(classes.select(F.col("rep").alias("doc_id"), "n", "d1", "d2"), ["doc_id", "n", "d1", "d2"], "left_semi")
                   .dropDuplicates(["doc_id", "n", "d1", "d2"]).select("doc_id", "n", "sig"), "representatives")
     keys = index_keys(reps)
-    groups = stored(keys.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("lead"), F.min("which").alias("which"))
-                    .where("size > 1"), "groups")
-    members = stored(keys.drop("which").join(groups, "key"), "members")
+    groups = stored(keys.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.min("doc_id").alias("lead"),
+                                            F.min("which").alias("which")).where("size > 1"), "groups")
+    members = stored(keys.select("doc_id", "key").join(groups, "key"), "members")
     stars = members.where("doc_id != lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
     near = stored(near_star_pairs(stars, reps, percent), "stars")
     met = members.select("doc_id").distinct()
@@ -226,13 +270,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .withColumn("component", F.coalesce("component", "doc_id")))
     mixed = (labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
              .where("x != y").select("key"))
-    cross = labelled.join(mixed, "key", "left_semi").join(reps, "doc_id")
-    pairs = stored(cross_pairs(cross, percent).join(near, ["a", "b"], "left_anti"), "crossing")
-    more = confirm(pairs, sets, percent)
-    # links between components found so far, then components of those
-    of = lambda k: first.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
-    bridges = stored(more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
-        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).distinct(), "bridges")
+    cross = in_blocks(labelled.join(mixed, "key", "left_semi").join(reps, "doc_id"))
+    rows = stored(crossing_rows(cross, percent), "crossing")
+    bridges = stored(crossing_links(rows.join(reps, "doc_id").join(sets, "doc_id"), percent).distinct(), "bridges")
     second = components(bridges)
     joined = (first.unionByName(bridges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
                                 .join(first, "node", "left_anti").withColumn("component", F.col("node")))
