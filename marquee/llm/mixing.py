@@ -27,7 +27,7 @@ from marquee.llm.common import mix64, stored, word_count
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 #: Documents of one source that one task rounds at a time, and undecided ones that meet on the next level.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 4_000
 FAN_IN = 256
 
 
