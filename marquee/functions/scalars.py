@@ -52,5 +52,12 @@ def is_uuid(col) -> Column:
 
 
 def stable_hash_id(*cols) -> Column:
-    """sha-256 over the fields joined by an unprintable separator (dedup key)."""
-    return F.sha2(F.concat_ws("\u0001", *[_c(c).cast("string") for c in cols]), 256)
+    """sha-256 over the fields, each with its length or a mark for NULL in
+    front, so different rows never give one string (dedup key)."""
+    parts = [F.coalesce(F.concat(F.length(_c(c).cast("string")).cast("string"), F.lit(":"), _c(c).cast("string")), F.lit("-")) for c in cols]
+    return F.sha2(F.concat_ws("\u0001", *parts), 256)
+
+
+def derived_uuid(*cols) -> Column:
+    """A canonical UUID (8-4-4-4-12 hex digits) derived from the fields."""
+    return F.regexp_replace(stable_hash_id(*cols).substr(1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,15 +142,22 @@ def _money_sum(price: str = "price", qty: str = "quantity") -> F.Column:
 
 def priced_lines(items: DataFrame, products: DataFrame) -> DataFrame:
     """Each line with its product's status, stock and price; the line's
-    verdict against the stock snapshot (NULL = fine)."""
+    verdict against the stock snapshot (NULL = fine).  Lines of an order that
+    name the same product use up the stock in line order."""
     p = products.select("product_id", F.col("status").alias("product_status"), "stock", "price")
     j = items.join(p, "product_id", "left")
     code = (F.when(F.col("product_status").isNull(), "PRODUCT_NOT_FOUND")
             .when(F.col("product_status") != "ACTIVE", "PRODUCT_INACTIVE")
-            .when(F.col("stock") < F.col("quantity"), "INSUFFICIENT_STOCK"))
+            .when(F.col("stock") < _taken_so_far(), "INSUFFICIENT_STOCK"))
     return j.withColumn("line_code", code)
 
 
+def _taken_so_far() -> F.Column:
+    """Quantity of a product in an order's lines up to this one."""
+    w = Window.partitionBy("order_id", "product_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    return F.sum("quantity").over(w)
+
+
 # Line verdicts in rule order (the first failing rule of a line).
 LINE_CODES = ("PRODUCT_NOT_FOUND", "PRODUCT_INACTIVE", "INSUFFICIENT_STOCK")
 
@@ -204,7 +211,10 @@ def promo_code_check(subtotal: F.Column, now: F.Column) -> F.Column:
 
 
 def order_pricing(orders: DataFrame, items: DataFrame, products: DataFrame, promos: DataFrame) -> DataFrame:
-    """H3: subtotal, discount, total and the first failing rule per order."""
+    """H3: subtotal, discount, total and the first failing rule per order.
+
+    Orders that pass every other rule take a code's remaining uses in order of
+    (created_at, order_id); those beyond ``max_uses`` are refused."""
     sub = order_subtotals(items, products)
     o = orders.join(sub, "order_id").join(promos, F.col("promo_code") == F.col("code"), "left")
     s = F.col("subtotal")
@@ -212,6 +222,13 @@ def order_pricing(orders: DataFrame, items: DataFrame, products: DataFrame, prom
     code = (F.when(F.col("stock_code").isNotNull(), F.col("stock_code"))
             .when(F.col("promo_code").isNull(), "OK")
             .otherwise(F.coalesce(promo_code, F.lit("OK"))))
+    o = o.withColumn("__code", code)
+    o = running_totals(o.where("promo_code IS NOT NULL"), ["promo_code"], [F.col("created_at"), F.col("order_id")],
+                       {"__uses": (F.col("__code") == "OK").cast("long")}, F.to_date("created_at")).unionByName(
+        o.where("promo_code IS NULL").withColumn("__uses", F.lit(0).cast("long")))
+    code = (F.when((F.col("__code") == "OK") & F.col("promo_code").isNotNull()
+                   & (F.col("__uses") > F.col("max_uses") - F.col("current_uses")), "PROMO_CODE_INVALID")
+            .otherwise(F.col("__code")))
     ok = code == "OK"
     disc = F.when(F.col("promo_code").isNull(), F.lit(Decimal("0.00"))).otherwise(promo_discount(s))
     return o.select(
@@ -239,7 +256,7 @@ def order_repricing(orders: DataFrame, items: DataFrame, new_items: DataFrame, p
     nl = nl.withColumn("line_code",
                        F.when(F.col("product_status").isNull(), "PRODUCT_NOT_FOUND")
                        .when(F.col("product_status") != "ACTIVE", "PRODUCT_INACTIVE")
-                       .when(F.col("stock") < F.col("quantity"), "INSUFFICIENT_STOCK"))
+                       .when(F.col("stock") < _taken_so_far(), "INSUFFICIENT_STOCK"))
     sub = nl.groupBy("order_id").agg(
         _money_sum().alias("subtotal"),
         _first_failure().alias("stock_code"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.scalars import is_uuid, stable_hash_id
+from marquee.functions.scalars import derived_uuid, is_uuid
 from marquee.sources.adapters import DEVICE_TYPES, EVENT_TYPES
 
 EVENT_COLUMNS = ("event_id", "user_id", "movie_id", "event_type", "event_time", "event_date",
@@ -52,14 +52,14 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, bad
 
 
-def fill_defaults(raw: DataFrame, id_from=("user_id", "movie_id", "event_type", "timestamp",
-                                            "session_id")) -> DataFrame:
+def fill_defaults(raw: DataFrame, id_from=("user_id", "movie_id", "event_type", "timestamp", "device_type",
+                                            "session_id", "progress_seconds")) -> DataFrame:
     """V2 over the wire form (``timestamp`` = epoch millis): an empty or
     missing id and a zero or missing time count as absent (Q12).  A missing
     id is derived from the row's fields, so a replayed batch produces the
     same id (a random UUID would not).  A missing time takes the ingest
     clock."""
-    eid = F.coalesce(F.nullif(F.col("event_id"), F.lit("")), stable_hash_id(*id_from).substr(1, 32))
+    eid = F.coalesce(F.nullif(F.col("event_id"), F.lit("")), derived_uuid(*id_from))
     ts = F.coalesce(F.nullif(F.col("timestamp"), F.lit(0)),
                     F.unix_millis(F.current_timestamp()))
     return raw.withColumn("event_id", eid).withColumn("timestamp", ts)

@@ -31,8 +31,12 @@ def newest_per_key(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
 
 
 def merge_rows(existing: DataFrame, new: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """K3/K5 semantics on frames: new rows win over old on the same key."""
-    return newest_per_key(existing.unionByName(new, allowMissingColumns=True), keys, ts)
+    """K3/K5 semantics on frames: a new row wins over a stored one on the same
+    key whatever their clocks say; among new rows the newest."""
+    both = existing.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)), allowMissingColumns=True)
+    rest = [c for c in both.columns if c not in (*keys, "__new")]
+    return (both.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("__new", F.col(ts))).alias("__row"))
+            .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -72,9 +76,18 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, keys: list[str], ts:
 
 
 def replace_day(spark: SparkSession, rows: DataFrame, path: str, part: str, day) -> None:
-    """K4: the day's rows become exactly ``rows`` (possibly none)."""
-    delete_path(spark, f"{path.rstrip('/')}/{part}={day}")
-    rows.where(F.col(part) == F.lit(day).cast("date")).write.mode("append").partitionBy(part).parquet(path)
+    """K4: the day's rows become exactly ``rows`` (possibly none).
+
+    The rows are staged first and then swapped in by a partition overwrite, so
+    a failure on the way leaves the old day; only an empty result deletes it."""
+    stage = scratch_path(spark, "day-stage")
+    rows.where(F.col(part) == F.lit(day).cast("date")).write.partitionBy(part).parquet(stage)
+    staged = spark.read.schema(rows.schema).parquet(stage)
+    if staged.isEmpty():
+        delete_path(spark, f"{path.rstrip('/')}/{part}={day}")
+    else:
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    delete_path(spark, stage)
 
 
 def read_day(spark: SparkSession, root: str, day) -> dict[str, DataFrame]:

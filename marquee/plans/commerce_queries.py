@@ -64,7 +64,7 @@ lines AS (
   SELECT i.*, p.status AS product_status, p.stock, p.price,
          CASE WHEN p.status IS NULL THEN 'PRODUCT_NOT_FOUND'
               WHEN p.status <> 'ACTIVE' THEN 'PRODUCT_INACTIVE'
-              WHEN p.stock < i.quantity THEN 'INSUFFICIENT_STOCK' END AS line_code
+              WHEN p.stock < SUM(i.quantity) OVER (PARTITION BY i.order_id, i.product_id ORDER BY i.line_no) THEN 'INSUFFICIENT_STOCK' END AS line_code
   FROM order_items i LEFT JOIN products p USING (product_id))"""
 
 _FIRST_FAIL = ("['PRODUCT_NOT_FOUND', 'PRODUCT_INACTIVE', 'INSUFFICIENT_STOCK'][CAST(MIN(CASE "
@@ -92,12 +92,16 @@ _DISC = """CASE WHEN pr.discount_type = 'PERCENTAGE' THEN
 _PRICED = with_views("shop_orders", "products", "order_items") + ", " + C.promo_values_sql() + _LINES + f""",
 sub AS (SELECT order_id, CAST(SUM(price * quantity) AS DECIMAL(18,2)) AS subtotal,
                {_FIRST_FAIL} AS stock_code FROM lines GROUP BY order_id),
-j AS (SELECT o.order_id, o.user_id, o.status, o.created_at, o.promo_code, s.subtotal, s.stock_code, pr.*,
+j0 AS (SELECT o.order_id, o.user_id, o.status, o.created_at, o.promo_code, s.subtotal, s.stock_code, pr.*,
         CASE WHEN s.stock_code IS NOT NULL THEN s.stock_code
              WHEN o.promo_code IS NULL THEN 'OK'
-             ELSE COALESCE({_PROMO_FAIL.format(now='o.created_at', sub='s.subtotal')}, 'OK') END AS verdict,
+             ELSE COALESCE({_PROMO_FAIL.format(now='o.created_at', sub='s.subtotal')}, 'OK') END AS other_verdict,
         CASE WHEN o.promo_code IS NULL THEN 0.00 ELSE {_DISC.format(sub='s.subtotal')} END AS disc
       FROM shop_orders o JOIN sub s USING (order_id) LEFT JOIN promos pr ON o.promo_code = pr.code),
+j AS (SELECT *, CASE WHEN other_verdict = 'OK' AND promo_code IS NOT NULL AND
+               SUM(CASE WHEN other_verdict = 'OK' THEN 1 ELSE 0 END) OVER (PARTITION BY promo_code ORDER BY created_at, order_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > max_uses - current_uses
+             THEN 'PROMO_CODE_INVALID' ELSE other_verdict END AS verdict FROM j0),
 priced AS (
   SELECT order_id, user_id, verdict AS code,
        CASE WHEN verdict = 'OK' THEN subtotal END AS subtotal,
@@ -121,7 +125,7 @@ nl AS (
   SELECT n.*, p.price,
          CASE WHEN p.status IS NULL THEN 'PRODUCT_NOT_FOUND'
               WHEN p.status <> 'ACTIVE' THEN 'PRODUCT_INACTIVE'
-              WHEN p.stock + COALESCE(q.old_qty, 0) < n.quantity THEN 'INSUFFICIENT_STOCK' END AS line_code
+              WHEN p.stock + COALESCE(q.old_qty, 0) < SUM(n.quantity) OVER (PARTITION BY n.order_id, n.product_id ORDER BY n.line_no) THEN 'INSUFFICIENT_STOCK' END AS line_code
   FROM (SELECT * FROM order_items WHERE returnflag <> 'R') n
   LEFT JOIN products p USING (product_id)
   LEFT JOIN old_qty q USING (order_id, product_id)),

@@ -43,6 +43,15 @@ def q_dau_sketch_state(spark, sf):
     return S.dau_from_state(S.dau_state(_ev(spark, sf)))
 
 
+@register("dau_sketch_check", EV + """
+SELECT event_date, COUNT(DISTINCT user_id) AS dau, true AS within_3_percent FROM movie_events GROUP BY event_date""")
+def q_dau_sketch_check(spark, sf):
+    """A2 + A3 against the exact state: the estimate is within 3 % (or one user)."""
+    est = S.dau_from_state(S.dau_state(_ev(spark, sf))).withColumnRenamed("dau", "est")
+    j = S.dau_exact_from_state(S.dau_exact_state(_ev(spark, sf))).join(est, "event_date")
+    return j.select("event_date", "dau", (F.abs(F.col("est") - F.col("dau")) <= F.greatest(F.lit(1.0), 0.03 * F.col("dau"))).alias("within_3_percent"))
+
+
 @register("dau_exact_state", EV + """
 SELECT event_date, COUNT(DISTINCT user_id) AS dau FROM movie_events GROUP BY event_date""")
 def q_dau_exact_state(spark, sf):

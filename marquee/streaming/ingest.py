@@ -7,15 +7,20 @@ is not bundled here, so that path is written but untested.  Avro with a
 schema registry would need ``from_avro`` (spark-avro) after stripping the
 5-byte registry header -- also not bundled.
 
-Sinks: accepted rows go to the raw table partitioned by ``event_date``
-through the file sink (exactly-once via its commit log); rejected rows go to
-a quarantine table with their reasons.  The incremental views write one
-partial-state partition per micro-batch under ``batch_id=<id>`` with
-overwrite, so a replayed batch replaces itself and readers merge all batches.
+Sinks: accepted rows go to the raw table, partitioned by ``event_date`` and
+``batch_id``; a micro-batch or backfill overwrites its own partitions, so a
+replayed batch replaces itself and the table needs no commit log: stream,
+backfill and purge work on the same folders.  Rejected rows go to a
+quarantine table with their reasons, one folder per batch.  The incremental
+views write one partial-state partition per micro-batch under
+``batch_id=<id>`` in the same way; readers merge all batches.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,26 +78,38 @@ def validated(stream: DataFrame) -> DataFrame:
 
 def start_ingest(stream: DataFrame, raw_path: str, quarantine_path: str, checkpoint_root: str,
                  trigger: dict | None = None):
-    """T1 + K1: two file-sink queries on one source (each exactly-once on its
-    own checkpoint).  Returns (raw_query, quarantine_query)."""
+    """T1 + K1: two queries on one source, each with its own checkpoint; a
+    batch that is run again replaces what it wrote.  Batch folders carry the
+    query's own id, so a second stream into the same table adds to it.
+    Returns (raw_query, quarantine_query)."""
     v = validated(stream)
     trig = trigger or {"availableNow": True}
-    ok = (v.where("valid").drop("valid", "reasons")
-          .writeStream.format("parquet").option("path", raw_path)
-          .option("checkpointLocation", f"{checkpoint_root}/raw").partitionBy("event_date")
-          .trigger(**trig).start())
-    bad = (v.where("NOT valid").drop("valid")
-           .writeStream.format("parquet").option("path", quarantine_path)
-           .option("checkpointLocation", f"{checkpoint_root}/quarantine")
-           .trigger(**trig).start())
+    source = hashlib.md5(checkpoint_root.encode()).hexdigest()[:8]  # the checkpoint names the stream
+
+    def put_raw(df: DataFrame, bid: int) -> None:
+        write_raw_batch(df, raw_path, f"stream-{source}-{bid}")
+
+    def put_quarantine(df: DataFrame, bid: int) -> None:
+        df.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id=stream-{source}-{bid}")
+
+    ok = (v.where("valid").drop("valid", "reasons").writeStream.foreachBatch(put_raw)
+          .option("checkpointLocation", f"{checkpoint_root}/raw").trigger(**trig).start())
+    bad = (v.where("NOT valid").drop("valid").writeStream.foreachBatch(put_quarantine)
+           .option("checkpointLocation", f"{checkpoint_root}/quarantine").trigger(**trig).start())
     return ok, bad
 
 
-def write_raw_batch(events: DataFrame, raw_path: str) -> None:
-    """K1 for a batch backfill: partitioned by day, sorted inside each file by
-    the table's key (type, user, time) for min/max skipping."""
-    (events.repartition("event_date").sortWithinPartitions("event_type", "user_id", "event_time")
-     .write.mode("append").partitionBy("event_date").parquet(raw_path))
+def write_raw_batch(events: DataFrame, raw_path: str, batch_id: str | None = None) -> None:
+    """K1 for a micro-batch or a backfill: partitioned by day and batch, files
+    sorted by the table's key (type, user, time) for min/max skipping.
+
+    Rows are rebalanced by day, so a large day is split over tasks by its
+    measured size.  Writing a ``batch_id`` again replaces it; without one the
+    rows are a batch of their own."""
+    batch_id = batch_id or f"backfill-{uuid.uuid4().hex[:12]}"
+    (events.hint("rebalance", "event_date").sortWithinPartitions("event_date", "event_type", "user_id", "event_time")
+     .withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch_id").parquet(raw_path))
 
 
 def dedup(stream: DataFrame, key: str = "event_id", within: str = "24 hours",
