@@ -154,7 +154,9 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int, rounds: int = ROUNDS
         at = np.flatnonzero(often[slot] & (slot >= 0))
         if not len(at):
             break
-        pairs, which, count = np.unique(code[at], return_inverse=True, return_counts=True)
+        coded = pa.array(code[at]).dictionary_encode()
+        pairs, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        count = np.bincount(which)
         chosen = np.flatnonzero(count >= least)
         if not len(chosen):
             break
@@ -179,19 +181,28 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int, rounds: int = ROUNDS
     return seq.astype("<u2"), firsts.astype("<u4"), rules.astype("<u2")
 
 
-def rule_expansions(rules: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """Length of each rule's expansion, and all expansions end to end."""
-    parts: list[np.ndarray] = []
+def rule_sizes(rules: np.ndarray, base: int) -> np.ndarray:
+    """Length of each rule's expansion."""
+    sizes: list[int] = []
     for left, right in rules.tolist():
-        parts.append(np.concatenate([parts[x - base] if x >= base else np.array([x], "<u4") for x in (left, right)]))
-    return np.array([len(p) for p in parts], "<u4"), (np.concatenate(parts) if parts else np.zeros(0, "<u4"))
+        sizes.append((sizes[left - base] if left >= base else 1) + (sizes[right - base] if right >= base else 1))
+    return np.array(sizes, "<u4")
+
+
+def rule_expansions(rules: np.ndarray, base: int) -> np.ndarray:
+    """All rules' expansions, end to end."""
+    parts: list[bytes] = []
+    for left, right in rules.tolist():
+        parts.append((parts[left - base] if left >= base else left.to_bytes(4, "little"))
+                     + (parts[right - base] if right >= base else right.to_bytes(4, "little")))
+    return np.frombuffer(b"".join(parts), "<u4")
 
 
 def pack(ids: list[np.ndarray], base: int) -> bytes:
     """A shard's payload; ``ids``: one array for each document, none empty."""
     lengths = np.array([len(x) for x in ids], "<u4")
     seq, firsts, rules = repair(np.concatenate(ids), lengths.astype(np.int64), base)
-    sizes, _ = rule_expansions(rules, base)
+    sizes = rule_sizes(rules, base)
     return b"".join([_MAGIC, struct.pack("<4I", base, len(rules), len(ids), len(seq)), rules.tobytes(), sizes.tobytes(),
                      lengths.tobytes(), firsts.tobytes(), seq.tobytes()])
 
@@ -214,7 +225,7 @@ class Shard:
         self.firsts = take("<u4", docs + 1)
         at += 4 * (docs + 1)
         self.symbols = take("<u2", symbols)
-        _, self.expanded = rule_expansions(rule, self.base)
+        self.expanded = rule_expansions(rule, self.base)
         self.begin = np.concatenate(([0], np.cumsum(self.sizes, dtype=np.int64)))
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
