@@ -25,13 +25,14 @@ import re
 import struct
 import zlib
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import stored
+from marquee.llm.common import blocks, stored, text_buffers
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
@@ -42,21 +43,21 @@ ROUNDS = 5
 #: Symbols are 16-bit numbers.
 _SYMBOLS = 1 << 16
 _CACHE_WORDS = 350_000
+#: Text bytes that are encoded together.
+_BLOCK_BYTES = 1 << 20
 _PAIR_BITS = 18
 _MAGIC = b"RPG1"
-
-#: A place between a visible character and white space: pieces cut here encode as they do in the whole text.
-_SAFE_CUT = re.compile(r"(?<=[!-~À-ÖØ-öø-ÿ])(?=[ \n\t\r])")
-
+#: Pieces that can be encoded with a line feed before and after them.
+_PLAIN = re.compile(rb" ?[!-~](?:[^\n]*[!-~])?")
 
 class Encoder:
     """Ids of whole texts, with the tokenizer run once for each different piece.
 
     Byte-level BPE never merges across the cut between a visible character and
-    the white space after it, so a text is cut at single spaces and line feeds
-    and the ids of its pieces are joined.  Texts with other runs of white space
-    are cut only where ``_SAFE_CUT`` allows.  At most two generations of
-    ``_CACHE_WORDS`` pieces (and one batch more) are known at a time."""
+    the white space after it, so texts are cut there and the ids of the pieces
+    are joined.  Cuts are found in the UTF-8 bytes of a block of texts and equal
+    pieces of the block are looked up once.  At most two generations of
+    ``_CACHE_WORDS`` pieces (and one block more) are known at a time."""
 
     def __init__(self, path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -68,72 +69,93 @@ class Encoder:
         self.base = self.tokenizer.get_vocab_size(with_added_tokens=True)
         if self.base >= _SYMBOLS:
             raise ValueError("ids must fit in 16 bits")
-        # by what stands before a piece; two generations, so pieces still in use stay known
-        self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}, "\n": {}}
-        self.older: dict[str, dict[str, bytes]] = {"": {}, " ": {}, "\n": {}}
-
-    def _learn(self, lead: str, pieces: list[str]) -> None:
-        table = self.known[lead]
-        for a in range(0, len(pieces), 4096):
-            part = pieces[a:a + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([lead + w for w in part], add_special_tokens=False)):
-                table[w] = array("H", e.ids).tobytes()
-
-    def _lookup(self, lead: str, pieces: list[str]) -> list[bytes]:
-        if len(self.known[lead]) > _CACHE_WORDS:
-            self.older[lead], self.known[lead] = self.known[lead], {}
-        table = self.known[lead]
-        found = list(map(table.get, pieces))
-        if None in found:
-            new, older = {w for w, x in zip(pieces, found) if x is None}, self.older[lead]
-            again = {w: older[w] for w in new if w in older}
-            table.update(again)
-            self._learn(lead, [w for w in new if w not in again])
-            found = [table[w] if x is None else x for w, x in zip(pieces, found)]
+        self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        # two generations, so pieces still in use stay known
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _learn(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of new pieces.  Plain words go to the tokenizer many at a time with line feeds
+        between them: a line feed before a word or one space is a piece and an id of its own."""
+        out: list[bytes | None] = [None] * len(pieces)
+        plain = [i for i, p in enumerate(pieces) if _PLAIN.fullmatch(p)]
+        for a in range(0, len(plain), 4096):
+            part = plain[a:a + 4096]
+            raw = self._ids([b"\n".join([pieces[i] for i in part])])[0]
+            cut = np.flatnonzero(np.frombuffer(raw, "<u2") == self.feed) * 2
+            if len(cut) == len(part) - 1:
+                for i, x, y in zip(part, [0, *(cut + 2).tolist()], [*cut.tolist(), len(raw)]):
+                    out[i] = raw[x:y]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for a in range(0, len(rest), 4096):
+            for i, x in zip(rest[a:a + 4096], self._ids([pieces[i] for i in rest[a:a + 4096]])):
+                out[i] = x
+        return out
+
+    def _ids(self, texts: list[bytes]) -> list[bytes]:
+        return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def _lookup(self, pieces: list[bytes]) -> list[bytes]:
+        if len(self.known) > _CACHE_WORDS:
+            self.older, self.known = self.known, {}
+        found = list(map(self.known.get, pieces))
+        missing = [i for i, x in enumerate(found) if x is None]
+        learn = []
+        for i in missing:
+            x = found[i] = self.older.get(pieces[i])
+            if x is None:
+                learn.append(i)
+            else:
+                self.known[pieces[i]] = x
+        learnt = self._learn([pieces[i] for i in learn])
+        for i, x in zip(learn, learnt):
+            found[i] = self.known[pieces[i]] = x
         return found
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text with ``END_ID`` appended (null: only that)."""
-        end = struct.pack("<H", END_ID)
-        spaced: list[str] = []
-        firsts: list[str] = []
-        heads: list[str] = []
-        plans = []  # a text's lines: the number of spaced pieces of each; None where it is cut safely
-        for t in texts:
-            if not t:
-                plans.append([])
-                continue
-            lines = [line.split(" ") for line in t.split("\n")]
-            if any("" in line for line in lines):
-                cut = _SAFE_CUT.split(t)
-                plans.append(len(cut))
-                heads += cut
-                continue
-            heads.append(lines[0][0])
-            for line in lines:
-                spaced += line[1:]
-            firsts += [line[0] for line in lines[1:]]
-            plans.append([len(line) - 1 for line in lines])
-        heads, firsts, spaced = (self._lookup(k, x) for k, x in (("", heads), ("\n", firsts), (" ", spaced)))
-        out, h, f, s = [], 0, 0, 0
-        for plan in plans:
-            if isinstance(plan, int):
-                parts = heads[h:h + plan]
-                h += plan
-            else:
-                parts = []
-                for k, n in enumerate(plan):
-                    if k:
-                        parts.append(firsts[f])
-                        f += 1
-                    else:
-                        parts.append(heads[h])
-                        h += 1
-                    parts += spaced[s:s + n]
-                    s += n
-            parts.append(end)
-            out.append(np.frombuffer(b"".join(parts), "<u2"))
-        return out
+        return list(self.encode_column(pa.array(texts, pa.string())))
+
+    def encode_column(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """``encode`` of a string column, in blocks of bounded size."""
+        data, offsets = text_buffers(column)
+        for i, j in blocks(offsets, _BLOCK_BYTES):
+            yield from self._block(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+
+    def _block(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        first = np.zeros(len(data) + 1, bool)
+        first[offsets] = True
+        first[_cuts(data)] = True
+        starts = np.flatnonzero(first[:-1])
+        edges = np.append(starts, len(data)).astype(np.int64)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
+        coded = pieces.dictionary_encode()
+        found = [*self._lookup(coded.dictionary.to_pylist()), struct.pack("<H", END_ID)]
+        ids = np.frombuffer(b"".join(found), "<u2")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        # the pieces in order, and the end id after the last one of each text
+        order = np.insert(coded.indices.to_numpy().astype(np.int64), np.searchsorted(starts, offsets[1:]), len(found) - 1)
+        n = sizes[order]
+        ends = np.cumsum(n)
+        out = ids[np.repeat(np.cumsum(sizes)[order] - ends, n) + np.arange(int(ends[-1]))]
+        return np.split(out, ends[np.flatnonzero(order == len(found) - 1)][:-1])
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Places in UTF-8 bytes between a visible character and space, tab, line feed or carriage return.
+
+    A character of several bytes counts as visible if its first byte starts no Unicode space."""
+    blank = np.zeros(256, bool)
+    blank[[0x20, 0x09, 0x0A, 0x0D]] = True
+    at = np.flatnonzero(blank[data])
+    at = at[at > 0]
+    before = data[at - 1]
+    tail = lambda k: (before >= 0x80) & (before < 0xC0) & (at >= k)
+    second, third = data[at - 2], data[np.maximum(at - 3, 0)]
+    seen = (before > 0x20) & (before < 0x7F)
+    seen |= tail(2) & (second >= 0xC3) & (second < 0xE0)
+    seen |= tail(3) & (second >= 0x80) & (second < 0xC0) & (third >= 0xE4) & (third < 0xF0)
+    return at[seen]
 
 
 def repair(ids: np.ndarray, lengths: np.ndarray, base: int, rounds: int = ROUNDS,
@@ -286,15 +308,13 @@ def token_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 ["part", "number", "doc_ids", "n_tokens", "payload"])
 
         for batch in batches:
-            for a in range(0, len(batch), 256):
-                some = batch.slice(a, 256)
-                for d, x in zip(some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist())):
-                    names.append(d)
-                    ids.append(x)
-                    size += len(x)
-                    if size >= SHARD_TOKENS:
-                        yield shard()
-                        number, names, ids, size = number + 1, [], [], 0
+            for d, x in zip(batch.column(0).to_pylist(), encoder.encode_column(batch.column(1))):
+                names.append(d)
+                ids.append(x)
+                size += len(x)
+                if size >= SHARD_TOKENS:
+                    yield shard()
+                    number, names, ids, size = number + 1, [], [], 0
         if ids:
             yield shard()
 

@@ -354,3 +354,17 @@ def test_pipeline_stages(spark):
     assert all(c == d for d, (_, c) in components.items())
     out = corpus_pipeline.run(spark, sf)
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() == len(left)
+
+
+def test_encoder_cuts_and_blocks(monkeypatch):
+    """Mixed white space, characters of two to four bytes, blocks of a few bytes and a cache that turns over."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(tokens, "_BLOCK_BYTES", 64)
+    monkeypatch.setattr(tokens, "_CACHE_WORDS", 50)
+    plain, own, rnd = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), tokens.Encoder(), random.Random(9)
+    parts = ["a", "bc", "é", "ж", "中", "😀", " ", " ", "\n", "\t", "\r", " ", "　", " ", "\x85", "\x1c", ".", "'s", "12", "<|endoftext|>"]
+    texts = [None, "", *("".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 14))) for _ in range(3000))]
+    got = own.encode(texts)
+    assert len(got) == len(texts)
+    assert all(g.tolist() == plain.encode(t or "", add_special_tokens=False).ids + [tokens.END_ID] for g, t in zip(got, texts))
