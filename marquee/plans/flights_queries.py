@@ -37,7 +37,7 @@ def q_booking_cost(spark, sf):
     return FL.booking_cost(view(spark, sf, "seat_requests"), view(spark, sf, "flights"))
 
 
-@register("booking_reconcile", with_views("bookings", "order_items") + """,
+@register("booking_reconcile", with_views("order_items", bookings="recorded_bookings") + """,
 rsv AS (SELECT CAST(order_id AS VARCHAR) AS booking_ref,
                CASE WHEN MAX(returnflag) = 'R' AND MIN(returnflag) <> 'A' THEN 'RELEASED' ELSE 'ACTIVE' END AS rsv_status
         FROM order_items GROUP BY order_id)
@@ -53,7 +53,7 @@ SELECT COALESCE(b.booking_ref, r.booking_ref) AS booking_ref, b.booking_status,
 FROM bookings b FULL OUTER JOIN rsv r ON b.booking_ref = r.booking_ref""")
 def q_booking_reconcile(spark, sf):
     rsv = FL.reservations_from_lines(view(spark, sf, "order_items"))
-    return FL.booking_reconcile(view(spark, sf, "bookings"), rsv)
+    return FL.booking_reconcile(view(spark, sf, "recorded_bookings"), rsv)
 
 
 @register("bookings_newest", with_views("bookings") + """

@@ -45,6 +45,13 @@ _TYPE_MAP = ("CASE event_type WHEN 'view' THEN 'VIEW_STARTED' "
 _DEVICE = ("CASE user_id % 4 WHEN 0 THEN 'MOBILE' WHEN 1 THEN 'DESKTOP' "
            "WHEN 2 THEN 'TV' ELSE 'TABLET' END")
 _DAY = "CAST(ts AS DATE)"
+_BOOKING = [
+    ("booking_id", "o_orderkey"),
+    ("booking_ref", "CAST(o_orderkey AS STRING)"),
+    ("customer_id", "o_custkey"),
+    ("booking_status", "CASE WHEN o_orderstatus = 'F' THEN 'CANCELLED' ELSE 'CONFIRMED' END"),
+    ("created_at", "o_orderdate"),
+]
 
 VIEWS: dict[str, dict] = {
     # movie events (input of V1, P1, all of §2.6 events part)
@@ -154,17 +161,17 @@ VIEWS: dict[str, dict] = {
             ("extendedprice", "l_extendedprice"),
         ],
     },
-    # bookings over orders (o_orderkey % 7 <> 0)
+    # bookings over orders
     "bookings": {
         "base": "orders",
-        "where": "o_orderkey % 7 <> 0",
-        "cols": [
-            ("booking_id", "o_orderkey"),
-            ("booking_ref", "CAST(o_orderkey AS STRING)"),
-            ("customer_id", "o_custkey"),
-            ("booking_status", "CASE WHEN o_orderstatus = 'F' THEN 'CANCELLED' ELSE 'CONFIRMED' END"),
-            ("created_at", "o_orderdate"),
-        ],
+        "cols": _BOOKING,
+    },
+    # bookings as booking_reconcile sees them: an order in process (status P)
+    # may hold seats and has no booking yet
+    "recorded_bookings": {
+        "base": "orders",
+        "where": "o_orderstatus IS DISTINCT FROM 'P'",
+        "cols": _BOOKING,
     },
     # notification attempts over events: one notification per
     # (user, tier, day); each event is one attempt on it
@@ -204,10 +211,11 @@ VIEWS: dict[str, dict] = {
             ("body", "CASE WHEN event_id % 11 = 0 THEN substr(" + "{body}" + ", 1, 20) ELSE {body} END"),
         ],
     },
-    # receipts from the app: present unless event_id % 10 = 0
+    # receipts from the app as silent_drops sees them: none came in for what
+    # was sent between 03:00 and 04:00
     "receipts": {
         "base": "events",
-        "where": "event_id % 10 <> 0",
+        "where": "EXTRACT(HOUR FROM ts) IS DISTINCT FROM 3",
         "cols": [("attempt_id", "event_id"), ("shown_at", "ts")],
     },
     # request log over events (endpoint = type)
@@ -240,13 +248,14 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.selectExpr(*_exprs(name, "spark"))
 
 
-def cte(name: str) -> str:
-    """``name AS (SELECT ...)`` for a DuckDB WITH clause."""
+def cte(name: str, alias: str | None = None) -> str:
+    """``name AS (SELECT ...)`` for a DuckDB WITH clause (under ``alias`` if given)."""
     spec = VIEWS[name]
     where = f" WHERE {spec['where']}" if "where" in spec else ""
     cols = ", ".join(_exprs(name, "duckdb"))
-    return f"{name} AS (SELECT {cols} FROM {spec['base']}{where})"
+    return f"{alias or name} AS (SELECT {cols} FROM {spec['base']}{where})"
 
 
-def with_views(*names: str) -> str:
-    return "WITH " + ",\n".join(cte(n) for n in names)
+def with_views(*names: str, **renamed: str) -> str:
+    """A WITH clause of views; ``renamed`` gives a view another name in the statement."""
+    return "WITH " + ",\n".join([*(cte(n) for n in names), *(cte(n, a) for a, n in renamed.items())])
