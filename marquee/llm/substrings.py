@@ -16,7 +16,10 @@ machine, so the corpus is cut where repeats must line up:
    range maximum between them.  The statistics are streamed: after column x
    they say how far back each context agrees with its neighbours, and a
    window that ends there is repeated if that is its whole length.
-4. Repeated windows of all documents are gathered per document, merged and
+4. A minimizer with more different contexts than one task should hold is not
+   indexed: its contexts are cut into windows, and a window is repeated if
+   another context has it at the same place, which partial counts tell.
+5. Repeated windows of all documents are gathered per document, merged and
    cut out.
 """
 
@@ -36,7 +39,7 @@ LENGTH = 200
 GRAM = 80
 #: Window starts that can share a minimizer.
 REACH = LENGTH - GRAM + 1
-#: Contexts indexed together; a minimizer's contexts are never parted.
+#: Contexts indexed together; a minimizer's contexts are never parted, and one with more of them is counted by windows.
 BATCH_ROWS = 20_000
 _GRAM_HASH = PrefixHash(0x9FB21C651E98DF25)
 _CONTEXT_HASH = PrefixHash(0xD6E8FEB86659FD93)
@@ -234,17 +237,60 @@ def _index(rows: DataFrame) -> DataFrame:
             .mapInArrow(run, "anchor long, context long, rel short, windows short, ranges array<struct<a:int,z:int>>"))
 
 
+def _by_window(rows: DataFrame, most: int) -> DataFrame:
+    """As ``_index``, for minimizers of any number of contexts: windows are compared by 128 bits of hash."""
+    def run(batches):
+        for batch in batches:
+            for a in range(0, len(batch), 1024):
+                some = batch.slice(a, 1024)
+                data, offsets = text_buffers(some.column(5))
+                windows = some.column(3).to_numpy().astype(np.int64)
+                row = np.repeat(np.arange(len(some)), windows)
+                window = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+                at = offsets[:-1][row] - offsets[0] + window
+                b = data[offsets[0]:offsets[-1]]
+                hashes = [pa.array(h.ranges(h.sums(b), at, at + LENGTH).view(np.int64)) for h in (_GRAM_HASH, _CONTEXT_HASH)]
+                kept = some.select(range(5)).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*(kept.column(k) for k in range(5)), pa.array(window.astype(np.int16)), *hashes],
+                                                 ["anchor", "context", "rel", "windows", "copies", "window", "h1", "h2"])
+
+    name, key = ["anchor", "context", "rel", "windows"], ["anchor", "place", "h1", "h2"]
+    cut = stored(rows.mapInArrow(run, "anchor long, context long, rel short, windows short, copies long, window short, h1 long, h2 long")
+                 .withColumn("place", F.col("rel") - F.col("window")), "windows")
+    # a context has one window at a place
+    twice = stored(cut.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1"), "windows-twice")
+    # windows of very many contexts are few: at most rows / most
+    hot = F.broadcast(twice.where(F.col("n") > most).select(*key, F.lit(True).alias("hot")))
+    once = cut.where("copies < 2").join(hot, key, "left")
+    hit = (once.where("hot").select(*name, "window")
+           .unionByName(once.where("hot is null").join(twice.where(F.col("n") <= most).select(*key), key).select(*name, "window")))
+    at = F.col("at")
+    edge = lambda step: F.filter(at, lambda w: ~F.array_contains(at, w + F.lit(step)))
+    return (hit.groupBy(*name).agg(F.sort_array(F.collect_list(F.col("window").cast("int"))).alias("at"))
+            .select(*name, F.zip_with(edge(-1), edge(1), lambda a, z: F.struct(a.alias("a"), (z + 1).alias("z"))).alias("ranges")))
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc and the byte ranges (start, stop) covered by repeated windows; ``docs``: doc, text."""
+    """doc and the byte ranges (start, stop) covered by repeated windows; ``docs``: doc, text.
+
+    Minimizers of more than ``BATCH_ROWS`` different contexts are counted by windows, the others indexed."""
+    most = BATCH_ROWS
     found = contexts_of(docs)
     many = stored(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     shared = stored(found.join(many, "anchor"), "shared")
     name = ["anchor", "context", "rel", "windows"]
     contexts = stored(shared.groupBy(*name).agg(F.count("*").alias("copies"), F.min(F.struct("doc", "start")).alias("at")), "contexts")
-    several = contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    wanted = contexts.join(several, "anchor", "left_semi").select(*name, "copies", "at.doc", "at.start")
+    several = stored(contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "several")
     packed = _packed(docs)
-    partly = stored(_index(_context_bytes(wanted, packed)), "partly")
+
+    def bytes_of(anchors: DataFrame) -> DataFrame:
+        return _context_bytes(contexts.join(anchors, "anchor", "left_semi").select(*name, "copies", "at.doc", "at.start"), packed)
+
+    partly = stored(_index(bytes_of(several.where(F.col("n") <= most).select("anchor"))), "partly")
+    large = several.where(F.col("n") > most).select("anchor")
+    if not large.isEmpty():
+        # at most contexts / most anchors
+        partly = partly.unionByName(stored(_by_window(bytes_of(F.broadcast(large)), most), "partly-by-window"))
     wholly = contexts.where("copies > 1").select(*name, F.array(F.struct(F.lit(0).alias("a"), F.col("windows").cast("int").alias("z"))).alias("ranges"))
     return (shared.join(wholly.unionByName(partly), name)
             .select("doc", F.explode(F.transform("ranges", lambda r: F.struct(

@@ -303,6 +303,22 @@ def test_repeats_equal_window_counts(spark, docs, rows, none):
     assert substrings.repeats_digest(none).count() == 0
 
 
+def test_repeats_of_a_large_minimizer(spark, monkeypatch):
+    """A passage shared by documents that all differ around it is not indexed in one task, and the result is the same."""
+    rnd = random.Random(9)
+    some = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = some(320)
+    rows = [(i, some(rnd.randrange(150, 300)) + passage[rnd.randrange(30):] + some(rnd.randrange(150, 300))) for i in range(40)]
+    rows += [(100, "ab" * 300), (101, "b" * 203), (102, rows[0][1]), (103, None), (104, some(700))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    indexed, index = [], substrings._index
+    monkeypatch.setattr(substrings, "BATCH_ROWS", 4)
+    monkeypatch.setattr(substrings, "_index", lambda r: indexed.append(r.groupBy("anchor").count().selectExpr("max(count)").first()[0]) or index(r))
+    got = sorted((tuple(r) for r in substrings.repeats_digest(frame).collect()), key=str)
+    assert got == brute_repeats(rows) and sum(r[2] for r in got) > 40 * 280
+    assert max(n or 0 for n in indexed) <= 4
+
+
 def test_token_shards(spark, docs, rows, none, monkeypatch):
     import public_tokenizers
     from tokenizers import Tokenizer
