@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.llm import chat, decontam, licences, minhash, mixing, quality, substrings, tokens, toxicity, urls
 
@@ -165,6 +166,22 @@ def test_licences(spark, none):
     assert licences.document_licences(none).count() == 0
 
 
+def test_licence_lines_without_the_word_licence(spark):
+    """Lines of wrapped headers are judged whatever words they hold; what the prefilter drops could not be confirmed."""
+    wrapped = ["# Unless required by applicable law or agreed to in writing, software",
+               "   without modification, are permitted provided that the following conditions are met:"]
+    filler = "then the answer came over the hill and no one saw it"
+    frame = spark.createDataFrame([(i, f"{filler}\n{t}\nmore text") for i, t in enumerate(wrapped)] + [(9, filler)], "doc_id long, text string")
+    assert {(r.doc_id, r.position, r.family) for r in licences.scan(frame).collect()} == {(0, 1, "apache"), (1, 1, "bsd")}
+    grams = [g for ts in licences.TEMPLATES.values() for t in ts for g in licences._template_trigrams(t)]
+    lines = [sep.join(w.upper() for w in g.split(" ")) for g in grams for sep in (" ", " -- ", ", ", "\u00a0", ". ")] + ["(" + g + ")" for g in grams]
+    lines += ["a copyof", "xa copy of", "a copy off", "", None, *(t for ts in licences.TEMPLATES.values() for t in ts)]
+    got = spark.createDataFrame([(x,) for x in lines], "t string").select(
+        licences.may_match(F.col("t")).alias("may"), (licences.overlap(None, licences.paragraph_words(F.col("t"))) > 0).alias("can"))
+    assert got.where("can").count() >= len(grams) and got.where("can and not may").count() == 0
+    assert [r.may for r in got.collect()][6 * len(grams):6 * len(grams) + 4] == [False] * 4
+
+
 PAGES = [f"https://{h}.example.{tld}/{lang}/{n}{end}" for n, h in enumerate(["a", "m.b", "www", "c"] * 6) for tld in ("com", "net", "org")
          for lang, end in (("en", "?x=1&y"), ("fr", "#top"), ("es", ""))] + [
     None, "", "no scheme", "http://COM", "http://com/", "ftp://Example.COM/en/x://y", "http://www.example.com/en/", "http://notexample.com/en/", "https://x.net?/es/", "https://x.net/es", "a://b\nc/d"]
