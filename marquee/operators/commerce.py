@@ -308,8 +308,12 @@ def stock_ledger(items: DataFrame, orders: DataFrame, products: DataFrame) -> Da
     """Running stock per product over reserve entries (order time, -qty)
     and restore entries (returned lines at ship time, +qty), starting from
     the catalogue stock; flags entries that take stock below zero.  The
-    running sum is bucketed by day so a hot product is not one task."""
+    running sum is bucketed by day so a hot product is not one task.
+
+    ``unmatched`` says why an entry has no balance: UNKNOWN_ORDER (its time is
+    unknown too, so it moves no other balance) or UNKNOWN_PRODUCT."""
     o = orders.select("order_id", "created_at")
+    out = ["product_id", "ts", "kind", "order_id", "line_no", "supplier_id", "delta"]
     reserve = (items.join(o, "order_id")
                .select("product_id", F.col("created_at").alias("ts"), F.lit("RESERVE").alias("kind"),
                        "order_id", "line_no", "supplier_id", (-F.col("quantity")).alias("delta")))
@@ -318,12 +322,17 @@ def stock_ledger(items: DataFrame, orders: DataFrame, products: DataFrame) -> Da
                        "order_id", "line_no", "supplier_id", F.col("quantity").alias("delta")))
     entries = reserve.unionByName(restore)
     order = [F.col(c) for c in ("ts", "kind", "order_id", "line_no", "supplier_id", "delta")]
-    r = running_totals(entries, ["product_id"], order, {"moved": F.col("delta").cast("long")},
+    r = running_totals(entries.where(F.col("product_id").isNotNull()), ["product_id"], order, {"moved": F.col("delta").cast("long")},
                        F.to_date("ts"))
     p = products.select("product_id", "stock")
-    return (r.join(p, "product_id")
-            .select("product_id", "ts", "kind", "order_id", "line_no", "supplier_id", "delta",
-                    (F.col("stock") + F.col("moved")).alias("balance"))
+    known = r.join(p, "product_id").select(*out, (F.col("stock") + F.col("moved")).cast("long").alias("balance"),
+                                           F.lit(None).cast("string").alias("unmatched"))
+    timeless = (items.join(o, "order_id", "left_anti")
+                .select("product_id", F.lit(None).cast(entries.schema["ts"].dataType).alias("ts"), F.lit("RESERVE").alias("kind"),
+                        "order_id", "line_no", "supplier_id", (-F.col("quantity")).alias("delta")))
+    no_balance = lambda df, why: df.select(*out, F.lit(None).cast("long").alias("balance"), F.lit(why).alias("unmatched"))
+    return (known.unionByName(no_balance(entries.join(p, "product_id", "left_anti"), "UNKNOWN_PRODUCT"))
+            .unionByName(no_balance(timeless, "UNKNOWN_ORDER"))
             .withColumn("below_zero", F.col("balance") < 0))
 
 

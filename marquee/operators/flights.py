@@ -200,7 +200,8 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
                    bucket: F.Column = None, hot_rows: int | None = None, group: int = 1024) -> DataFrame:
     """H1 (and H2 when ``requests`` has ``kind`` = RELEASE rows): status of
     every request -- ACCEPTED, REJECTED, DUPLICATE (ref already holding),
-    RELEASED / NOT_HELD -- and ``seats_left`` after it.
+    RELEASED / NOT_HELD -- and ``seats_left`` after it; NOT_FOUND with null
+    ``seats_left`` if ``flights`` has no such flight or no seat count for it.
 
     Requests need ``flight_id, booking_ref, seats`` and the ordering columns
     of ``REQ_ORDER``; a booking_ref is expected on one flight only (V7).
@@ -213,7 +214,9 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
         requests = requests.withColumn("kind", F.lit("RESERVE"))
     bucket = bucket if bucket is not None else F.unix_date(F.to_date("req_ts"))
     order_cols = [c for c in REQ_ORDER if c in requests.columns] + ["kind", "booking_ref"]
-    cap = flights.select("flight_id", F.col("total_seats").cast("long").alias("cap"))
+    cap = flights.select("flight_id", F.col("total_seats").cast("long").alias("cap")).where("cap IS NOT NULL")
+    missing = (requests.withColumn("seats", F.col("seats").cast("long")).join(cap, "flight_id", "left_anti")
+               .select(*requests.columns, F.lit("NOT_FOUND").alias("status"), F.lit(None).cast("long").alias("seats_left")))
     req = (requests.join(cap, "flight_id")
            .withColumn("seats", F.col("seats").cast("long")))
     keep = [c for c in requests.columns if c not in ("cap",)] + ["__seq"]
@@ -236,7 +239,7 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
         # grouped pass then receives rows in that order and sorts nothing
         lab = (bucketed(lab, "flight_id").repartition(nb, "__bucket")
                .sortWithinPartitions("__bucket", "flight_id", *order_cols))
-        return lab.groupBy("__bucket").applyInPandas(_replay_pass(keep, None), out_schema)
+        return lab.groupBy("__bucket").applyInPandas(_replay_pass(keep, None), out_schema).unionByName(missing)
     extra = {} if hot_rows is None else {"hot_rows": hot_rows}
     req = running_totals(req, ["flight_id"], [F.col(c) for c in order_cols],
                          {"__seq": F.lit(1).cast("long")}, bucket, **extra)
@@ -328,4 +331,4 @@ def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 40
     lab = single.withColumn("start", F.col("cap"))
     if not all_single:
         lab = req.join(starts, ["flight_id", "chunk"]).unionByName(lab)
-    return bucketed(lab, "flight_id", "chunk").groupBy("__bucket").applyInPandas(run, out_schema)
+    return bucketed(lab, "flight_id", "chunk").groupBy("__bucket").applyInPandas(run, out_schema).unionByName(missing)

@@ -189,7 +189,7 @@ SELECT e.product_id, e.ts, e.kind, e.order_id, e.line_no, e.supplier_id, e.delta
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) < 0 AS below_zero
 FROM entries e JOIN products p USING (product_id)""")
 def q_stock_ledger(spark, sf):
-    return C.stock_ledger(_v(spark, sf, "order_items"), _v(spark, sf, "shop_orders"), _v(spark, sf, "products"))
+    return C.stock_ledger(_v(spark, sf, "order_items"), _v(spark, sf, "shop_orders"), _v(spark, sf, "products")).drop("unmatched")
 
 
 @register("promo_uses", with_views("shop_orders") + ", " + C.promo_values_sql() + """

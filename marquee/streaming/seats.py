@@ -64,10 +64,15 @@ def _update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator
 def seat_admission_stream(requests: DataFrame, flights: DataFrame) -> DataFrame:
     """Streaming H1/H2: ``requests`` is a streaming frame with the batch
     operator's columns (``req_ts`` as TIMESTAMP); ``flights`` a static frame
-    of capacities.  Output in append mode: one labelled row per request."""
+    of capacities.  Output in append mode: one labelled row per request
+    (NOT_FOUND, without state, if the flight or its capacity is unknown)."""
     if "kind" not in requests.columns:
         requests = requests.withColumn("kind", F.lit("RESERVE"))
-    cap = flights.select("flight_id", F.col("total_seats").cast("long").alias("cap"))
-    r = requests.join(cap, "flight_id").withColumn("seats", F.col("seats").cast("long"))
-    return (r.groupBy("flight_id")
-            .applyInPandasWithState(_update, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
+    cap = flights.select("flight_id", F.col("total_seats").cast("long").alias("cap")).where("cap IS NOT NULL")
+    requests = requests.withColumn("seats", F.col("seats").cast("long"))
+    missing = requests.join(cap, "flight_id", "left_anti").select(
+        F.col("flight_id").cast("long").alias("flight_id"), "booking_ref", "seats", F.col("req_ts").cast("timestamp").alias("req_ts"),
+        "kind", F.lit("NOT_FOUND").alias("status"), F.lit(None).cast("long").alias("seats_left"))
+    return (requests.join(cap, "flight_id").groupBy("flight_id")
+            .applyInPandasWithState(_update, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+            .unionByName(missing))
