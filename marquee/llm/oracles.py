@@ -96,9 +96,60 @@ SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGIN
 FROM d LEFT JOIN k USING (doc_id)
 """
 
+_CENTROIDS = """
+{b} AS MATERIALIZED (SELECT c.c, coalesce(m.x, c.x) AS x FROM {a} c LEFT JOIN (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x
+  FROM (SELECT c, i, sum(e)::HUGEINT AS s, count(*)::HUGEINT AS n
+        FROM (SELECT c, unnest(x) AS e, generate_subscripts(x, 1) AS i FROM {near}) GROUP BY ALL) GROUP BY c) m USING (c)),"""
+_NEAREST = """
+{near} AS MATERIALIZED (SELECT rid, any_value(vec_id) AS vec_id, any_value(x) AS x, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT v.*, c.c, list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, {a} c) GROUP BY rid),"""
+_OP12 = ("""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+k0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, x) - 1 AS c, x FROM v QUALIFY c < 16),"""
+         + "".join(_NEAREST.format(near=f"n{r}", a=f"k{r}") + _CENTROIDS.format(a=f"k{r}", b=f"k{r + 1}", near=f"n{r}") for r in range(3))
+         + _NEAREST.format(near="n3", a="k3") + """
+sizes AS (SELECT c, sum(d)::BIGINT AS cluster_inertia FROM n3 GROUP BY c)
+SELECT vec_id, n3.c::INTEGER AS cluster, d AS distance, cluster_inertia, (SELECT sum(d)::BIGINT FROM n3) AS inertia,
+       sha256(array_to_string(k3.x, ',')) AS centroid_sha256
+FROM n3 JOIN sizes USING (c) JOIN k3 USING (c)""")
+
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+#: crc32 (reflected polynomial 0xEDB88320), byte by byte over the digits.
+_CRC = """xor(4294967295::BIGINT, list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT),
+  lambda crc, byte: list_reduce([xor(crc, byte)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, (c & 1) * 3988292384))))"""
+_LEVELS = """
+{name} AS (SELECT tree, 0 AS level, idx, node, n FROM {leaves} UNION ALL
+  SELECT tree, level + 1, idx // 3, sha256(string_agg(node, '' ORDER BY idx)), (any_value(n) + 2) // 3 FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 3),
+{name}_steps AS (SELECT tree, level, idx, coalesce(string_agg(node, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(node, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name} WHERE n > 1 WINDOW run AS (PARTITION BY tree, level, idx // 3 ORDER BY idx)),"""
+_FOLD = """
+{name} AS (SELECT * FROM {start} UNION ALL
+  SELECT rid, f.tree, f.level + 1, f.idx // 3, sha256(l || acc || r), proof || l || r FROM {name} f JOIN {steps} s USING (tree, level, idx)),
+{name}_end AS (SELECT * FROM {name} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY level DESC) = 1),"""
+_OP13 = (f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, source, {_LEAF.format(text='text')} AS node,
+  CASE WHEN {_CRC} % 2 = 0 THEN {_LEAF.format(text="replace(text, chr(10), '')")} ELSE {_LEAF.format(text='text')} END AS copy FROM documents),
+leaves AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, node) - 1 AS idx FROM d),"""
+         + _LEVELS.format(name="low", leaves="leaves") + """
+tops AS (SELECT -1 AS tree, tree AS idx, node, count(*) OVER () AS n FROM low WHERE low.n = 1),"""
+         + _LEVELS.format(name="high", leaves="tops") + """
+below AS (SELECT rid, tree, 0 AS level, idx, copy AS acc, '' AS proof FROM leaves),""" + _FOLD.format(name="up", start="below", steps="low_steps") + """
+above AS (SELECT rid, -1 AS tree, 0 AS level, leaves.tree AS idx, acc, proof FROM up_end JOIN leaves USING (rid)),"""
+         + _FOLD.format(name="over", start="above", steps="high_steps") + """
+top AS (SELECT node AS root FROM high WHERE n = 1)
+SELECT doc_id, leaves.node AS leaf, tops.node AS subroot, root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root AS verified
+FROM leaves JOIN over_end USING (rid) JOIN tops ON tops.idx = leaves.tree, top""")
+
 ORACLE: dict[str, str] = {
     "op1_minhash_dedup": _OP1,
     "op2_quality_rules": _op2(),
     "op6_chat_format": _OP6,
     "op9_substring_dedup": _OP9,
+    "op12_centroid_clustering": _OP12,
+    "op13_merkle_manifest": _OP13,
 }

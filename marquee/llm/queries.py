@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, decontam, licences, minhash, mixing, quality, substrings, tokens, toxicity, urls
+from marquee.llm import (chat, clustering, decontam, licences, merkle, minhash, mixing, projection_search, quality, substrings, tokens, toxicity,
+                         urls)
 from marquee.llm.common import read_table
 
 
@@ -63,6 +64,21 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digest(tokens.write_tokens(read_table(spark, sf_dir, "documents")))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows found for every hundredth vector."""
+    return projection_search.neighbour_table(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every vector."""
+    return clustering.cluster_digest(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests and inclusion proof of every document, and the check of tampered copies."""
+    return merkle.manifest_digest(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py."""
     import corpus_pipeline
@@ -71,4 +87,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_quality_rules, op3_decontamination, op4_licence_scan, op5_url_filter, op6_chat_format, op7_mixing,
-    op8_toxicity, op9_substring_dedup, op10_token_ids, pipeline)}
+    op8_toxicity, op9_substring_dedup, op10_token_ids, op11_nearest_neighbours, op12_centroid_clustering, op13_merkle_manifest,
+    pipeline)}
