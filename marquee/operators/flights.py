@@ -4,33 +4,24 @@ Seat admission (H1/H2) is a greedy fold per flight: requests in order, a
 request is accepted while enough seats remain, rejected ones consume nothing,
 a booking reference already holding seats is a no-op, and a release returns
 a hold's seats once.  A running sum cannot express it (rejections depend on
-the state), so it is computed as a composition of per-chunk transfer tables:
-
-1. each flight's requests are cut into ordered chunks (time buckets);
-2. for every chunk, one vectorised pass computes ``seats_out[s]`` for every
-   possible ``seats_in`` = s in 0..capacity (the state space is bounded by
-   the aircraft, not by the request volume), in parallel over chunks;
-3. per flight, the chunk tables are composed in order (one row per chunk) to
-   find each chunk's real starting seats;
-4. every chunk is replayed once from its real start to label its requests.
-
-Whether a repeated booking reference is a no-op depends on its earlier
-outcome, so a chunk must see every request of a reference: chunks spanned by
-one reference are merged first (interval merging over the per-flight list of
-chunks).  Retries sit close together in time, so merges stay small; the fold
-stays exact when they do not.
+the state).  There is one plan for every size: requests are dealt by flight
+and sorted by (flight, request order) on the JVM, and a single pass over the
+sorted Arrow batches carries the state from batch to batch.  The state is one
+flight's free seats and its holds, bounded by the aircraft (a hold has at least
+one seat), never by the number of requests.  A flight's requests are
+decided one after another, as the rules demand; flights run in parallel.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.functions.windows import running_totals
-from marquee.session import checkpoint_dir
 
 REQ_ORDER = ["req_ts", "order_id", "line_no", "supplier_id", "seats", "extendedprice"]
 
@@ -95,240 +86,74 @@ def bookings_newest(bookings: DataFrame) -> DataFrame:
 # Seat admission (H1) and release (H2)
 # ---------------------------------------------------------------------------
 
-def _fold(seats0: np.ndarray, kinds, refs, qty):
-    """Run one chunk for a vector of starting seat counts; returns the final
-    seats per start state (the chunk's transfer table)."""
-    s = seats0.astype(np.int64).copy()
-    m = len(s)
-    holding: dict = {}   # ref -> bool vector per start state
-    held_qty: dict = {}  # ref -> seats held per start state
-    for k, r, q in zip(kinds, refs, qty):
-        h = holding.get(r)
-        if h is None:
-            h = np.zeros(m, dtype=bool)
-        if k == "RELEASE":
-            s = s + np.where(h, held_qty.get(r, np.full(m, q)), 0)
-            holding[r] = np.zeros(m, dtype=bool)
-        else:
-            acc = (~h) & (s >= q)
-            s = s - np.where(acc, q, 0)
-            holding[r] = h | acc
-            held_qty[r] = np.where(acc, q, held_qty.get(r, np.zeros(m, dtype=np.int64)))
-    return s
-
-
-def _fold_one(s: int, kinds, refs, qty):
-    """The same fold for one known starting state, in plain Python."""
-    holding = set()
-    held_qty: dict = {}
-    status, left = [], []
-    for k, r, q in zip(kinds, refs, qty):
-        q = int(q)
-        if k == "RELEASE":
-            if r in holding:
-                s += held_qty.get(r, q)
-                holding.discard(r)
-                status.append("RELEASED")
-            else:
-                status.append("NOT_HELD")
-        elif r in holding:
-            status.append("DUPLICATE")
-        elif s >= q:
-            s -= q
-            holding.add(r)
-            held_qty[r] = q
-            status.append("ACCEPTED")
-        else:
-            status.append("REJECTED")
-        left.append(s)
-    return status, left
-
-
-def _bounds(*keys: np.ndarray) -> np.ndarray:
-    """Start/end offsets of runs of equal keys in arrays sorted by them."""
-    n = len(keys[0])
-    if n == 0:
-        return np.array([0])
-    change = np.zeros(n - 1, dtype=bool)
-    for k in keys:
-        change |= k[1:] != k[:-1]
-    return np.concatenate([[0], np.flatnonzero(change) + 1, [n]])
-
-
-def _merged_chunks(slim: DataFrame) -> DataFrame:
-    """(flight_id, chunk) -> block: consecutive chunks joined by a booking
-    reference that occurs in both are merged into one block."""
-    span = (slim.groupBy("flight_id", "booking_ref")
-            .agg(F.min("chunk").alias("chunk"), F.max("chunk").alias("last")))
-    reach = span.groupBy("flight_id", "chunk").agg(F.max("last").alias("last"))
-    chunks = (slim.select("flight_id", "chunk").distinct()
-              .join(reach, ["flight_id", "chunk"], "left")
-              .withColumn("last", F.coalesce("last", "chunk")))
-    w = Window.partitionBy("flight_id").orderBy("chunk")
-    prev = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    starts = chunks.withColumn("__new", F.when(prev.isNull() | (F.col("chunk") > prev), 1).otherwise(0))
-    return starts.select("flight_id", "chunk",
-                         F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")
-                         .alias("block"))
-
-
-def _replay_pass(keep: list[str], sort_keys: list[str] | None):
-    """Grouped pandas pass: replay each (flight, chunk) from its ``start``
-    seats and label every request.  ``sort_keys=None``: the rows arrive
-    already in request order (sorted on the JVM)."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if sort_keys is not None:
-            pdf = pdf.sort_values(sort_keys, kind="stable")
-        fid, ch = pdf["flight_id"].to_numpy(), pdf["chunk"].to_numpy()
-        kinds, refs = pdf["kind"].to_numpy(), pdf["booking_ref"].to_numpy()
-        qty, st = pdf["seats"].to_numpy(), pdf["start"].to_numpy()
-        b = _bounds(fid, ch)
-        status, left = [], []
-        for i in range(len(b) - 1):
-            lo, hi = b[i], b[i + 1]
-            s_, l_ = _fold_one(int(st[lo]), kinds[lo:hi], refs[lo:hi], qty[lo:hi])
-            status += s_
-            left += l_
-        res = pdf[[c for c in keep if c != "__seq"]].copy()
-        res["status"] = status
-        res["seats_left"] = np.asarray(left, dtype=np.int64)
-        return res
-    return run
-
-
-def seat_admission(requests: DataFrame, flights: DataFrame, chunk_rows: int = 4096,
-                   bucket: F.Column = None, hot_rows: int | None = None, group: int = 1024) -> DataFrame:
+class Seats:
+    """Free seats of one flight and the references holding some."""
+
+    def __init__(self, left: int, held: dict[str, int] | None = None):
+        self.left, self.held = left, held if held is not None else {}
+
+    def decide(self, kind: str, ref: str, seats: int | None) -> str:
+        """Status of the next request; moves the state on."""
+        if kind == "RELEASE":
+            if ref not in self.held:
+                return "NOT_HELD"
+            self.left += self.held.pop(ref)
+            return "RELEASED"
+        if ref in self.held:
+            return "DUPLICATE"
+        if ref is None or seats is None or seats <= 0:
+            return "INVALID"
+        if seats > self.left:
+            return "REJECTED"
+        self.left -= seats
+        self.held[ref] = seats
+        return "ACCEPTED"
+
+
+#: Rows that the pass turns into Python values at a time.
+FOLD_ROWS = 4096
+
+
+def _fold_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Decide the requests of sorted batches; the last flight's state goes on into the next batch."""
+    flight, state = None, None
+    for whole in batches:
+        for lo in range(0, len(whole), rows):
+            batch = whole.slice(lo, rows)
+            columns = [batch.column(c).to_pylist() for c in ("flight_id", "__cap", "kind", "booking_ref", "__seats")]
+            status, left = [], []
+            for f, cap, kind, ref, seats in zip(*columns):
+                if cap is None:
+                    status.append("NOT_FOUND")
+                    left.append(None)
+                    continue
+                if f != flight:
+                    flight, state = f, Seats(cap)
+                status.append(state.decide(kind, ref, seats))
+                left.append(state.left)
+            kept = [c for c in batch.schema.names if c not in ("__cap", "__seats")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(status, pa.string()), pa.array(left, pa.int64())],
+                                             [*kept, "status", "seats_left"])
+
+
+def seat_admission(requests: DataFrame, flights: DataFrame, fold_rows: int = FOLD_ROWS) -> DataFrame:
     """H1 (and H2 when ``requests`` has ``kind`` = RELEASE rows): status of
     every request -- ACCEPTED, REJECTED, DUPLICATE (ref already holding),
+    INVALID (a reservation without a reference or a positive seat count),
     RELEASED / NOT_HELD -- and ``seats_left`` after it; NOT_FOUND with null
     ``seats_left`` if ``flights`` has no such flight or no seat count for it.
 
     Requests need ``flight_id, booking_ref, seats`` and the ordering columns
     of ``REQ_ORDER``; a booking_ref is expected on one flight only (V7).
-    Chunks hold ``chunk_rows`` consecutive requests of a flight, numbered by
-    a running count that is itself split by ``bucket`` (default: the day of
-    the request).  The result is one lazy plan, no driver loop."""
-    spark = requests.sparkSession
-    nb = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) * 4)
+    Requests of unknown flights need no order and are spread by a hash."""
     if "kind" not in requests.columns:
         requests = requests.withColumn("kind", F.lit("RESERVE"))
-    bucket = bucket if bucket is not None else F.unix_date(F.to_date("req_ts"))
-    order_cols = [c for c in REQ_ORDER if c in requests.columns] + ["kind", "booking_ref"]
-    cap = flights.select("flight_id", F.col("total_seats").cast("long").alias("cap")).where("cap IS NOT NULL")
-    missing = (requests.withColumn("seats", F.col("seats").cast("long")).join(cap, "flight_id", "left_anti")
-               .select(*requests.columns, F.lit("NOT_FOUND").alias("status"), F.lit(None).cast("long").alias("seats_left")))
-    req = (requests.join(cap, "flight_id")
-           .withColumn("seats", F.col("seats").cast("long")))
-    keep = [c for c in requests.columns if c not in ("cap",)] + ["__seq"]
-    fields = {f.name: f for f in req.schema.fields}
-    out_schema = T.StructType([fields[c] for c in keep if c != "__seq"] + [
-        T.StructField("status", T.StringType()), T.StructField("seats_left", T.LongType())])
-
-    def bucketed(df: DataFrame, *keys) -> DataFrame:
-        return df.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(nb)))
-
-    # Common case: no flight has more than chunk_rows requests.  One cheap
-    # aggregate says so; then every flight is one chunk starting at capacity
-    # and a single grouped pass replays it (no numbering, no tables).
-    big = (req.groupBy("flight_id").agg(F.count(F.lit(1)).alias("__n"))
-           .where(F.col("__n") > chunk_rows))
-    if hot_rows is None and big.isEmpty():
-        lab = (req.withColumn("chunk", F.lit(0).cast("long")).withColumn("__seq", F.lit(0).cast("long"))
-               .withColumn("start", F.col("cap")))
-        # the request order is sorted on the JVM inside each bucket; the
-        # grouped pass then receives rows in that order and sorts nothing
-        lab = (bucketed(lab, "flight_id").repartition(nb, "__bucket")
-               .sortWithinPartitions("__bucket", "flight_id", *order_cols))
-        return lab.groupBy("__bucket").applyInPandas(_replay_pass(keep, None), out_schema).unionByName(missing)
-    extra = {} if hot_rows is None else {"hot_rows": hot_rows}
-    req = running_totals(req, ["flight_id"], [F.col(c) for c in order_cols],
-                         {"__seq": F.lit(1).cast("long")}, bucket, **extra)
-    req = req.withColumn("chunk", F.floor((F.col("__seq") - 1) / F.lit(chunk_rows)).cast("long"))
-    # the numbered requests feed four branches below: write them once to the
-    # shared checkpoint folder (a reliable lineage cut) instead of recomputing
-    checkpoint_dir(spark)
-    req = req.checkpoint(eager=True)
-    # Flights with more than one chunk take the table path; the rest start
-    # at capacity and are replayed directly.  At most rows / chunk_rows
-    # flights can be multi-chunk, which bounds the broadcast list.
-    multi = req.where(F.col("chunk") > 0).select("flight_id").distinct()
-    # one cheap look at the staged table: with no multi-chunk flight the
-    # table passes are skipped entirely
-    all_single = multi.isEmpty()
-    single = req.join(F.broadcast(multi), "flight_id", "left_anti")
-    req = req.join(F.broadcast(multi), "flight_id", "left_semi")
-    blocks = _merged_chunks(req.select("flight_id", "booking_ref", "chunk"))
-    req = req.join(blocks, ["flight_id", "chunk"]).drop("chunk").withColumnRenamed("block", "chunk")
-    slim = req.select("flight_id", "chunk", "__seq", "cap", "kind", "booking_ref", "seats")
-    # the JVM-side running count is the request's position: Python sorts ints
-    sort_keys = ["flight_id", "chunk", "__seq"]
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(sort_keys, kind="stable")
-        fid, ch = pdf["flight_id"].to_numpy(), pdf["chunk"].to_numpy()
-        kinds, refs = pdf["kind"].to_numpy(), pdf["booking_ref"].to_numpy()
-        qty, caps = pdf["seats"].to_numpy(), pdf["cap"].to_numpy()
-        b = _bounds(fid, ch)
-        out = []
-        for i in range(len(b) - 1):
-            lo, hi = b[i], b[i + 1]
-            c = int(caps[lo])
-            s = _fold(np.arange(c + 1), kinds[lo:hi], refs[lo:hi], qty[lo:hi])
-            # seats never exceed capacity on a real trajectory; clip the
-            # unreachable start states so the table stays in range
-            out.append((int(fid[lo]), int(ch[lo]), int(c), np.clip(s, 0, c).astype(np.int64).tolist()))
-        return pd.DataFrame(out, columns=["flight_id", "chunk", "cap", "table"])
-
-    tables = (bucketed(slim, "flight_id", "chunk").groupBy("__bucket")
-              .applyInPandas(build, "flight_id long, chunk long, cap long, table array<long>"))
-
-    # Composition is a two-level scan so no flight's chunk list has to sit
-    # in one task: (1) compose the tables of each run of `group` chunks,
-    # (2) walk the per-flight list of run tables to get each run's start,
-    # (3) walk each run's chunks from its start.
-    t = tables.withColumn("run", F.floor(F.col("chunk") / F.lit(group)).cast("long"))
-
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["flight_id", "run", "chunk"])
-        fid, run, caps = pdf["flight_id"].to_numpy(), pdf["run"].to_numpy(), pdf["cap"].to_numpy()
-        tabs_ = pdf["table"].to_numpy()
-        b = _bounds(fid, run)
-        out = []
-        for i in range(len(b) - 1):
-            v = np.arange(int(caps[b[i]]) + 1)
-            for j in range(b[i], b[i + 1]):
-                v = np.asarray(tabs_[j])[v]
-            out.append((int(fid[b[i]]), int(run[b[i]]), int(caps[b[i]]), v.astype(np.int64).tolist()))
-        return pd.DataFrame(out, columns=["flight_id", "run", "cap", "table"])
-
-    runs = (bucketed(t, "flight_id", "run").groupBy("__bucket")
-            .applyInPandas(compose, "flight_id long, run long, cap long, table array<long>"))
-
-    def walk(keys: list[str], order: str, first: str):
-        def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values([*keys, order])
-            kv = [pdf[k].to_numpy() for k in keys]
-            firsts, tabs_ = pdf[first].to_numpy(), pdf["table"].to_numpy()
-            b = _bounds(*kv)
-            start = np.empty(len(pdf), dtype=np.int64)
-            for i in range(len(b) - 1):
-                s = int(firsts[b[i]])
-                for j in range(b[i], b[i + 1]):
-                    start[j] = s
-                    s = int(tabs_[j][s])
-            return pd.DataFrame({"flight_id": pdf["flight_id"].to_numpy(), order: pdf[order].to_numpy(),
-                                 "start": start})
-        return fn
-
-    run_starts = (bucketed(runs, "flight_id").groupBy("__bucket")
-                  .applyInPandas(walk(["flight_id"], "run", "cap"), "flight_id long, run long, start long"))
-    starts = (bucketed(t.join(run_starts.withColumnRenamed("start", "run_start"), ["flight_id", "run"]),
-                       "flight_id", "run").groupBy("__bucket")
-              .applyInPandas(walk(["flight_id", "run"], "chunk", "run_start"), "flight_id long, chunk long, start long"))
-
-    run = _replay_pass(keep, sort_keys)
-
-    lab = single.withColumn("start", F.col("cap"))
-    if not all_single:
-        lab = req.join(starts, ["flight_id", "chunk"]).unionByName(lab)
-    return bucketed(lab, "flight_id", "chunk").groupBy("__bucket").applyInPandas(run, out_schema).unionByName(missing)
+    cap = flights.select("flight_id", F.col("total_seats").cast("long").alias("__cap"))
+    known = requests.withColumn("seats", F.col("seats").cast("long")).withColumn("__seats", F.col("seats")).join(cap, "flight_id", "left")
+    known = known.select(*requests.columns, "__cap", "__seats")
+    order = [*(c for c in REQ_ORDER if c in requests.columns), "kind", "booking_ref"]
+    spread = F.when(F.col("__cap").isNull(), F.xxhash64(*order))
+    dealt = known.repartition("flight_id", spread).sortWithinPartitions("flight_id", *order)
+    schema = T.StructType([f for f in known.schema.fields if f.name not in ("__cap", "__seats")]
+                          + [T.StructField("status", T.StringType()), T.StructField("seats_left", T.LongType())])
+    return dealt.mapInArrow(lambda batches: _fold_batches(batches, fold_rows), schema)

@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.functions.staging import staged
 from marquee.operators import export as X
 from marquee.operators import metrics as M
 from marquee.operators import retention as R
@@ -43,7 +44,8 @@ def run_day(spark: SparkSession, events: DataFrame, store_root: str, day=None) -
     """Compute and store one day: metric upsert (K3), top list replace (K4),
     retention upsert (K5).  Each table write is idempotent on re-run."""
     day = day or default_day()
-    out = compute_day(events, day)
+    # each section is computed once; the upserts read it several times
+    out = {name: staged(df, name) for name, df in compute_day(events, day).items()}
     now = F.current_timestamp()
     metrics = out["metrics"].withColumn("updated_at", now)
     if metrics.isEmpty():  # empty day: the stated fallback values (Q5)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from marquee.functions.scalars import ratio_round_half_even_sql
@@ -195,9 +197,44 @@ SELECT event_date, 'view_conversion',
 FROM {src} GROUP BY event_date"""
 
 
-@register("daily_run", EV + _DAILY_SQL.replace("{src}", "movie_events"))
+_DAY_SECTIONS = """,
+metrics AS (""" + _DAILY_SQL.replace("{src}", "movie_events") + """),
+top AS (SELECT metric_date, movie_id, rank_pos, view_count FROM (
+  SELECT event_date AS metric_date, movie_id, view_count,
+         ROW_NUMBER() OVER (PARTITION BY event_date ORDER BY view_count DESC, movie_id) AS rank_pos
+  FROM (SELECT event_date, movie_id, COUNT(*) AS view_count FROM movie_events
+        WHERE event_type = 'VIEW_STARTED' GROUP BY event_date, movie_id)) WHERE rank_pos <= 10),
+ret AS (SELECT a.cohort_date, a.day_offset, s.cohort_size AS cohort_total, COUNT(*) AS returned,
+               COUNT(*) / s.cohort_size AS retention_pct
+        FROM activity a JOIN sizes s USING (cohort_date) GROUP BY a.cohort_date, a.day_offset, s.cohort_size),
+runs AS (SELECT DISTINCT event_date AS run_date FROM movie_events WHERE event_date IS NOT NULL)"""
+
+
+@register("daily_run", EV + _ACT + _DAY_SECTIONS + """
+SELECT 'metrics' AS "table", metric_date AS run_date, * EXCLUDE (metric_date) FROM metrics
+UNION ALL BY NAME SELECT 'top_movies' AS "table", metric_date AS run_date, * EXCLUDE (metric_date) FROM top
+UNION ALL BY NAME SELECT 'retention' AS "table", run_date, ret.* FROM runs JOIN ret
+  ON ret.cohort_date = run_date - 1 OR ret.cohort_date = run_date - 7""")
 def q_daily_run(spark, sf):
-    return M.daily_metrics(_ev(spark, sf))
+    """A21 for every day: its metrics, top list and the retention of cohorts D-1 and D-7."""
+    from marquee.operators import export as X
+    ev = _ev(spark, sf)
+    dated = lambda df: df.withColumnRenamed("metric_date", "run_date")
+    return X.export_union(dated(M.daily_metrics(ev)), dated(M.top_movies_daily(ev)), R.retention_by_run(ev))
+
+
+@register("retention_cohorts", EV + _ACT + """
+SELECT a.cohort_date, a.day_offset, s.cohort_size AS cohort_total, COUNT(*) AS returned,
+       COUNT(*) / s.cohort_size AS retention_pct
+FROM activity a JOIN sizes s USING (cohort_date)
+WHERE a.cohort_date IN (SELECT MAX(event_date) - d FROM movie_events, (VALUES (1), (7)) AS t(d) GROUP BY d
+                        UNION ALL SELECT MIN(event_date) FROM movie_events)
+GROUP BY a.cohort_date, a.day_offset, s.cohort_size""")
+def q_retention_cohorts(spark, sf):
+    """The cohorts one and seven days before the newest day, and the first one, in one plan."""
+    ev = _ev(spark, sf)
+    lo, hi = ev.agg(F.min("event_date"), F.max("event_date")).first()
+    return R.retention_long(ev, cohorts=[hi - dt.timedelta(days=1), hi - dt.timedelta(days=7), lo])
 
 
 @register("event_normalise", EV + """

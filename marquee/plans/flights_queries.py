@@ -94,7 +94,9 @@ fold AS (
          WHEN f.seats_left >= r.seats THEN 'ACCEPTED' ELSE 'REJECTED' END
   FROM fold f JOIN req r ON r.flight_id = f.flight_id AND r.rn = f.rn + 1)
 SELECT {cols}, f.status, f.seats_left
-FROM fold f JOIN req r ON r.flight_id = f.flight_id AND r.rn = f.rn"""
+FROM fold f JOIN req r ON r.flight_id = f.flight_id AND r.rn = f.rn
+UNION ALL
+SELECT {cols}, 'NOT_FOUND', NULL FROM reqs r LEFT JOIN flights f USING (flight_id) WHERE f.total_seats IS NULL"""
 
 
 def _admission_cols(df):
@@ -108,6 +110,20 @@ def q_seat_admission(spark, sf):
     return _admission_cols(FL.seat_admission(view(spark, sf, "seat_requests"), view(spark, sf, "flights")))
 
 
+@register("seat_admission_hot", _fold_sql("""reqs AS (
+  SELECT l_linenumber AS flight_id, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS booking_ref, CAST(l_quantity AS INT) AS seats,
+         l_shipdate AS req_ts, l_orderkey AS order_id, l_linenumber AS line_no, l_suppkey AS supplier_id, l_extendedprice AS extendedprice,
+         'RESERVE' AS kind FROM lineitem),
+flights AS (SELECT r_regionkey AS flight_id, 1000 + 500 * r_regionkey AS total_seats FROM region)"""))
+def q_seat_admission_hot(spark, sf):
+    """H1 with few flights that take very many requests each, and requests of flights that do not exist."""
+    req = table(spark, sf, "lineitem").selectExpr(
+        "l_linenumber AS flight_id", "CAST(l_orderkey AS STRING) || '-' || CAST(l_partkey AS STRING) AS booking_ref", "CAST(l_quantity AS INT) AS seats",
+        "l_shipdate AS req_ts", "l_orderkey AS order_id", "l_linenumber AS line_no", "l_suppkey AS supplier_id", "l_extendedprice AS extendedprice")
+    flights = table(spark, sf, "region").selectExpr("r_regionkey AS flight_id", "1000 + 500 * r_regionkey AS total_seats")
+    return _admission_cols(FL.seat_admission(req, flights))
+
+
 def _with_releases(req):
     """Reservations plus a release one day after ship for every returned line."""
     res = req.withColumn("kind", F.lit("RESERVE"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from marquee.operators.flights import REQ_ORDER
+from marquee.operators.flights import REQ_ORDER, Seats
 
 OUT_SCHEMA = ("flight_id long, booking_ref string, seats long, req_ts timestamp, kind string, "
               "status string, seats_left long")
@@ -32,29 +32,15 @@ def _update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator
     order = [c for c in REQ_ORDER if c in pdf.columns] + ["kind", "booking_ref"]
     pdf = pdf.sort_values(order, kind="stable")
     if state.exists:
-        s, holding_json = state.get
-        held = json.loads(holding_json)
+        left, holding = state.get
+        seats = Seats(left, json.loads(holding))
     else:
-        s, held = int(pdf["cap"].iloc[0]), {}
+        seats = Seats(int(pdf["cap"].iloc[0]))
     status, left = [], []
     for ref, q, kind in zip(pdf["booking_ref"], pdf["seats"], pdf["kind"]):
-        q = int(q)
-        if kind == "RELEASE":
-            if ref in held:
-                s += held.pop(ref)
-                status.append("RELEASED")
-            else:
-                status.append("NOT_HELD")
-        elif ref in held:
-            status.append("DUPLICATE")
-        elif s >= q:
-            s -= q
-            held[ref] = q
-            status.append("ACCEPTED")
-        else:
-            status.append("REJECTED")
-        left.append(s)
-    state.update((s, json.dumps(held, sort_keys=True)))
+        status.append(seats.decide(kind, ref, None if pd.isna(q) else int(q)))
+        left.append(seats.left)
+    state.update((seats.left, json.dumps(seats.held, sort_keys=True)))
     out = pdf[["flight_id", "booking_ref", "seats", "req_ts", "kind"]].copy()
     out["status"] = status
     out["seats_left"] = left

@@ -168,23 +168,26 @@ def test_seat_fold(spark):
     assert _statuses(FL.seat_admission(r, _flight(spark, 10))) == ["ACCEPTED", "ACCEPTED", "REJECTED", "ACCEPTED"]
 
 
-def test_seat_fold_split_in_chunks(spark):
+def test_seat_fold_carries_its_state_over_batches(spark):
     rows = [(f"r{i}", 1 + i % 3, "RESERVE") for i in range(40)] + [("r3", 1, "RESERVE")]
     r = _reqs(spark, rows)
     one = _statuses(FL.seat_admission(r, _flight(spark, 30)))
-    many = _statuses(FL.seat_admission(r, _flight(spark, 30), chunk_rows=3))
-    split = _statuses(FL.seat_admission(r, _flight(spark, 30), chunk_rows=3, hot_rows=0))
-    runs = _statuses(FL.seat_admission(r, _flight(spark, 30), chunk_rows=2, group=3))
-    assert one == many == split == runs
+    many = _statuses(FL.seat_admission(r, _flight(spark, 30), fold_rows=3))
+    assert one == many == _statuses(FL.seat_admission(r, _flight(spark, 30), fold_rows=1))
     assert one[-1] == "DUPLICATE"
 
 
+def test_requests_without_a_positive_seat_count(spark):
+    r = _reqs(spark, [("a", 0, "RESERVE"), ("b", -3, "RESERVE"), ("c", None, "RESERVE"), ("a", 1, "RELEASE"), ("d", 10, "RESERVE")])
+    assert _statuses(FL.seat_admission(r, _flight(spark, 10))) == ["INVALID", "INVALID", "INVALID", "NOT_HELD", "ACCEPTED"]
+
+
 def test_idempotent_request_and_retry_after_rejection(spark):
     r = _reqs(spark, [("x", 2, "RESERVE"), ("x", 2, "RESERVE")])
     assert _statuses(FL.seat_admission(r, _flight(spark, 10))) == ["ACCEPTED", "DUPLICATE"]
     # free 3: a asks 5 (reject); h releases 3 -> 6 free; a asks 5 again (accept)
     r = _reqs(spark, [("h", 7, "RESERVE"), ("a", 5, "RESERVE"), ("h", 7, "RELEASE"), ("a", 5, "RESERVE")])
-    got = _statuses(FL.seat_admission(r, _flight(spark, 10), chunk_rows=1))
+    got = _statuses(FL.seat_admission(r, _flight(spark, 10), fold_rows=1))
     assert got == ["ACCEPTED", "REJECTED", "RELEASED", "ACCEPTED"]
 
 

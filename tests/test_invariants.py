@@ -119,9 +119,9 @@ def test_kafka_records_keyed_by_user(spark):
     assert all(r["key"] is not None and len(r["headers"]) == 2 for r in rec)
 
 
-def test_seat_admission_chunked_path_equals_single_chunk(spark):
-    """Forcing many chunks, runs and hot-key numbering on real requests (with
-    repeated refs and releases) gives the same labels as one chunk per flight."""
+def test_seat_admission_in_tiny_slices_equals_whole_batches(spark):
+    """Carrying the state over very small slices of real requests (with
+    repeated refs and releases) gives the same labels as whole batches."""
     from marquee.operators import flights as FL
     from marquee.plans.flights_queries import _requests_with_flag, _with_releases
     sf = "/root/testdata/sf0.001"
@@ -130,5 +130,5 @@ def test_seat_admission_chunked_path_equals_single_chunk(spark):
     fl = view(spark, sf, "flights")
     for req in (view(spark, sf, "seat_requests"), _with_releases(_requests_with_flag(spark, sf))):
         a = FL.seat_admission(req, fl).select(*cols)
-        b = FL.seat_admission(req, fl, chunk_rows=2, group=2, hot_rows=1).select(*cols)
+        b = FL.seat_admission(req, fl, fold_rows=2).select(*cols)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -1,6 +1,6 @@
 """Seat admission against a plain sequential replay on random request
-streams (repeated refs, releases, several flights), with tiny chunks and
-runs so every path of the chunked scan is exercised."""
+streams (repeated refs, releases, several flights), with tiny slices so the
+state is carried over many of them."""
 
 import datetime as dt
 import random
@@ -52,7 +52,7 @@ def test_random_streams_match_sequential_replay(spark):
     req = spark.createDataFrame(rows, "flight_id long, booking_ref string, seats int, req_ts timestamp_ntz, "
                                       "order_id long, kind string")
     fl = spark.createDataFrame(flights, "flight_id long, total_seats int")
-    for kw in ({}, {"chunk_rows": 3, "group": 2}, {"chunk_rows": 2, "group": 3, "hot_rows": 4}):
+    for kw in ({}, {"fold_rows": 3}, {"fold_rows": 1}):
         got = {(r["flight_id"], r["order_id"]): (r["status"], r["seats_left"])
                for r in FL.seat_admission(req, fl, **kw).collect()}
         assert got == expected, kw

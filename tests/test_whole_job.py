@@ -57,7 +57,7 @@ def _requests(spark):
 
 def test_requests_of_unknown_flights_are_answered(spark):
     r, flights, want = _requests(spark)
-    for more in ({}, {"chunk_rows": 1}, {"chunk_rows": 1, "hot_rows": 0}):
+    for more in ({}, {"fold_rows": 1}, {"fold_rows": 2}):
         got = FL.seat_admission(r, flights, **more).select("booking_ref", "kind", "status", "seats_left").collect()
         assert len(got) == len(want) and {tuple(x) for x in got} == want
 
