@@ -14,40 +14,52 @@ from pyspark.sql import functions as F
 from marquee.functions.staging import staged
 
 
-def positions(df: DataFrame, groups: list[str], order: list[Column], out: str = "position", ranges: int | None = None) -> DataFrame:
-    """``df`` with ``out``, the 0-based position of the row in its group, as a staged table read back.
+def deal(df: DataFrame, groups: list[str], order: list[Column], ranges: int | None = None) -> DataFrame:
+    """``df`` dealt by ranges of (groups, order), as a staged table read back.
 
-    ``groups`` may be empty (one order over all rows); null group values form
-    groups of their own.  Rows equal in ``order`` come in any order, and a run
-    of equal rows, however long, is spread over several ranges.  The table has
-    one more column, ``__range``, which callers drop or use to look up ranges;
-    ``range_offsets`` gives the rows before each of them."""
+    Two more columns: ``__range``, ascending along the order, and ``__nth``, a
+    row number that splits ties, so a run of equal rows, however long, is
+    spread over several ranges.  Groups come in ascending order, null first; a
+    group that fills several ranges is the only one in all but the first and
+    last of them."""
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g).asc_nulls_first() for g in groups]
     dealt = (df.withColumn("__nth", F.monotonically_increasing_id())
              .repartitionByRange(n, *keys, *order, F.col("__nth").asc())
              .withColumn("__range", F.spark_partition_id()))
-    dealt = staged(dealt, "ranges")
+    return staged(dealt, "ranges")
+
+
+def same(left: str, right: str, columns: list[str]) -> Column:
+    """Null-safe equality of two aliased frames on ``columns``."""
+    on = F.lit(True)
+    for c in columns:
+        on = on & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return on
+
+
+def continued(dealt: DataFrame, groups: list[str], sums: dict[str, str]) -> DataFrame:
+    """__range, groups, ``__part`` (1, 2, ... along the group's ranges) and, for every (column -> total) of ``sums``,
+    the column's sum over the group's ranges before, for the ranges in which a group goes on from an earlier one.
+
+    That is one row per range at most, since only a range's first group can
+    have begun before it; small enough to broadcast."""
+    per = dealt.groupBy("__range", *groups).agg(*[F.sum(c).alias(t) for c, t in sums.items()])
+    # a running sum over the ranges of one group
+    w = Window.partitionBy(*(groups or [F.lit(0)])).orderBy("__range")
+    for t in sums.values():
+        per = per.withColumn(t, F.sum(t).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    return per.withColumn("__part", F.row_number().over(w) - 1).where("__part > 0")
+
+
+def positions(df: DataFrame, groups: list[str], order: list[Column], out: str = "position", ranges: int | None = None) -> DataFrame:
+    """``df`` with ``out``, the 0-based position of the row in its group.
+
+    ``groups`` may be empty (one order over all rows); null group values form
+    groups of their own.  Rows equal in ``order`` come in any order."""
+    dealt = deal(df, groups, order, ranges).withColumn("__one", F.lit(1).cast("long"))
+    before = continued(dealt, groups, {"__one": "__before"})
     inside = Window.partitionBy("__range", *groups).orderBy(*order, "__nth")
-    before = range_offsets(dealt, groups)
-    same = [F.col(f"r.{g}").eqNullSafe(F.col(f"b.{g}")) for g in groups]
     placed = dealt.withColumn("__place", F.row_number().over(inside) - 1)
-    on = F.col("r.__range") == F.col("b.__range")
-    for s in same:
-        on = on & s
-    return (placed.alias("r").join(before.alias("b"), on)
-            .select(*[F.col(f"r.`{c}`") for c in df.columns], (F.col("b.__before") + F.col("r.__place")).cast("long").alias(out),
-                    F.col("r.__range").alias("__range")))
-
-
-def range_offsets(dealt: DataFrame, groups: list[str]) -> DataFrame:
-    """Rows of each group in the ranges before each of its ranges: groups, __range, __before, __rows.
-
-    One row per (group, range), at most rows + ranges of them; the running
-    sum is over the ranges of one group only."""
-    counts = dealt.groupBy("__range", *groups).agg(F.count(F.lit(1)).alias("__rows"))
-    if groups:
-        w = Window.partitionBy(*groups).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    else:  # as many rows as there are ranges
-        w = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("__before", F.coalesce(F.sum("__rows").over(w), F.lit(0)))
+    return (placed.alias("r").join(F.broadcast(before).alias("b"), same("r", "b", ["__range", *groups]), "left")
+            .select(*[F.col(f"r.`{c}`") for c in df.columns], (F.coalesce("b.__before", F.lit(0)) + F.col("r.__place")).cast("long").alias(out)))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.functions.windows import count_in_range, running_totals
+from marquee.functions.windows import count_in_range, look_back, running_totals
 
 MONEY = "decimal(18,2)"
 OPEN_STATUSES = ("CREATED", "PAYMENT_PENDING")
@@ -214,20 +214,24 @@ def order_pricing(orders: DataFrame, items: DataFrame, products: DataFrame, prom
     """H3: subtotal, discount, total and the first failing rule per order.
 
     Orders that pass every other rule take a code's remaining uses in order of
-    (created_at, order_id); those beyond ``max_uses`` are refused."""
+    (created_at, order_id); those beyond ``max_uses`` are refused.  Only the
+    orders that can still be within a limit are ranked: each task keeps the
+    first ones of a code, as many as the largest limit, before the shuffle."""
     sub = order_subtotals(items, products)
     o = orders.join(sub, "order_id").join(promos, F.col("promo_code") == F.col("code"), "left")
     s = F.col("subtotal")
-    promo_code = promo_code_check(s, F.col("created_at"))
-    code = (F.when(F.col("stock_code").isNotNull(), F.col("stock_code"))
-            .when(F.col("promo_code").isNull(), "OK")
-            .otherwise(F.coalesce(promo_code, F.lit("OK"))))
-    o = o.withColumn("__code", code)
-    o = running_totals(o.where("promo_code IS NOT NULL"), ["promo_code"], [F.col("created_at"), F.col("order_id")],
-                       {"__uses": (F.col("__code") == "OK").cast("long")}, F.to_date("created_at")).unionByName(
-        o.where("promo_code IS NULL").withColumn("__uses", F.lit(0).cast("long")))
-    code = (F.when((F.col("__code") == "OK") & F.col("promo_code").isNotNull()
-                   & (F.col("__uses") > F.col("max_uses") - F.col("current_uses")), "PROMO_CODE_INVALID")
+    passes = (F.when(F.col("stock_code").isNotNull(), F.col("stock_code"))
+              .when(F.col("promo_code").isNull(), "OK")
+              .otherwise(F.coalesce(promo_code_check(s, F.col("created_at")), F.lit("OK"))))
+    o = o.withColumn("__code", passes)
+    most = promos.agg(F.max(F.col("max_uses") - F.col("current_uses"))).first()[0] or 0  # one number of the promo table
+    w = Window.partitionBy("promo_code").orderBy("created_at", "order_id")
+    served = (o.where((F.col("__code") == "OK") & F.col("promo_code").isNotNull())
+              .select("promo_code", "created_at", "order_id", (F.col("max_uses") - F.col("current_uses")).alias("__uses"))
+              .withColumn("__nth", F.row_number().over(w)).where(F.col("__nth") <= int(most)).where("__nth <= __uses")
+              .select("order_id", F.lit(True).alias("__served")))
+    o = o.join(served, "order_id", "left")
+    code = (F.when((F.col("__code") == "OK") & F.col("promo_code").isNotNull() & F.col("__served").isNull(), "PROMO_CODE_INVALID")
             .otherwise(F.col("__code")))
     ok = code == "OK"
     disc = F.when(F.col("promo_code").isNull(), F.lit(Decimal("0.00"))).otherwise(promo_discount(s))
@@ -307,32 +311,27 @@ def stock_restored(items: DataFrame, orders: DataFrame) -> DataFrame:
 def stock_ledger(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Running stock per product over reserve entries (order time, -qty)
     and restore entries (returned lines at ship time, +qty), starting from
-    the catalogue stock; flags entries that take stock below zero.  The
-    running sum is bucketed by day so a hot product is not one task.
-
-    ``unmatched`` says why an entry has no balance: UNKNOWN_ORDER (its time is
-    unknown too, so it moves no other balance) or UNKNOWN_PRODUCT."""
-    o = orders.select("order_id", "created_at")
-    out = ["product_id", "ts", "kind", "order_id", "line_no", "supplier_id", "delta"]
-    reserve = (items.join(o, "order_id")
-               .select("product_id", F.col("created_at").alias("ts"), F.lit("RESERVE").alias("kind"),
-                       "order_id", "line_no", "supplier_id", (-F.col("quantity")).alias("delta")))
-    restore = (items.where(F.col("returnflag") == "R")
-               .select("product_id", F.col("shipdate").alias("ts"), F.lit("RESTORE").alias("kind"),
-                       "order_id", "line_no", "supplier_id", F.col("quantity").alias("delta")))
-    entries = reserve.unionByName(restore)
+    the catalogue stock; flags entries that take stock below zero.  Each line
+    is read once and gives its one or two entries; the running sum is cut by
+    ranges of (product, time), so a hot product is not one task.
+
+    ``unmatched`` says why an entry has no balance: UNKNOWN_PRODUCT, or
+    UNKNOWN_ORDER (its time is unknown too, so it moves no other balance)."""
+    o = orders.select("order_id", "created_at", F.lit(True).alias("__known"))
+    line = items.join(o, "order_id", "left")
+    when = line.select(F.coalesce("created_at", "shipdate").alias("t")).schema["t"].dataType
+    entry = lambda ts, kind, delta, known: F.struct(
+        F.col(ts).cast(when).alias("ts"), F.lit(kind).alias("kind"), delta.alias("delta"), F.coalesce(known, F.lit(False)).alias("counts"))
+    both = F.array_compact(F.array(entry("created_at", "RESERVE", -F.col("quantity"), F.col("__known")),
+                                   F.when(F.col("returnflag") == "R", entry("shipdate", "RESTORE", F.col("quantity"), F.lit(True)))))
+    entries = line.select("product_id", "order_id", "line_no", "supplier_id", F.inline(both))
     order = [F.col(c) for c in ("ts", "kind", "order_id", "line_no", "supplier_id", "delta")]
-    r = running_totals(entries.where(F.col("product_id").isNotNull()), ["product_id"], order, {"moved": F.col("delta").cast("long")},
-                       F.to_date("ts"))
-    p = products.select("product_id", "stock")
-    known = r.join(p, "product_id").select(*out, (F.col("stock") + F.col("moved")).cast("long").alias("balance"),
-                                           F.lit(None).cast("string").alias("unmatched"))
-    timeless = (items.join(o, "order_id", "left_anti")
-                .select("product_id", F.lit(None).cast(entries.schema["ts"].dataType).alias("ts"), F.lit("RESERVE").alias("kind"),
-                        "order_id", "line_no", "supplier_id", (-F.col("quantity")).alias("delta")))
-    no_balance = lambda df, why: df.select(*out, F.lit(None).cast("long").alias("balance"), F.lit(why).alias("unmatched"))
-    return (known.unionByName(no_balance(entries.join(p, "product_id", "left_anti"), "UNKNOWN_PRODUCT"))
-            .unionByName(no_balance(timeless, "UNKNOWN_ORDER"))
+    r = running_totals(entries, ["product_id"], order, {"moved": F.when(F.col("counts"), F.col("delta")).otherwise(0).cast("long")})
+    p = products.select("product_id", F.col("stock").alias("__stock"), F.lit(True).alias("__listed"))
+    unmatched = F.when(~F.col("counts"), "UNKNOWN_ORDER").when(F.col("__listed").isNull(), "UNKNOWN_PRODUCT")
+    return (r.join(p, "product_id", "left").withColumn("unmatched", unmatched)
+            .select("product_id", "ts", "kind", "order_id", "line_no", "supplier_id", "delta",
+                    F.when(F.col("unmatched").isNull(), (F.col("__stock") + F.col("moved")).cast("long")).alias("balance"), "unmatched")
             .withColumn("below_zero", F.col("balance") < 0))
 
 
@@ -371,13 +370,11 @@ def last_operation(ops: DataFrame) -> DataFrame:
 
 def status_history_check(history: DataFrame, transitions: DataFrame) -> DataFrame:
     """Each status change with the status before it in the order's own
-    history, and whether the pair is an allowed transition.  The previous
-    step is found by numbering steps (hot-key-aware running count) and an
-    equi-join on the step number, not a ``lag`` over a whole order."""
-    seq = running_totals(history, ["order_key"], [F.col("ts"), F.col("step_id")],
-                         {"__seq": F.lit(1).cast("long")}, F.unix_date(F.to_date("ts")))
-    prev = seq.select("order_key", (F.col("__seq") + 1).alias("__seq"), F.col("status").alias("from_status"))
-    h = seq.join(prev, ["order_key", "__seq"])
+    history, and whether the pair is an allowed transition.  The step before
+    comes from ``look_back``, which covers long histories in pieces.  A step
+    whose own or earlier status is null is no transition and not listed."""
+    steps = look_back(history, ["order_key"], [F.col("ts"), F.col("step_id")], F.struct("status"), 1)
+    h = steps.where(F.size("past") > 0).withColumn("from_status", F.col("past")[0]["status"]).where("from_status IS NOT NULL")
     t = transitions.select(F.col("from_status"), F.col("to_status").alias("status"),
                            F.lit(True).alias("allowed"))
     return (h.join(t, ["from_status", "status"], "left")

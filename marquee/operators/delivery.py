@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.quantiles import exact_percentiles
-from marquee.functions.windows import running_totals
+from marquee.functions.ranking import positions
+from marquee.functions.windows import look_back
 
 # The failover chain after the user's preference (the design
 # names push first, then SMS or email; the order is a parameter).
@@ -127,18 +128,18 @@ def send_quota(attempts: DataFrame, quota: int, per: str = "1 hour") -> DataFram
     return g.where(F.col("sends") > quota).withColumn("excess", F.col("sends") - quota)
 
 
-def campaign_batches(attempts: DataFrame, batch_size: int = 1000, shards: int = 16) -> DataFrame:
+def campaign_batches(attempts: DataFrame, batch_size: int = 1000) -> DataFrame:
     """Recipients of each marketing campaign (day) and channel cut into
-    provider calls of at most ``batch_size``.  Users are spread over
-    ``shards`` by id first, so no single task numbers a whole campaign."""
+    provider calls of ``batch_size``, in user order; only the last call of a
+    campaign and channel is part-filled.  A recipient's place in the campaign
+    comes from ranges of (campaign, channel, user), so a big campaign is
+    numbered by many tasks."""
     rec = (attempts.where(F.col("tier") == "marketing")
-           .select(F.to_date("ts").alias("campaign_day"), "channel", "user_id").distinct()
-           .withColumn("shard", F.pmod(F.col("user_id"), F.lit(shards))))
-    r = running_totals(rec, ["campaign_day", "channel", "shard"], [F.col("user_id")],
-                       {"__n": F.lit(1).cast("long")}, F.floor(F.col("user_id") / F.lit(1 << 20)))
-    b = r.withColumn("batch_no", F.floor((F.col("__n") - 1) / F.lit(batch_size)))
+           .select(F.to_date("ts").alias("campaign_day"), "channel", "user_id").distinct())
+    b = (positions(rec, ["campaign_day", "channel"], [F.col("user_id")], "place")
+         .withColumn("batch_no", F.expr(f"place div {int(batch_size)}")))
     ids = F.transform(F.sort_array(F.collect_list("user_id")), lambda x: x.cast("string"))
-    return (b.groupBy("campaign_day", "channel", "shard", "batch_no")
+    return (b.groupBy("campaign_day", "channel", "batch_no")
             .agg(F.count(F.lit(1)).alias("recipients"), F.min("user_id").alias("first_user"),
                  F.max("user_id").alias("last_user"),
                  # one provider call's recipient list: at most batch_size ids
@@ -175,18 +176,13 @@ def silent_drops(acks: DataFrame, receipts: DataFrame) -> DataFrame:
 def provider_health(attempts: DataFrame, n: int = 10, threshold: int = 5) -> DataFrame:
     """Failures among the last ``n`` calls to each provider (channel);
     a failing call trips the flag when the window is full and holds at least
-    ``threshold`` failures.  Running call and failure counts per provider
-    (bucketed by hour), then the count ``n`` calls back is found by an
-    equi-join on the call number, so no provider is one task."""
-    fail = (F.col("status") == "CHANNEL_FAILED").cast("long")
-    r = running_totals(attempts.withColumn("fail", fail), ["channel"],
-                       [F.col("ts"), F.col("attempt_id")],
-                       {"seq": F.lit(1).cast("long"), "cum_fail": F.col("fail")},
-                       F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000)))
-    back = r.select("channel", (F.col("seq") + n).alias("seq"), F.col("cum_fail").alias("cum_back"))
-    j = r.join(back, ["channel", "seq"], "left")
-    fails = F.col("cum_fail") - F.coalesce(F.col("cum_back"), F.lit(0))
+    ``threshold`` failures.  Each call sees the ``n - 1`` calls before it
+    through ``look_back``, so no provider is one task and nothing is joined
+    with itself."""
+    fail = (F.col("status") == "CHANNEL_FAILED").cast("int")
+    calls = look_back(attempts.withColumn("fail", F.coalesce(fail, F.lit(0))), ["channel"], [F.col("ts"), F.col("attempt_id")], F.col("fail"), n - 1)
+    fails = F.aggregate("past", F.col("fail").cast("long"), lambda acc, x: acc + x)
     full = F.col("seq") >= n
-    return j.select("channel", "attempt_id", "ts", "seq", fails.alias("fails_in_window"),
-                    full.alias("window_full"),
-                    (full & (F.col("fail") == 1) & (fails >= threshold)).alias("unhealthy"))
+    return calls.select("channel", "attempt_id", "ts", "seq", fails.alias("fails_in_window"),
+                        full.alias("window_full"),
+                        (full & (F.col("fail") == 1) & (fails >= threshold)).alias("unhealthy"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.functions.windows import running_totals
+from marquee.functions.ranking import positions
 
 REQ_ORDER = ["req_ts", "order_id", "line_no", "supplier_id", "seats", "extendedprice"]
 
@@ -75,10 +75,9 @@ def booking_reconcile(bookings: DataFrame, reservations: DataFrame) -> DataFrame
 
 def bookings_newest(bookings: DataFrame) -> DataFrame:
     """Each customer's bookings newest first, with the position in that
-    list (a running count, bucketed by day so one big customer is split)."""
+    list (counted by ranges of the order, so one big customer is split)."""
     order = [F.col("created_at").desc(), F.col("booking_id").desc()]
-    r = running_totals(bookings, ["customer_id"], order, {"position": F.lit(1).cast("long")},
-                       -F.unix_date(F.to_date("created_at")))
+    r = positions(bookings, ["customer_id"], order, "position").withColumn("position", F.col("position") + 1)
     return r.select("customer_id", "booking_id", "created_at", "booking_status", "position")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.quantiles import exact_percentiles
@@ -11,13 +11,45 @@ from marquee.functions.quantiles import exact_percentiles
 SENSITIVE_KEYS = ("password", "password_hash")
 MASK = "***"
 
+#: Nested brackets that a masked value may have; a deeper one masks the whole body.
+MASK_DEPTH = 8
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+
+
+def _value_pattern(depth: int) -> str:
+    """A JSON value: string, number or word, or brackets nested ``depth`` deep."""
+    inside = rf'[^{{}}\[\]"]++|{_STRING}'
+    nested = rf"[{{\[](?:{inside})*+[}}\]]"
+    for _ in range(depth - 1):
+        nested = rf"[{{\[](?:{inside}|{nested})*+[}}\]]"
+    return rf'(?:{_STRING}|[^\s,}}\]"{{\[]++|{nested})'
+
+
+def masked(body: Column, keys: tuple[str, ...] = SENSITIVE_KEYS) -> Column:
+    """A JSON text with the values of ``keys`` replaced at every depth.
+
+    Everything else stays as it is written: numbers, booleans, nulls, arrays,
+    nested objects, the order of fields.  A quote right before a key name is
+    an opening quote unless a backslash precedes it, so text inside strings is
+    never taken for a key.  Bodies with \\u escapes, which could spell a key
+    another way, are written out anew by the parser first (fields sorted).  A
+    body that does not parse is NULL, and so is one whose masked value is
+    nested more than ``MASK_DEPTH`` deep."""
+    parsed = F.try_parse_json(body)
+    text = F.when(F.instr(body, "\\u") > 0, F.to_json(parsed)).otherwise(body)
+    key = rf'(?<!\\)"({"|".join(keys)})"\s*:\s*'
+    out = F.regexp_replace(text, key + _value_pattern(MASK_DEPTH), rf'"$1":"{MASK}"')
+    left = F.regexp_replace(out, rf'(?<!\\)"({"|".join(keys)})":"{_escaped(MASK)}"', "").rlike(key)
+    return F.when(parsed.isNotNull() & ~left, out)
+
+
+def _escaped(text: str) -> str:
+    return "".join("\\" + c for c in text)
+
 
 def mask_bodies(logs: DataFrame, body: str = "body") -> DataFrame:
-    """Parse each JSON body to a map, replace sensitive values, write it
-    back; a body that does not parse becomes NULL."""
-    m = F.from_json(F.col(body), "map<string,string>")
-    masked = F.transform_values(m, lambda k, v: F.when(k.isin(*SENSITIVE_KEYS), F.lit(MASK)).otherwise(v))
-    return logs.withColumn("masked_body", F.when(m.isNotNull(), F.to_json(masked)))
+    """Each JSON body with its sensitive values masked (``masked``)."""
+    return logs.withColumn("masked_body", masked(F.col(body)))
 
 
 def request_rollup(logs: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ def _nonempty(c: str) -> Column:
 def event_rules() -> list[tuple[str, Column]]:
     """V1: (reason, passes) pairs of the event schema."""
     return [
+        ("bad_event_id", is_uuid("event_id")),
         ("bad_event_type", F.col("event_type").isin(*EVENT_TYPES)),
         ("bad_device_type", F.col("device_type").isin(*DEVICE_TYPES)),
         ("empty_user_id", _nonempty("user_id")),
@@ -42,33 +43,39 @@ def apply_rules(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
 
 
 def validate_events(events: DataFrame) -> DataFrame:
-    return apply_rules(events, event_rules())
+    """V1: ``reasons`` and ``valid``.  A row that did not parse (``unparsable``) fails for
+    that alone: its fields are not what was sent."""
+    checked = apply_rules(events, event_rules())
+    if "unparsable" not in events.columns:
+        return checked
+    return (checked.withColumn("reasons", F.when(F.col("unparsable"), F.array(F.lit("unparsable"))).otherwise(F.col("reasons")))
+            .withColumn("valid", F.col("valid") & ~F.col("unparsable")).drop("unparsable"))
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted rows without the rule columns, quarantined rows with reasons)."""
-    ok = df.where("valid").drop("valid", "reasons")
+    ok = df.where("valid").drop("valid", "reasons", "payload")
     bad = df.where("NOT valid").drop("valid")
     return ok, bad
 
 
 def fill_defaults(raw: DataFrame, id_from=("user_id", "movie_id", "event_type", "timestamp", "device_type",
-                                            "session_id", "progress_seconds")) -> DataFrame:
+                                            "session_id", "progress_seconds"), clock: Column | None = None) -> DataFrame:
     """V2 over the wire form (``timestamp`` = epoch millis): an empty or
     missing id and a zero or missing time count as absent (Q12).  A missing
     id is derived from the row's fields, so a replayed batch produces the
     same id (a random UUID would not).  A missing time takes the ingest
-    clock."""
+    clock (``clock``, a timestamp; the current time if not given)."""
     eid = F.coalesce(F.nullif(F.col("event_id"), F.lit("")), derived_uuid(*id_from))
     ts = F.coalesce(F.nullif(F.col("timestamp"), F.lit(0)),
-                    F.unix_millis(F.current_timestamp()))
+                    F.unix_millis(clock if clock is not None else F.current_timestamp()))
     return raw.withColumn("event_id", eid).withColumn("timestamp", ts)
 
 
-def normalise_raw(raw: DataFrame, ingest_time: bool = True) -> DataFrame:
+def normalise_raw(raw: DataFrame, ingest_time: bool = True, clock: Column | None = None) -> DataFrame:
     """P1 (+P2): wire form -> stored form: millis to UTC timestamp, derived
     day, raw time dropped, ingest stamp added."""
-    out = (fill_defaults(raw)
+    out = (fill_defaults(raw, clock=clock)
            .withColumn("event_time", F.timestamp_millis("timestamp"))
            .withColumn("event_date", F.to_date("event_time"))
            .drop("timestamp"))

@@ -175,21 +175,21 @@ def q_stock_restored(spark, sf):
 @register("stock_ledger", with_views("shop_orders", "order_items", "products") + """,
 entries AS (
   SELECT i.product_id, o.created_at AS ts, 'RESERVE' AS kind, i.order_id, i.line_no, i.supplier_id,
-         -i.quantity AS delta
-  FROM order_items i JOIN shop_orders o USING (order_id)
+         -i.quantity AS delta, o.order_id IS NOT NULL AS counts
+  FROM order_items i LEFT JOIN shop_orders o USING (order_id)
   UNION ALL
-  SELECT product_id, shipdate, 'RESTORE', order_id, line_no, supplier_id, quantity
-  FROM order_items WHERE returnflag = 'R')
+  SELECT product_id, shipdate, 'RESTORE', order_id, line_no, supplier_id, quantity, true
+  FROM order_items WHERE returnflag = 'R'),
+moved AS (SELECT *, SUM(CASE WHEN counts THEN CAST(delta AS BIGINT) ELSE 0 END) OVER (PARTITION BY product_id
+            ORDER BY ts NULLS FIRST, kind, order_id, line_no, supplier_id, delta
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM entries)
 SELECT e.product_id, e.ts, e.kind, e.order_id, e.line_no, e.supplier_id, e.delta,
-       p.stock + SUM(CAST(e.delta AS BIGINT)) OVER (PARTITION BY e.product_id
-            ORDER BY e.ts, e.kind, e.order_id, e.line_no, e.supplier_id, e.delta
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS balance,
-       p.stock + SUM(CAST(e.delta AS BIGINT)) OVER (PARTITION BY e.product_id
-            ORDER BY e.ts, e.kind, e.order_id, e.line_no, e.supplier_id, e.delta
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) < 0 AS below_zero
-FROM entries e JOIN products p USING (product_id)""")
+       CASE WHEN counts THEN p.stock + total END AS balance,
+       CASE WHEN NOT counts THEN 'UNKNOWN_ORDER' WHEN p.product_id IS NULL THEN 'UNKNOWN_PRODUCT' END AS unmatched,
+       CASE WHEN counts THEN p.stock + total < 0 END AS below_zero
+FROM moved e LEFT JOIN products p USING (product_id)""")
 def q_stock_ledger(spark, sf):
-    return C.stock_ledger(_v(spark, sf, "order_items"), _v(spark, sf, "shop_orders"), _v(spark, sf, "products")).drop("unmatched")
+    return C.stock_ledger(_v(spark, sf, "order_items"), _v(spark, sf, "shop_orders"), _v(spark, sf, "products"))
 
 
 @register("promo_uses", with_views("shop_orders") + ", " + C.promo_values_sql() + """

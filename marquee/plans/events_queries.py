@@ -237,22 +237,47 @@ def q_retention_cohorts(spark, sf):
     return R.retention_long(ev, cohorts=[hi - dt.timedelta(days=1), hi - dt.timedelta(days=7), lo])
 
 
-@register("event_normalise", EV + """
-SELECT event_id, user_id, movie_id, event_type, event_time, event_date, device_type, session_id,
-       progress_seconds FROM movie_events""")
+_TEXT = "CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.{0}') END"
+_HASHED = ["user_id", "movie_id", "event_type", "timestamp", "device_type", "session_id", "progress_seconds"]
+_ID_HASH = "sha256(concat_ws(chr(1), " + ", ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in _HASHED) + "))"
+_DERIVED = " || '-' || ".join(f"substr({_ID_HASH}, {at}, {n})" for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+_WIRE_SQL = with_views("wire_events") + """,
+fields AS (SELECT payload, """ + ", ".join(f"{_TEXT.format(c)} AS {c}" for c in ["event_id", *_HASHED]) + f""" FROM wire_events),
+checked AS (SELECT payload, user_id, movie_id, event_type, device_type, session_id, TRY_CAST(progress_seconds AS INT) AS progress_seconds,
+    COALESCE(NULLIF(event_id, ''), {_DERIVED}) AS event_id,
+    make_timestamp(COALESCE(NULLIF(TRY_CAST(timestamp AS BIGINT), 0), 1706745600000) * 1000) AS event_time,
+    NOT json_valid(payload) OR (timestamp IS NOT NULL AND TRY_CAST(timestamp AS BIGINT) IS NULL) AS unparsable FROM fields),
+ruled AS (SELECT *, CASE WHEN unparsable THEN 'unparsable' ELSE concat_ws(',',
+    CASE WHEN NOT regexp_full_match(event_id, '[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}') THEN 'bad_event_id' END,
+    CASE WHEN event_type IS NULL OR event_type NOT IN ('VIEW_STARTED','VIEW_FINISHED','VIEW_PAUSED','VIEW_RESUMED','LIKED','SEARCHED') THEN 'bad_event_type' END,
+    CASE WHEN device_type IS NULL OR device_type NOT IN ('MOBILE','DESKTOP','TV','TABLET') THEN 'bad_device_type' END,
+    CASE WHEN COALESCE(user_id, '') = '' THEN 'empty_user_id' END,
+    CASE WHEN COALESCE(movie_id, '') = '' THEN 'empty_movie_id' END,
+    CASE WHEN COALESCE(session_id, '') = '' THEN 'empty_session_id' END,
+    CASE WHEN progress_seconds < 0 THEN 'negative_progress' END) END AS reasons FROM checked)"""
+_INGEST_CLOCK = "2024-02-01 00:00:00"
+
+
+def _wire(spark, sf):
+    from marquee.streaming import ingest as I
+    return I.validated(I.parse_wire(view(spark, sf, "wire_events"), "payload"), clock=F.lit(_INGEST_CLOCK).cast("timestamp"))
+
+
+@register("event_normalise", _WIRE_SQL + """
+SELECT event_id, user_id, movie_id, event_type, event_time, CAST(event_time AS DATE) AS event_date, device_type, session_id,
+       progress_seconds FROM ruled WHERE reasons = ''""")
 def q_event_normalise(spark, sf):
-    return Q.normalise(_ev(spark, sf))
+    """Accepted messages in the stored form (absent times take a fixed ingest clock)."""
+    ok, _ = Q.split_valid(_wire(spark, sf))
+    return Q.normalise(ok).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
-@register("event_quarantine", EV + """
-SELECT event_id,
-  (event_type IN ('VIEW_STARTED','VIEW_FINISHED','VIEW_PAUSED','VIEW_RESUMED','LIKED','SEARCHED')
-   AND device_type IN ('MOBILE','DESKTOP','TV','TABLET')
-   AND user_id IS NOT NULL AND movie_id IS NOT NULL AND session_id IS NOT NULL
-   AND length(session_id) >= 1 AND (progress_seconds IS NULL OR progress_seconds >= 0)) AS valid
-FROM movie_events""")
+@register("event_quarantine", _WIRE_SQL + """
+SELECT payload, reasons FROM ruled WHERE reasons <> ''""")
 def q_event_quarantine(spark, sf):
-    return Q.validate_events(_ev(spark, sf)).select("event_id", "valid")
+    """V1: refused messages as they were sent, with every rule they break."""
+    _, bad = Q.split_valid(_wire(spark, sf))
+    return bad.select(F.col("payload").cast("string").alias("payload"), F.array_join("reasons", ",").alias("reasons"))
 
 
 _NOON = ", noon_events AS (SELECT * FROM movie_events WHERE event_time < CAST(event_date AS TIMESTAMP) + INTERVAL 12 HOUR)"

@@ -13,18 +13,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marquee.sources.tables import table
 
-_BODY = ("'{\"username\":\"user' || CAST(user_id AS STRING) || '\",\"password\":\"pw' "
-         "|| CAST(event_id AS STRING) || '\",\"note\":\"' || event_type || '\"}'")
+# bodies of several shapes: scalars of every type, arrays, nested objects, a
+# secret that is a number or an object, a list on top
+_BODY = ("CASE event_type WHEN 'click' THEN '[{\"password\": ' || CAST(user_id AS STRING) || '}, true, null, 1.50]' "
+         "WHEN 'purchase' THEN '{\"id\":' || CAST(event_id AS STRING) || ',\"items\":[1,\"two\",{\"n\":null}],\"user\":{\"name\":\"u\",\"password_hash\":\"h' "
+         "|| CAST(user_id AS STRING) || '\"},\"paid\":true}' "
+         "WHEN 'error' THEN '{\"password\":{\"old\":\"a\",\"new\":[\"b\"]},\"note\":\"say password: x\"}' "
+         "ELSE '{\"username\":\"user' || CAST(user_id AS STRING) || '\",\"password\":\"pw' "
+         "|| CAST(event_id AS STRING) || '\",\"note\":\"' || event_type || '\"}' END")
+
+_MD5 = "md5(CAST(event_id AS STRING))"
+_UUID = " || '-' || ".join(f"substr({_MD5}, {at}, {n})" for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+# one event as a client sends it; by its value an event is malformed in one way or another
+_WIRE = (f"""'{{{{' || CASE WHEN event_type = 'click' THEN '' WHEN value >= 5 AND value < 10 THEN '"event_id":"not-a-uuid",'
+ ELSE '"event_id":"' || {_UUID} || '",' END
+ || '"user_id":"' || CASE WHEN value >= 35 AND value < 40 THEN '' ELSE 'u' || CAST(user_id AS STRING) END
+ || '","movie_id":"m' || CAST({{json_k}} AS STRING)
+ || '","event_type":"' || CASE WHEN value >= 10 AND value < 15 THEN 'NOT_EXIST' ELSE {{type}} END
+ || '","timestamp":' || CASE WHEN value >= 30 AND value < 35 THEN '0' WHEN value >= 40 AND value < 45 THEN '"soon"' ELSE CAST({{millis}} AS STRING) END
+ || ',"device_type":"' || CASE WHEN value >= 15 AND value < 20 THEN 'WATCH' ELSE {{device}} END
+ || '","session_id":"' || CASE WHEN value >= 20 AND value < 25 THEN '' ELSE 's' || CAST(user_id AS STRING) END
+ || '","progress_seconds":' || CASE WHEN value >= 25 AND value < 30 THEN '-3' WHEN event_type = 'signup' THEN 'null' ELSE CAST(CAST(floor(value) AS INT) AS STRING) END
+ || CASE WHEN value < 5 THEN '' ELSE '}}}}' END""")
 
 DIALECT = {
     "spark": {
         "json_k": "get_json_object(props, '$.k')",
+        "millis": "unix_millis(CAST(ts AS TIMESTAMP))",
         "body": _BODY,
         "departs": "CAST(date_add(DATE '2026-04-01', CAST(p_partkey % 30 AS INT)) AS TIMESTAMP_NTZ)"
                    " + make_dt_interval(0, CAST(p_partkey % 24 AS INT), 0, 0)",
     },
     "duckdb": {
         "json_k": "json_extract_string(props, '$.k')",
+        "millis": "(epoch_us(ts) // 1000)",
         "body": _BODY,
         "departs": "CAST(DATE '2026-04-01' + CAST(p_partkey % 30 AS INT) AS TIMESTAMP)"
                    " + to_hours(CAST(p_partkey % 24 AS INT))",
@@ -71,6 +93,11 @@ VIEWS: dict[str, dict] = {
              "THEN CAST(floor(value) AS INT) END"),
         ],
     },
+    # the same events as clients send them, JSON lines of which some are malformed
+    "wire_events": {
+        "base": "events",
+        "cols": [("payload", _WIRE.replace("{type}", _TYPE_MAP).replace("{device}", _DEVICE))],
+    },
     # marketplace catalogue
     "products": {
         "base": "part",

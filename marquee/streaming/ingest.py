@@ -1,7 +1,8 @@
 """Continuous ingest (S1, K1, K2, T1, T3) and incremental state.
 
 Source: a file source of wire-form events (JSON lines, one file per
-producer flush) read with the explicit event schema.  A Kafka topic is the
+producer flush), parsed with the explicit event schema; each message's bytes
+stay beside its fields, so the quarantine table holds what was sent.  A Kafka topic is the
 same stream with ``value`` parsed by ``from_json``; the Kafka connector jar
 is not bundled here, so that path is written but untested.  Avro with a
 schema registry would need ``from_avro`` (spark-avro) after stripping the
@@ -41,13 +42,26 @@ WIRE_SCHEMA = T.StructType([
 ])
 
 
-def event_stream(spark: SparkSession, path: str, fmt: str = "json",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """S1 over files: a streaming frame in the wire schema."""
-    r = spark.readStream.schema(WIRE_SCHEMA).format(fmt)
+def parse_wire(lines: DataFrame, payload: str = "value") -> DataFrame:
+    """The wire fields of JSON messages in ``payload`` (string or binary), the message itself as
+    ``payload`` (its bytes) and ``unparsable``: cut off, not an object, or a field of the wrong type.
+
+    Nothing is dropped: what does not parse goes on with the fields that could be read."""
+    schema = T.StructType([*WIRE_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
+    text = F.col(payload).cast("string")
+    e = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    parsed = lines.select(F.col(payload).cast("binary").alias("payload"), text.alias("__text"), e.alias("__e"))
+    whole = F.col("__e").isNotNull() & F.col("__e._corrupt").isNull() & F.trim("__text").startswith("{")
+    return parsed.select(*[F.col(f"__e.{f.name}").alias(f.name) for f in WIRE_SCHEMA.fields], "payload",
+                         (~F.coalesce(whole, F.lit(False))).alias("unparsable"))
+
+
+def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S1 over files of JSON lines: a streaming frame in the wire schema (``parse_wire``)."""
+    r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)
+    return parse_wire(r.load(path).where(F.length(F.trim("value")) > 0))
 
 
 def kafka_event_stream(spark: SparkSession, servers: str, topic: str,
@@ -56,7 +70,7 @@ def kafka_event_stream(spark: SparkSession, servers: str, topic: str,
     raw = (spark.readStream.format("kafka")
            .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
            .option("maxOffsetsPerTrigger", str(max_offsets_per_trigger)).load())
-    return raw.select(F.from_json(F.col("value").cast("string"), WIRE_SCHEMA).alias("e")).select("e.*")
+    return parse_wire(raw)
 
 
 def to_kafka_records(events: DataFrame) -> DataFrame:
@@ -70,10 +84,10 @@ def to_kafka_records(events: DataFrame) -> DataFrame:
         .alias("headers"))
 
 
-def validated(stream: DataFrame) -> DataFrame:
+def validated(stream: DataFrame, clock=None) -> DataFrame:
     """V1 + V2 + P1 + P2 on a wire-form frame (batch or stream): defaults
     filled, rules applied, stored form with ``valid`` and ``reasons``."""
-    return Q.validate_events(Q.normalise_raw(stream))
+    return Q.validate_events(Q.normalise_raw(stream, clock=clock))
 
 
 def start_ingest(stream: DataFrame, raw_path: str, quarantine_path: str, checkpoint_root: str,
@@ -92,7 +106,7 @@ def start_ingest(stream: DataFrame, raw_path: str, quarantine_path: str, checkpo
     def put_quarantine(df: DataFrame, bid: int) -> None:
         df.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id=stream-{source}-{bid}")
 
-    ok = (v.where("valid").drop("valid", "reasons").writeStream.foreachBatch(put_raw)
+    ok = (v.where("valid").drop("valid", "reasons", "payload").writeStream.foreachBatch(put_raw)
           .option("checkpointLocation", f"{checkpoint_root}/raw").trigger(**trig).start())
     bad = (v.where("NOT valid").drop("valid").writeStream.foreachBatch(put_quarantine)
            .option("checkpointLocation", f"{checkpoint_root}/quarantine").trigger(**trig).start())

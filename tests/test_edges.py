@@ -85,14 +85,41 @@ def test_session_counts(spark):
 def test_invalid_event_quarantined(spark):
     raw = spark.createDataFrame(
         [("", "tester_007", "test_film", "NOT_EXIST", 0, "MOBILE", "s", None),
-         ("id-1", "tester_007", "test_film", "VIEW_STARTED", 1_700_000_000_000, "DESKTOP", "s", 0)],
+         ("0123abcd-0000-4000-8000-0123456789AB", "tester_007", "test_film", "VIEW_STARTED", 1_700_000_000_000, "DESKTOP", "s", 0)],
         "event_id string, user_id string, movie_id string, event_type string, timestamp long, "
         "device_type string, session_id string, progress_seconds int")
     v = Q.validate_events(Q.normalise_raw(raw))
     rows = {r["event_type"]: (r["valid"], r["reasons"], r["event_id"]) for r in v.collect()}
     assert rows["NOT_EXIST"][0] is False and rows["NOT_EXIST"][1] == ["bad_event_type"]
     assert rows["NOT_EXIST"][2]  # an id was filled in for the empty one
-    assert rows["VIEW_STARTED"] == (True, [], "id-1")
+    assert rows["VIEW_STARTED"] == (True, [], "0123abcd-0000-4000-8000-0123456789AB")
+
+
+def test_event_id_must_be_a_uuid(spark):
+    ids = ["not-a-uuid", "0123abcd-0000-4000-8000-0123456789a", "0123abcd000040008000-0123456789ab", "0123abcd-0000-4000-8000-0123456789ab"]
+    raw = spark.createDataFrame([(i, "u", "m", "LIKED", 1, "TV", "s", None) for i in ids],
+                                "event_id string, user_id string, movie_id string, event_type string, timestamp long, "
+                                "device_type string, session_id string, progress_seconds int")
+    got = {r["event_id"]: r["reasons"] for r in Q.validate_events(Q.normalise_raw(raw)).collect()}
+    assert got == {i: [] if n == 3 else ["bad_event_id"] for n, i in enumerate(ids)}
+
+
+def test_masking_keeps_types_at_every_depth(spark):
+    from marquee.operators.logs import mask_bodies
+    deep = "[" * 20 + "]" * 20
+    cases = [
+        ('{"a":1.50,"password":"x","b":[1,null,{"password_hash":{"k":["y"]}}],"c":true}', '{"a":1.50,"password":"***","b":[1,null,{"password_hash":"***"}],"c":true}'),
+        ('[{"password" : 12}, "password", {"xpassword":"k"}]', '[{"password":"***"}, "password", {"xpassword":"k"}]'),
+        (r'{"t":"say \"password\": no","password":"a\"b, \\"}', r'{"t":"say \"password\": no","password":"***"}'),
+        (r'{"pass\u0077ord":"x","a":2}', '{"a":2,"password":"***"}'),
+        ('{"password":{"a":{"b":[{"c":"d"}]}}}', '{"password":"***"}'), ('{"password":' + deep + "}", None),
+        ('{"password":null,"n":-3e5}', '{"password":"***","n":-3e5}'), ('{"password":"***"}', '{"password":"***"}'),
+        ("7", "7"), ('"password"', '"password"'), ('{"a":', None), ("", None), (None, None), ('{"a":"' + "x" * 100000 + '","password":"' + "y" * 100000 + '"}', None),
+    ]
+    cases[-1] = (cases[-1][0], cases[-1][0].replace("y" * 100000, "***"))
+    got = mask_bodies(spark.createDataFrame([(i, b) for i, (b, _) in enumerate(cases)], "i int, body string")).orderBy("i").collect()
+    for r, (_, want) in zip(got, cases):
+        assert r["masked_body"] == want, (r["body"][:80], r["masked_body"])
 
 
 def _promo_order(spark, subtotal, code):
@@ -215,9 +242,8 @@ def test_running_totals_equal_plain_window(spark):
                                  (F.col("id") * 7 % 11).alias("v"))
     w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     ref = sorted(map(tuple, df.withColumn("run", F.sum("v").over(w)).select("k", "id", "run").collect()))
-    for hot_rows in (0, 170, 10_000):  # all keys split, some split, none split
-        r = running_totals(df, ["k"], [F.col("id")], {"run": F.col("v")}, F.floor(F.col("id") / 37),
-                           hot_rows=hot_rows)
+    for ranges in (1, 3, 40):  # a key in one range, in several, in many
+        r = running_totals(df, ["k"], [F.col("id")], {"run": F.col("v")}, ranges=ranges)
         assert sorted(map(tuple, r.select("k", "id", "run").collect())) == ref
 
 

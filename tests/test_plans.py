@@ -1,6 +1,8 @@
 """Plan shape: pruning, partial aggregation, pushed-down limits, no sort
 aggregates on hot paths, partition pruning on the stored raw table."""
 
+import re
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -31,9 +33,28 @@ def test_pricing_stays_hash_aggregate(spark):
         assert "SortAggregate" not in p
 
 
-def test_retention_broadcasts_cohort_sizes(spark):
-    p = plan(E.queries()["retention_long"](spark, SF_SMALL))
-    assert "BroadcastExchange" in p
+def test_retention_is_one_scan_and_two_shuffles(spark):
+    for q in ("retention_long", "retention_matrix"):
+        p = plan(E.queries()[q](spark, SF_SMALL))
+        assert p.count("Scan parquet") == 1 and "Join" not in p
+        assert len(re.findall(r"Exchange (hash|range|single)", p)) <= 2, p
+
+
+def test_seat_admission_has_one_sorted_pass(spark):
+    p = plan(E.queries()["seat_admission"](spark, SF_SMALL))
+    assert p.count("MapInArrow") == 1 and "FlatMapGroups" not in p and p.count("Scan parquet") == 2
+
+
+def test_ordered_operators_do_not_join_a_table_with_itself(spark):
+    """Each given table is read once to be dealt by ranges; what follows joins with tables of one row per range, by broadcast."""
+    for q in ("stock_ledger", "provider_health", "status_transitions", "bookings_newest", "campaign_batches"):
+        p = plan(E.queries()[q](spark, SF_SMALL))
+        assert all("ranges-" in x or "part.parquet" in x for x in re.findall(r"Location: .*", p)), (q, p)
+
+
+def test_promo_ranks_are_cut_before_the_shuffle(spark):
+    p = plan(E.queries()["order_pricing"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p
 
 
 def test_day_filter_prunes_partitions(spark, tmp_root):
