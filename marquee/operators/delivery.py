@@ -10,7 +10,7 @@ of time.  Ordered-per-provider checks (W5) use bucketed running counts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.quantiles import exact_percentiles
@@ -53,6 +53,54 @@ def delivery_state(attempts: DataFrame, prefs: DataFrame, chain=DEFAULT_CHAIN) -
                     F.when(F.col("last_status") != "DELIVERED", nxt).alias("next_channel"))
 
 
+# What a step log records, and the states of a notification.
+STEPS = ("REQUESTED", "DISPATCHED", "DELIVERED", "CHANNEL_FAILED")
+STATES = ("PENDING", "DISPATCHING", "DELIVERED", "CHANNEL_FAILED", "FAILOVER", "EXHAUSTED")
+#: Seconds after which a dispatch without an answer counts as failed, and after a failure until the failover is taken up.
+ACK_TIMEOUT_S, FAILOVER_S = 6 * 3600, 3600
+
+
+def delivery_machine(steps: DataFrame, as_of: Column, prefs: DataFrame | None = None, ack_timeout_s: int = ACK_TIMEOUT_S,
+                     failover_s: int = FAILOVER_S, chain=DEFAULT_CHAIN) -> DataFrame:
+    """State of every notification at ``as_of`` (a timestamp), from a log of
+    ``notif_id, user_id, tier, step_id, step, channel, ts``.
+
+    An acknowledgement ends it as DELIVERED, also one that comes late; other
+    channels' answers are then no longer waited for.  Else
+    each channel counts by its last step: a dispatch is in flight (DISPATCHING)
+    until ``ack_timeout_s`` have passed without an answer, then it has failed;
+    a failure is CHANNEL_FAILED for ``failover_s`` and after that FAILOVER, if
+    a channel of the chain has not failed, else EXHAUSTED.  Without a dispatch it is PENDING.
+    Later steps than ``as_of`` are not known yet."""
+    known = steps.where(F.col("ts") <= as_of)
+    last = F.struct("ts", "step_id")
+    seconds = lambda s: F.make_dt_interval(secs=F.lit(s))
+    # by channel first: a notification's log is merged in every task, whatever its length
+    per = known.groupBy("notif_id", "channel").agg(
+        F.max("user_id").alias("user_id"), F.max("tier").alias("tier"), F.max_by("step", last).alias("step"), F.max("ts").alias("ts"),
+        F.bool_or(F.col("step") == "DELIVERED").alias("ok"), F.count(F.lit(1)).alias("n"),
+        F.max(F.when(F.col("step") == "DELIVERED", last)).alias("ok_at"))
+    overdue = F.col("ts") + seconds(ack_timeout_s)
+    failed_at = F.when(F.col("step") == "CHANNEL_FAILED", F.col("ts")).when((F.col("step") == "DISPATCHED") & (overdue <= as_of), overdue)
+    per = per.withColumn("failed_at", F.when(F.col("channel").isNotNull(), failed_at))
+    g = per.groupBy("notif_id").agg(
+        F.max("user_id").alias("user_id"), F.max("tier").alias("tier"), F.sum("n").alias("steps"), F.bool_or("ok").alias("ok"),
+        F.max_by("channel", "ok_at").alias("ok_channel"), F.max("failed_at").alias("failed_at"),
+        F.bool_or(F.col("channel").isNotNull() & (F.col("step") == "DISPATCHED") & F.col("failed_at").isNull()).alias("flying"),
+        F.array_sort(F.collect_set(F.when(F.col("failed_at").isNotNull(), F.col("channel")))).alias("failed"),
+        F.array_sort(F.collect_set(F.when(F.col("step") == "CHANNEL_FAILED", F.col("channel")))).alias("refused"))
+    # what was delivered waits for no other answer, so only stated failures count there
+    g = g.withColumn("failed_channels", F.when(F.col("ok"), F.col("refused")).otherwise(F.col("failed")))
+    preferred = F.lit(None).cast("string")
+    if prefs is not None:
+        g, preferred = g.join(prefs.select("user_id", "preferred_channel"), "user_id", "left"), F.col("preferred_channel")
+    nxt = next_channel(preferred, F.col("failed_channels"), chain)
+    state = (F.when(F.col("ok"), "DELIVERED").when(F.col("flying"), "DISPATCHING").when(F.col("failed_at").isNull(), "PENDING")
+             .when(F.col("failed_at") + seconds(failover_s) > as_of, "CHANNEL_FAILED").when(nxt.isNotNull(), "FAILOVER").otherwise("EXHAUSTED"))
+    return g.select("notif_id", "user_id", "tier", "steps", state.alias("state"), F.when(F.col("ok"), F.col("ok_channel")).alias("delivered_by"),
+                    "failed_channels", F.when(state.isin("PENDING", "CHANNEL_FAILED", "FAILOVER"), nxt).alias("next_channel"))
+
+
 def dead_letters(states: DataFrame) -> DataFrame:
     """K8: exhausted notifications, written to their own table by the caller."""
     return states.where(F.col("state") == "EXHAUSTED")
@@ -87,14 +135,29 @@ def tier_volume(attempts: DataFrame, per_minute_cap: int = 60000) -> DataFrame:
             .withColumn("over_cap", F.col("sends") > per_minute_cap))
 
 
-def delivery_success(attempts: DataFrame, target: float = 0.995, push_alert: float = 0.85) -> DataFrame:
-    """Success rate per day and channel; target flag, push alert."""
-    g = (attempts.groupBy(F.to_date("ts").alias("day"), "channel")
-         .agg(F.count(F.lit(1)).alias("attempts"),
-              F.count_if(F.col("status") == "DELIVERED").alias("delivered")))
+def delivery_success(attempts: DataFrame, target: float = 0.995, push_alert: float = 0.85, tier: str = "transactional",
+                     hours: int = 24) -> DataFrame:
+    """Success rate of a tier over any ``hours``: for every minute with
+    attempts and each channel, and for all channels together (channel NULL),
+    the rate over the window that ends with it; target flag for the whole
+    tier, alert for push.
+
+    Attempts are first counted per (minute, channel), partial sums that merge;
+    only these are looked back over.  A minute goes to the bucket of its
+    window and to the next one as context, so no window spans the history."""
+    minute = F.unix_micros(F.date_trunc("minute", F.col("ts")).cast("timestamp")).alias("minute")
+    per = (attempts.where(F.col("tier") == tier).groupBy(minute, "channel")
+           .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "DELIVERED").alias("ok")))
+    every = per.withColumn("channel", F.explode(F.array(F.col("channel"), F.lit(None).cast("string"))))
+    every = every.groupBy("minute", "channel").agg(F.sum("n").alias("n"), F.sum("ok").alias("ok"))
+    width = hours * 3_600_000_000
+    bucket = F.expr(f"minute div {width}")
+    placed = every.select("*", F.inline(F.array(F.struct(bucket.alias("bucket"), F.lit(False).alias("past")), F.struct((bucket + 1).alias("bucket"), F.lit(True).alias("past")))))
+    w = Window.partitionBy("channel", "bucket").orderBy("minute").rangeBetween(-(width - 60_000_000), 0)
+    r = placed.withColumns({"attempts": F.sum("n").over(w), "delivered": F.sum("ok").over(w)}).where("NOT past")
     rate = F.col("delivered") / F.col("attempts")
-    return g.select("day", "channel", "attempts", "delivered", rate.alias("success_rate"),
-                    (rate >= target).alias("meets_target"),
+    return r.select(F.timestamp_micros("minute").cast("timestamp_ntz").alias("window_end"), "channel", "attempts", "delivered", rate.alias("success_rate"),
+                    F.when(F.col("channel").isNull(), rate >= target).alias("meets_target"),
                     ((F.col("channel") == "push") & (rate < push_alert)).alias("push_alert"))
 
 
@@ -114,8 +177,8 @@ def sms_share(attempts: DataFrame, cap: float = 0.10) -> DataFrame:
 
 
 def queue_depth(states: DataFrame) -> DataFrame:
-    """Notifications still in flight (not DELIVERED / EXHAUSTED) per tier
-    and the channel they wait for."""
+    """Notifications still on their way (neither DELIVERED nor EXHAUSTED)
+    per tier, state and the channel they wait for."""
     return (states.where(~F.col("state").isin("DELIVERED", "EXHAUSTED"))
             .groupBy("tier", "state", "next_channel").agg(F.count(F.lit(1)).alias("waiting")))
 
@@ -155,22 +218,21 @@ def attempt_history(attempts: DataFrame) -> DataFrame:
         x["status"].alias("status"))).alias("history"))
 
 
-def trace_gaps(attempts: DataFrame, states: DataFrame) -> DataFrame:
-    """Accepted notifications with neither a delivery nor a dead letter."""
-    done = (attempts.where(F.col("status") == "DELIVERED").select("notif_id")
-            .unionByName(dead_letters(states).select("notif_id")))
-    acc = attempts.select("notif_id", "tier").distinct()
-    return acc.join(done, "notif_id", "left_anti")
+def trace_gaps(attempts: DataFrame, prefs: DataFrame, chain=DEFAULT_CHAIN) -> DataFrame:
+    """Accepted notifications with neither a delivery nor a dead letter, from one pass over the attempts."""
+    g = attempts.groupBy("notif_id").agg(
+        F.max("user_id").alias("user_id"), F.max("tier").alias("tier"), F.bool_or(F.col("status") == "DELIVERED").alias("ok"),
+        F.array_sort(F.collect_set(F.when(F.col("status") == "CHANNEL_FAILED", F.col("channel")))).alias("failed"))
+    open_ = g.where("NOT ok").join(prefs.select("user_id", "preferred_channel"), "user_id", "left")
+    return open_.where(next_channel(F.col("preferred_channel"), F.col("failed"), chain).isNotNull()).select("notif_id", "tier")
 
 
 def silent_drops(acks: DataFrame, receipts: DataFrame) -> DataFrame:
     """Acknowledged sends with no receipt from the app, ratio per day."""
-    missing = acks.join(receipts.select("attempt_id"), "attempt_id", "left_anti") \
-        .groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("no_receipt"))
-    total = acks.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("acked"))
-    return (total.join(missing, "day", "left")
-            .select("day", "acked", F.coalesce(F.col("no_receipt"), F.lit(0)).alias("no_receipt"),
-                    (F.coalesce(F.col("no_receipt"), F.lit(0)) / F.col("acked")).alias("drop_rate")))
+    seen = receipts.select("attempt_id", F.lit(True).alias("__seen")).dropDuplicates(["attempt_id"])
+    return (acks.join(seen, "attempt_id", "left").groupBy(F.to_date("ts").alias("day"))
+            .agg(F.count(F.lit(1)).alias("acked"), F.count_if(F.col("__seen").isNull()).alias("no_receipt"))
+            .withColumn("drop_rate", F.col("no_receipt") / F.col("acked")))
 
 
 def provider_health(attempts: DataFrame, n: int = 10, threshold: int = 5) -> DataFrame:

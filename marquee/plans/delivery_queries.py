@@ -63,11 +63,45 @@ def q_next_channel(spark, sf):
     return s.select("notif_id", F.array_join("failed_channels", ",").alias("failed_channels"), "next_channel")
 
 
-@register("queue_depth", _STATE_SQL + """
-SELECT tier, state, next_channel, COUNT(*) AS waiting FROM states
-WHERE state NOT IN ('DELIVERED', 'EXHAUSTED') GROUP BY tier, state, next_channel""")
+_AS_OF = "2024-01-20 12:00:00"
+_MACHINE_SQL = with_views("notification_steps", "preferences") + f""",
+clock AS (SELECT TIMESTAMP '{_AS_OF}' AS as_of),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY notif_id, channel ORDER BY ts DESC, step_id DESC) AS back
+           FROM notification_steps, clock WHERE ts <= as_of),
+ends AS (SELECT *, CASE WHEN channel IS NULL THEN NULL WHEN step = 'CHANNEL_FAILED' THEN ts
+                        WHEN step = 'DISPATCHED' AND ts + INTERVAL 6 HOUR <= as_of THEN ts + INTERVAL 6 HOUR END AS failed_at
+         FROM ranked WHERE back = 1),
+oks AS (SELECT notif_id, arg_max(channel, (ts, step_id)) AS delivered_by FROM ranked WHERE step = 'DELIVERED' GROUP BY notif_id),
+totals AS (SELECT notif_id, MAX(user_id) AS user_id, MAX(tier) AS tier, COUNT(*) AS steps FROM ranked GROUP BY notif_id),
+g AS (SELECT e.notif_id, MAX(failed_at) AS failed_at, bool_or(channel IS NOT NULL AND step = 'DISPATCHED' AND failed_at IS NULL) AS flying,
+             COALESCE(list_sort(list(DISTINCT channel) FILTER (WHERE failed_at IS NOT NULL AND (o.notif_id IS NULL OR step = 'CHANNEL_FAILED'))),
+                      CAST([] AS VARCHAR[])) AS failed
+      FROM ends e LEFT JOIN oks o USING (notif_id) GROUP BY e.notif_id),
+n AS (SELECT g.*, t.user_id, t.tier, t.steps, o.notif_id IS NOT NULL AS ok, o.delivered_by,
+             list_filter([p.preferred_channel, 'push', 'sms', 'email'], lambda c: c IS NOT NULL AND NOT list_contains(g.failed, c))[1] AS nxt
+      FROM g JOIN totals t USING (notif_id) LEFT JOIN oks o USING (notif_id) LEFT JOIN preferences p ON p.user_id = t.user_id),
+machine AS (SELECT *, CASE WHEN ok THEN 'DELIVERED' WHEN flying THEN 'DISPATCHING' WHEN failed_at IS NULL THEN 'PENDING'
+                           WHEN failed_at + INTERVAL 1 HOUR > as_of THEN 'CHANNEL_FAILED' WHEN nxt IS NOT NULL THEN 'FAILOVER' ELSE 'EXHAUSTED' END AS state
+            FROM n, clock)"""
+
+
+def _machine(spark, sf):
+    return D.delivery_machine(view(spark, sf, "notification_steps"), F.lit(_AS_OF).cast("timestamp_ntz"), view(spark, sf, "preferences"))
+
+
+@register("delivery_machine", _MACHINE_SQL + """
+SELECT notif_id, user_id, tier, steps, state, delivered_by, array_to_string(failed, ',') AS failed_channels,
+       CASE WHEN state IN ('PENDING', 'CHANNEL_FAILED', 'FAILOVER') THEN nxt END AS next_channel FROM machine""")
+def q_delivery_machine(spark, sf):
+    """All six states, at a point in the log's time."""
+    return _machine(spark, sf).withColumn("failed_channels", F.array_join("failed_channels", ","))
+
+
+@register("queue_depth", _MACHINE_SQL + """
+SELECT tier, state, CASE WHEN state <> 'DISPATCHING' THEN nxt END AS next_channel, COUNT(*) AS waiting FROM machine
+WHERE state NOT IN ('DELIVERED', 'EXHAUSTED') GROUP BY ALL""")
 def q_queue_depth(spark, sf):
-    return D.queue_depth(_states(spark, sf))
+    return D.queue_depth(_machine(spark, sf))
 
 
 @register("trace_gaps", _STATE_SQL + """
@@ -75,7 +109,7 @@ SELECT DISTINCT notif_id, tier FROM attempts
 WHERE notif_id NOT IN (SELECT notif_id FROM attempts WHERE status = 'DELIVERED')
   AND notif_id NOT IN (SELECT notif_id FROM states WHERE state = 'EXHAUSTED')""")
 def q_trace_gaps(spark, sf):
-    return D.trace_gaps(_att(spark, sf), _states(spark, sf))
+    return D.trace_gaps(_att(spark, sf), view(spark, sf, "preferences"))
 
 
 @register("opt_out", with_views("attempts", "preferences") + """
@@ -102,13 +136,13 @@ def q_tier_volume(spark, sf):
     return D.tier_volume(_att(spark, sf))
 
 
-@register("delivery_success", with_views("attempts") + """
-SELECT day, channel, attempts, delivered, delivered / attempts AS success_rate,
-       delivered / attempts >= 0.995 AS meets_target,
-       (channel = 'push' AND delivered / attempts < 0.85) AS push_alert
-FROM (SELECT CAST(ts AS DATE) AS day, channel, COUNT(*) AS attempts,
-             COUNT(CASE WHEN status = 'DELIVERED' THEN 1 END) AS delivered
-      FROM attempts GROUP BY CAST(ts AS DATE), channel)""")
+@register("delivery_success", with_views("attempts") + """,
+per AS (SELECT date_trunc('minute', ts) AS window_end, channel, COUNT(*) AS n, COUNT(CASE WHEN status = 'DELIVERED' THEN 1 END) AS ok
+        FROM attempts WHERE tier = 'transactional' GROUP BY GROUPING SETS ((date_trunc('minute', ts), channel), (date_trunc('minute', ts)))),
+r AS (SELECT window_end, channel, CAST(SUM(n) OVER w AS BIGINT) AS attempts, CAST(SUM(ok) OVER w AS BIGINT) AS delivered FROM per
+      WINDOW w AS (PARTITION BY channel ORDER BY window_end RANGE BETWEEN INTERVAL 1439 MINUTE PRECEDING AND CURRENT ROW))
+SELECT *, delivered / attempts AS success_rate, CASE WHEN channel IS NULL THEN delivered / attempts >= 0.995 END AS meets_target,
+       (channel = 'push' AND delivered / attempts < 0.85) AS push_alert FROM r""")
 def q_delivery_success(spark, sf):
     return D.delivery_success(_att(spark, sf))
 

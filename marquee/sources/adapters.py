@@ -219,6 +219,21 @@ VIEWS: dict[str, dict] = {
             ("latency_s", "value"),
         ],
     },
+    # steps of notifications over events: one notification per (user, tier,
+    # day, seventh of the ids); each event is one step of it
+    "notification_steps": {
+        "base": "events",
+        "cols": [
+            ("notif_id", f"CAST(user_id AS STRING) || '-' || CAST({_DAY} AS STRING) || '-' || CAST(event_id % 7 AS STRING)"),
+            ("user_id", "user_id"),
+            ("tier", "CASE event_id % 7 WHEN 0 THEN 'transactional' WHEN 1 THEN 'service' ELSE 'marketing' END"),
+            ("step_id", "event_id"),
+            ("step", "CASE event_type WHEN 'signup' THEN 'REQUESTED' WHEN 'purchase' THEN 'DELIVERED' "
+                     "WHEN 'error' THEN 'CHANNEL_FAILED' WHEN 'view' THEN 'CHANNEL_FAILED' ELSE 'DISPATCHED' END"),
+            ("channel", "CASE WHEN event_type = 'signup' THEN NULL WHEN event_id % 3 = 0 THEN 'push' WHEN event_id % 3 = 1 THEN 'sms' ELSE 'email' END"),
+            ("ts", "ts"),
+        ],
+    },
     # user notification preferences over customers
     "preferences": {
         "base": "customer",
