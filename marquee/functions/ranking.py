@@ -8,6 +8,8 @@ own range plus the number of rows of the group in the ranges before it.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,3 +65,37 @@ def positions(df: DataFrame, groups: list[str], order: list[Column], out: str =
     placed = dealt.withColumn("__place", F.row_number().over(inside) - 1)
     return (placed.alias("r").join(F.broadcast(before).alias("b"), same("r", "b", ["__range", *groups]), "left")
             .select(*[F.col(f"r.`{c}`") for c in df.columns], (F.coalesce("b.__before", F.lit(0)) + F.col("r.__place")).cast("long").alias(out)))
+
+
+@dataclass
+class PageIndex:
+    """Rows dealt by ranges of one order, and the number of rows before each range."""
+
+    rows: DataFrame
+    offsets: DataFrame
+    order: list[Column]
+    columns: list[str]
+    total: int
+
+    def ranges_of(self, offset: int, size: int) -> DataFrame:
+        """The ranges that hold any of the positions sought: one row each, with the rows before."""
+        return self.offsets.where((F.col("__before") < offset + size) & (F.col("__before") + F.col("__rows") > offset))
+
+
+def page_index(df: DataFrame, order: list[Column], ranges: int | None = None) -> PageIndex:
+    """An index for any number of pages of ``df`` in ``order``: the rows are dealt once, their count comes with it."""
+    dealt = deal(df, [], order, ranges)
+    w = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    counts = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"))
+    offsets = staged(counts.withColumn("__before", F.coalesce(F.sum("__rows").over(w), F.lit(0))), "offsets")
+    total = offsets.agg(F.coalesce(F.sum("__rows"), F.lit(0))).first()[0]
+    return PageIndex(dealt, offsets, order, df.columns, total)
+
+
+def page(index: PageIndex, offset: int, size: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + size - 1`` (0-based) with their ``position``.  Only the ranges that hold them are
+    sorted, so a page deep in the table costs what the first one does."""
+    inside = Window.partitionBy("__range").orderBy(*index.order, "__nth")
+    held = index.rows.join(F.broadcast(index.ranges_of(offset, size)), "__range")  # one row per range
+    placed = held.withColumn("position", F.col("__before") + F.row_number().over(inside) - 1)
+    return placed.where(F.col("position").between(offset, offset + size - 1)).select(*index.columns, F.col("position").cast("long"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.functions.ranking import page, page_index
 from marquee.functions.windows import count_in_range, look_back, running_totals
 
 MONEY = "decimal(18,2)"
@@ -93,13 +94,13 @@ def product_listing(products: DataFrame, status=None, category=None) -> DataFram
     return products
 
 
-def product_page(products: DataFrame, page: int, size: int, status=None, category=None) -> DataFrame:
-    """P3 + O3 + A20: one page ordered by id (added for determinism) with the
-    filtered total beside each row (a one-row aggregate, cross-joined)."""
-    f = product_listing(products, status, category)
-    total = f.agg(F.count(F.lit(1)).alias("total"))
-    page_df = f.orderBy("product_id").offset(page * size).limit(size)
-    return page_df.crossJoin(total)
+def product_page(products: DataFrame, number: int, size: int, status=None, category=None) -> DataFrame:
+    """P3 + O3 + A20: page ``number`` (from 0) ordered by id (added for
+    determinism) with the filtered total beside each row.  The page comes from
+    an index of ranges, so a deep page sorts no more rows than the first one;
+    keep ``ranking.page_index`` to serve many pages."""
+    index = page_index(product_listing(products, status, category), [F.col("product_id")])
+    return page(index, number * size, size).drop("position").withColumn("total", F.lit(index.total).cast("long"))
 
 
 def soft_delete(products: DataFrame, ids: DataFrame, now_col=None) -> DataFrame:
@@ -124,7 +125,8 @@ def apply_changes(current: DataFrame, changes: DataFrame, key: str = "product_id
     u = (current.withColumn("__src", F.lit(0))
          .unionByName(changes.withColumn("__src", F.lit(1)), allowMissingColumns=True))
     rest = [c for c in u.columns if c not in (key, "__src")]
-    return (u.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(F.col(ts), F.col("__src"))).alias("__row"))
+    # changes of one time are told apart by their content, so reruns agree
+    return (u.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(F.col(ts), F.col("__src"), *rest)).alias("__row"))
             .select(key, *[F.col(f"__row.{c}").alias(c) for c in rest]))
 
 
@@ -300,11 +302,29 @@ def users_with_open_order(users: DataFrame, orders: DataFrame, open_=True) -> Da
     return users.join(o, "user_id", "left_semi" if open_ else "left_anti")
 
 
-def stock_restored(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Stock given back per product by returned lines of open (cancel-
-    or updatable) orders."""
-    o = orders.where(F.col("status").isin(*OPEN_STATUSES)).select("order_id")
-    return (items.where(F.col("returnflag") == "R").join(o, "order_id", "left_semi")
+def order_decisions(orders: DataFrame, actions: DataFrame) -> DataFrame:
+    """What a log of requests (``order_id, action, ts``; UPDATE or CANCEL) comes
+    to per order: order_id, updated, cancelled.
+
+    An order can be updated while CREATED and cancelled while it is open, once
+    each; an update asked for after the cancel is refused."""
+    asked = actions.groupBy("order_id").agg(F.min(F.when(F.col("action") == "UPDATE", F.col("ts"))).alias("upd"),
+                                            F.min(F.when(F.col("action") == "CANCEL", F.col("ts"))).alias("can"))
+    j = orders.select("order_id", "status").join(asked, "order_id")
+    cancelled = F.col("can").isNotNull() & F.col("status").isin(*OPEN_STATUSES)
+    updated = F.col("upd").isNotNull() & (F.col("status") == "CREATED") & (~cancelled | (F.col("upd") <= F.col("can")))
+    return j.select("order_id", updated.alias("updated"), cancelled.alias("cancelled"))
+
+
+def stock_restored(orders: DataFrame, actions: DataFrame, items: DataFrame, new_items: DataFrame, products: DataFrame) -> DataFrame:
+    """Stock given back per product: an update gives back all the lines
+    the order had, a cancel those it has by then (``new_items`` after an
+    update).  Lines of unknown products give nothing back."""
+    d = order_decisions(orders, actions)
+    old = items.join(d.where("updated OR cancelled").select("order_id"), "order_id", "left_semi")
+    new = new_items.join(d.where("updated AND cancelled").select("order_id"), "order_id", "left_semi")
+    back = old.select("product_id", "quantity").unionByName(new.select("product_id", "quantity"))
+    return (back.join(products.select("product_id"), "product_id", "left_semi")
             .groupBy("product_id").agg(F.sum("quantity").cast("long").alias("restored")))
 
 
@@ -335,18 +355,18 @@ def stock_ledger(items: DataFrame, orders: DataFrame, products: DataFrame) -> Da
             .withColumn("below_zero", F.col("balance") < 0))
 
 
-def promo_uses(orders: DataFrame, promos: DataFrame) -> DataFrame:
-    """Signed use counts per code from an application log: +1 when an
-    order applies an existing code, -1 when that order is later completed
-    and released."""
-    known = promos.select(F.col("code").alias("promo_code"))
-    log = orders.join(known, "promo_code").select(
-        "promo_code", F.lit(1).alias("applied"),
-        F.when(F.col("status") == "COMPLETED", F.lit(1)).otherwise(F.lit(0)).alias("released"))
-    return (log.groupBy("promo_code")
-            .agg(F.sum("applied").cast("long").alias("applications"),
-                 F.sum("released").cast("long").alias("releases"))
-            .withColumn("net_uses", F.col("applications") - F.col("releases")))
+def promo_uses(priced: DataFrame, repriced: DataFrame, orders: DataFrame, actions: DataFrame) -> DataFrame:
+    """Signed use counts per code: +1 when an order first takes a code
+    (``priced``, H3), -1 when its update loses it (``repriced``, H4), -1 when
+    an order that still holds one is cancelled."""
+    taken = priced.where("applied_promo IS NOT NULL").select("order_id", F.col("applied_promo").alias("promo_code"))
+    lost = repriced.where("uses_delta = -1").select("order_id", F.lit(True).alias("drops"))
+    j = (taken.join(order_decisions(orders, actions), "order_id", "left").join(lost, "order_id", "left")
+         .withColumn("lost", F.coalesce(F.col("updated") & F.col("drops"), F.lit(False)))
+         .withColumn("released", F.coalesce(F.col("cancelled"), F.lit(False)) & ~F.col("lost")))
+    return (j.groupBy("promo_code")
+            .agg(F.count(F.lit(1)).alias("applications"), F.count_if("lost").alias("losses"), F.count_if("released").alias("releases"))
+            .withColumn("net_uses", F.col("applications") - F.col("losses") - F.col("releases")))
 
 
 def rate_limit(ops: DataFrame, window_minutes: int = 1) -> DataFrame:

@@ -102,6 +102,7 @@ def product_rules() -> list[tuple[str, Column]]:
     """V3: catalogue constraints."""
     return [
         ("name_length", F.length("name").between(1, 255)),
+        ("description_length", F.col("description").isNull() | (F.length("description") <= 4000)),
         ("price_min", F.col("price") >= F.lit(0.01).cast("decimal(12,2)")),
         ("stock_nonnegative", F.col("stock") >= 0),
         ("category_length", F.length("category").between(1, 100)),
@@ -126,14 +127,22 @@ def seat_rules() -> list[tuple[str, Column]]:
     ]
 
 
-def order_request_rules(items_col: str = "items", promo_col: str = "promo_code") -> list[tuple[str, Column]]:
-    """V4: 1..50 items, quantities 1..999, promo code pattern."""
-    items = F.col(items_col)
-    return [
-        ("items_count", F.size(items).between(1, 50)),
-        ("quantity_range", ~F.exists(items, lambda x: (x["quantity"] < 1) | (x["quantity"] > 999))),
-        ("promo_pattern", F.col(promo_col).isNull() | F.col(promo_col).rlike(PROMO_PATTERN)),
-    ]
+def reservation_rules() -> list[tuple[str, Column]]:
+    """V9: a reservation holds at least one seat and names its booking."""
+    return [("seats_held_positive", F.col("seats_held") > 0), ("has_booking_ref", _nonempty("booking_ref"))]
+
+
+def order_request_rules(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """V4: 1..50 items, quantities 1..999, promo code pattern: order_id,
+    promo_code, n_items and the rules broken.  The items are counted and
+    bounded by partial aggregates; their list is never put together."""
+    q = F.col("quantity")
+    per = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"), F.bool_or(q.isNull() | ~q.between(1, 999)).alias("odd"))
+    j = (orders.select("order_id", "promo_code").join(per, "order_id", "left")
+         .withColumn("n_items", F.coalesce("n_items", F.lit(0).cast("long"))))
+    rules = [("items_count", F.col("n_items").between(1, 50)), ("quantity_range", ~F.coalesce("odd", F.lit(False))),
+             ("promo_pattern", F.col("promo_code").isNull() | F.col("promo_code").rlike(PROMO_PATTERN))]
+    return apply_rules(j, rules).select("order_id", "promo_code", "n_items", "reasons")
 
 
 def promo_window_ok(df: DataFrame) -> DataFrame:

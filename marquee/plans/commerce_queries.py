@@ -30,21 +30,70 @@ f AS (SELECT * FROM products WHERE status = 'ACTIVE' AND category = 'STANDARD')
 SELECT p.*, t.total FROM (SELECT * FROM f ORDER BY product_id LIMIT 20 OFFSET 40) p,
      (SELECT COUNT(*) AS total FROM f) t""")
 def q_product_page(spark, sf):
-    return C.product_page(_v(spark, sf, "products"), page=2, size=20, status="ACTIVE", category="STANDARD")
-
-
-@register("product_rules", with_views("products") + """
-SELECT rule, failed, rows FROM (
-  SELECT COUNT(*) AS rows,
-    COUNT(CASE WHEN NOT COALESCE(length(name) BETWEEN 1 AND 255, FALSE) THEN 1 END) AS name_length,
-    COUNT(CASE WHEN NOT COALESCE(price >= 0.01, FALSE) THEN 1 END) AS price_min,
-    COUNT(CASE WHEN NOT COALESCE(stock >= 0, FALSE) THEN 1 END) AS stock_nonnegative,
-    COUNT(CASE WHEN NOT COALESCE(length(category) BETWEEN 1 AND 100, FALSE) THEN 1 END) AS category_length,
-    COUNT(CASE WHEN NOT COALESCE(status IN ('ACTIVE','INACTIVE','ARCHIVED'), FALSE) THEN 1 END) AS status_domain
-  FROM products)
-UNPIVOT (failed FOR rule IN (name_length, price_min, stock_nonnegative, category_length, status_domain))""")
+    return C.product_page(_v(spark, sf, "products"), number=2, size=20, status="ACTIVE", category="STANDARD")
+
+
+def _rules_sql(rules: dict[str, str], source: str) -> str:
+    counts = ",\n    ".join(f"COUNT(CASE WHEN NOT COALESCE({rule}, FALSE) THEN 1 END) AS {name}" for name, rule in rules.items())
+    return f"""
+SELECT rule, failed, rows FROM (SELECT COUNT(*) AS rows,
+    {counts}
+  FROM {source}) UNPIVOT (failed FOR rule IN ({", ".join(rules)}))"""
+
+
+@register("product_page_deep", with_views("products") + """
+SELECT p.*, t.total FROM (SELECT * FROM products ORDER BY product_id LIMIT 7 OFFSET 700) p, (SELECT COUNT(*) AS total FROM products) t""")
+def q_product_page_deep(spark, sf):
+    """O3 on page 100 of the whole catalogue."""
+    return C.product_page(_v(spark, sf, "products"), number=100, size=7)
+
+
+@register("product_rules", with_views("catalogue_drafts") + _rules_sql({
+    "name_length": "length(name) BETWEEN 1 AND 255", "description_length": "description IS NULL OR length(description) <= 4000",
+    "price_min": "price >= 0.01", "stock_nonnegative": "stock >= 0", "category_length": "length(category) BETWEEN 1 AND 100",
+    "status_domain": "status IN ('ACTIVE','INACTIVE','ARCHIVED')"}, "catalogue_drafts"))
 def q_product_rules(spark, sf):
-    return Q.rule_counts(_v(spark, sf, "products"), Q.product_rules())
+    return Q.rule_counts(_v(spark, sf, "catalogue_drafts"), Q.product_rules())
+
+
+@register("promo_windows", with_views("promo_drafts") + """
+SELECT code, valid_from, valid_until, valid_until > valid_from AS window_ok FROM promo_drafts""")
+def q_promo_windows(spark, sf):
+    """V5."""
+    return Q.promo_window_ok(_v(spark, sf, "promo_drafts"))
+
+
+@register("booking_id_form", with_views("booking_ids") + """
+SELECT order_id, booking_id, regexp_full_match(booking_id, '[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}') AS booking_id_is_uuid FROM booking_ids""")
+def q_booking_id_form(spark, sf):
+    """V10."""
+    return Q.uuid_check(_v(spark, sf, "booking_ids"), "booking_id")
+
+
+@register("soft_delete", with_views("dated_products", "delete_requests") + """
+SELECT product_id, CASE WHEN hit THEN 'ARCHIVED' ELSE status END AS status, price,
+       CASE WHEN hit AND status <> 'ARCHIVED' THEN TIMESTAMP '1999-01-01' ELSE updated_at END AS updated_at
+FROM (SELECT p.*, p.product_id IN (SELECT product_id FROM delete_requests) AS hit FROM dated_products p)""")
+def q_soft_delete(spark, sf):
+    """Archived products stay; only changed rows get a new time."""
+    return C.soft_delete(_v(spark, sf, "dated_products"), _v(spark, sf, "delete_requests"), F.lit("1999-01-01").cast("timestamp_ntz"))
+
+
+@register("catalogue_changes", with_views("dated_products", "catalogue_changes") + """
+SELECT product_id, status, price, updated_at FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY updated_at DESC, src DESC, status DESC, price DESC) AS rn
+  FROM (SELECT *, 0 AS src FROM dated_products UNION ALL SELECT *, 1 FROM catalogue_changes)) WHERE rn = 1""")
+def q_catalogue_changes(spark, sf):
+    """Inserts and updates; the newest row of a product wins."""
+    return C.apply_changes(_v(spark, sf, "dated_products"), _v(spark, sf, "catalogue_changes"))
+
+
+@register("ownership_audit", with_views("order_actions", "order_owners") + """
+SELECT a.object_id, a.actor_id, a.role, o.owner_id FROM order_actions a LEFT JOIN order_owners o USING (object_id)
+WHERE a.actor_id IS DISTINCT FROM o.owner_id AND a.role <> 'ADMIN'""")
+def q_ownership_audit(spark, sf):
+    """J9."""
+    return C.ownership_violations(_v(spark, sf, "order_actions"), _v(spark, sf, "order_owners"))
 
 
 @register("order_nested", with_views("shop_orders", "order_items") + """
@@ -117,7 +166,7 @@ def q_order_pricing(spark, sf):
                            _v(spark, sf, "products"), C.promo_table(spark))
 
 
-@register("order_repricing", _PRICED + f""",
+_REPRICED = _PRICED + f""",
 cur AS (SELECT o.order_id, o.status, o.created_at, p.applied_promo
         FROM shop_orders o JOIN priced p USING (order_id) WHERE p.code = 'OK'),
 old_qty AS (SELECT order_id, product_id, SUM(quantity) AS old_qty FROM order_items GROUP BY order_id, product_id),
@@ -138,15 +187,18 @@ r AS (
     CASE WHEN c.status <> 'CREATED' THEN 'INVALID_STATE_TRANSITION'
          WHEN s.subtotal IS NULL THEN 'VALIDATION_ERROR'
          WHEN s.stock_code IS NOT NULL THEN s.stock_code ELSE 'OK' END AS verdict
-  FROM cur c LEFT JOIN nsub s USING (order_id) LEFT JOIN promos pr ON c.applied_promo = pr.code)
-SELECT order_id, verdict AS code,
+  FROM cur c LEFT JOIN nsub s USING (order_id) LEFT JOIN promos pr ON c.applied_promo = pr.code),
+repriced AS (SELECT order_id, verdict AS code,
   CASE WHEN verdict = 'OK' THEN subtotal END AS new_subtotal,
   CAST(CASE WHEN verdict = 'OK' THEN CASE WHEN kept THEN pdisc ELSE 0.00 END END AS DECIMAL(18,2)) AS new_discount,
   CAST(CASE WHEN verdict = 'OK' THEN subtotal - CASE WHEN kept THEN pdisc ELSE 0.00 END END AS DECIMAL(18,2)) AS new_total,
   CASE WHEN verdict = 'OK' THEN kept END AS promo_kept,
   CASE WHEN verdict = 'OK' AND applied_promo IS NOT NULL AND NOT kept THEN -1
        WHEN verdict = 'OK' THEN 0 END AS uses_delta
-FROM r""")
+FROM r)"""
+
+
+@register("order_repricing", _REPRICED + "\nSELECT * FROM repriced")
 def q_order_repricing(spark, sf):
     items = _v(spark, sf, "order_items")
     return C.order_repricing(_v(spark, sf, "shop_orders"), items, items.where("returnflag <> 'R'"),
@@ -163,13 +215,26 @@ def q_open_orders_semi(spark, sf):
     return C.users_with_open_order(users, _v(spark, sf, "shop_orders"))
 
 
-@register("stock_restored", with_views("shop_orders", "order_items") + """
-SELECT product_id, CAST(SUM(quantity) AS BIGINT) AS restored FROM order_items i
-WHERE returnflag = 'R' AND order_id IN (SELECT order_id FROM shop_orders
-                                        WHERE status IN ('CREATED', 'PAYMENT_PENDING'))
-GROUP BY product_id""")
+_DECIDED = """,
+asked AS (SELECT order_id, MIN(CASE WHEN action = 'UPDATE' THEN ts END) AS upd, MIN(CASE WHEN action = 'CANCEL' THEN ts END) AS can
+          FROM (SELECT * FROM update_requests UNION ALL SELECT * FROM cancel_requests) GROUP BY order_id),
+decided AS (SELECT order_id, cancelled, upd IS NOT NULL AND status = 'CREATED' AND (NOT cancelled OR upd <= can) AS updated
+  FROM (SELECT o.order_id, o.status, upd, can, can IS NOT NULL AND o.status IN ('CREATED', 'PAYMENT_PENDING') AS cancelled
+        FROM shop_orders o JOIN asked USING (order_id)))"""
+
+
+def _actions(spark, sf):
+    return _v(spark, sf, "update_requests").unionByName(_v(spark, sf, "cancel_requests"))
+
+
+@register("stock_restored", with_views("shop_orders", "order_items", "products", "update_requests", "cancel_requests") + _DECIDED + """,
+back AS (SELECT product_id, quantity FROM order_items JOIN decided USING (order_id) WHERE updated OR cancelled
+         UNION ALL SELECT product_id, quantity FROM order_items JOIN decided USING (order_id) WHERE updated AND cancelled AND returnflag <> 'R')
+SELECT product_id, CAST(SUM(quantity) AS BIGINT) AS restored FROM back WHERE product_id IN (SELECT product_id FROM products) GROUP BY product_id""")
 def q_stock_restored(spark, sf):
-    return C.stock_restored(_v(spark, sf, "order_items"), _v(spark, sf, "shop_orders"))
+    """A18 from a log of update and cancel requests; an update leaves out the lines flagged R."""
+    items = _v(spark, sf, "order_items")
+    return C.stock_restored(_v(spark, sf, "shop_orders"), _actions(spark, sf), items, items.where("returnflag <> 'R'"), _v(spark, sf, "products"))
 
 
 @register("stock_ledger", with_views("shop_orders", "order_items", "products") + """,
@@ -192,13 +257,21 @@ def q_stock_ledger(spark, sf):
     return C.stock_ledger(_v(spark, sf, "order_items"), _v(spark, sf, "shop_orders"), _v(spark, sf, "products"))
 
 
-@register("promo_uses", with_views("shop_orders") + ", " + C.promo_values_sql() + """
-SELECT o.promo_code, CAST(COUNT(*) AS BIGINT) AS applications,
-       CAST(COUNT(CASE WHEN o.status = 'COMPLETED' THEN 1 END) AS BIGINT) AS releases,
-       CAST(COUNT(*) - COUNT(CASE WHEN o.status = 'COMPLETED' THEN 1 END) AS BIGINT) AS net_uses
-FROM shop_orders o JOIN promos p ON o.promo_code = p.code GROUP BY o.promo_code""")
+_REQUESTS = ", " + with_views("update_requests", "cancel_requests")[len("WITH "):]
+
+
+@register("promo_uses", _REPRICED + _REQUESTS + _DECIDED + """,
+uses AS (SELECT p.applied_promo AS promo_code, COALESCE(d.updated AND r.uses_delta = -1, FALSE) AS lost, COALESCE(d.cancelled, FALSE) AS cancelled
+         FROM priced p LEFT JOIN decided d USING (order_id) LEFT JOIN repriced r USING (order_id) WHERE p.applied_promo IS NOT NULL)
+SELECT promo_code, COUNT(*) AS applications, COUNT(CASE WHEN lost THEN 1 END) AS losses, COUNT(CASE WHEN cancelled AND NOT lost THEN 1 END) AS releases,
+       COUNT(*) - COUNT(CASE WHEN lost THEN 1 END) - COUNT(CASE WHEN cancelled AND NOT lost THEN 1 END) AS net_uses
+FROM uses GROUP BY promo_code""")
 def q_promo_uses(spark, sf):
-    return C.promo_uses(_v(spark, sf, "shop_orders"), C.promo_table(spark))
+    """A19 from the pricing and repricing verdicts and a log of update and cancel requests."""
+    orders, items, products, promos = _v(spark, sf, "shop_orders"), _v(spark, sf, "order_items"), _v(spark, sf, "products"), C.promo_table(spark)
+    priced = C.order_pricing(orders, items, products, promos)
+    repriced = C.order_repricing(orders, items, items.where("returnflag <> 'R'"), products, promos)
+    return C.promo_uses(priced, repriced, orders, _actions(spark, sf))
 
 
 @register("rate_limit", with_views("operations") + """
@@ -244,21 +317,18 @@ def q_status_transitions(spark, sf):
     return C.status_history_check(_history_df(spark, sf), tr)
 
 
-@register("order_request_rules", with_views("shop_orders", "order_items") + """
-SELECT o.order_id, o.promo_code, COUNT(*) AS n_items,
+@register("order_request_rules", with_views("order_drafts", "item_drafts") + """
+SELECT o.order_id, o.promo_code, COUNT(i.order_id) AS n_items,
   concat_ws(',',
-    CASE WHEN NOT (COUNT(*) BETWEEN 1 AND 50) THEN 'items_count' END,
-    CASE WHEN bool_or(i.quantity < 1 OR i.quantity > 999) THEN 'quantity_range' END,
+    CASE WHEN NOT (COUNT(i.order_id) BETWEEN 1 AND 50) THEN 'items_count' END,
+    CASE WHEN bool_or(i.order_id IS NOT NULL AND (i.quantity IS NULL OR i.quantity < 1 OR i.quantity > 999)) THEN 'quantity_range' END,
     CASE WHEN NOT (o.promo_code IS NULL OR regexp_matches(o.promo_code, '^[A-Z0-9_]{4,20}$'))
          THEN 'promo_pattern' END) AS reasons
-FROM shop_orders o JOIN order_items i USING (order_id)
+FROM order_drafts o LEFT JOIN item_drafts i USING (order_id)
 GROUP BY o.order_id, o.promo_code""")
 def q_order_request_rules(spark, sf):
-    n = C.orders_nested(_v(spark, sf, "shop_orders"), _v(spark, sf, "order_items"))
-    n = n.join(_v(spark, sf, "shop_orders").select("order_id", "promo_code"), "order_id")
-    v = Q.apply_rules(n, Q.order_request_rules())
-    return v.select("order_id", "promo_code", F.size("items").cast("long").alias("n_items"),
-                    F.array_join("reasons", ",").alias("reasons"))
+    v = Q.order_request_rules(_v(spark, sf, "order_drafts"), _v(spark, sf, "item_drafts"))
+    return v.withColumn("reasons", F.array_join("reasons", ","))
 
 
 @register("line_totals", with_views("order_items", "products") + """

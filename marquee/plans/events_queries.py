@@ -106,6 +106,16 @@ def q_device_distribution(spark, sf):
     return M.device_distribution(_ev(spark, sf))
 
 
+@register("device_distribution_week", EV + """
+SELECT device_type, COUNT(*) AS cnt FROM movie_events
+WHERE event_time >= (SELECT MAX(event_time) FROM movie_events) - INTERVAL 7 DAY GROUP BY device_type""")
+def q_device_distribution_week(spark, sf):
+    """P9 with the dashboard's default range, the last 7 days up to the newest event."""
+    ev = _ev(spark, sf)
+    hi = ev.agg(F.max("event_time")).first()[0]
+    return M.device_distribution(ev, lo=hi - dt.timedelta(days=7), hi=hi)
+
+
 @register("events_by_day_type", EV + """
 SELECT event_date, event_type, COUNT(*) AS cnt FROM movie_events
 GROUP BY event_date, event_type ORDER BY event_date DESC, event_type LIMIT 20""")

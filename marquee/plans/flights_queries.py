@@ -164,15 +164,26 @@ UNION ALL
 SELECT 'flights.flight_number_day', flight_number || '@' || CAST(CAST(departs_at AS DATE) AS VARCHAR), COUNT(*)
 FROM flights GROUP BY flight_number, CAST(departs_at AS DATE) HAVING COUNT(*) > 1
 UNION ALL
-SELECT 'promo_codes.code', code, COUNT(*) FROM promos GROUP BY code HAVING COUNT(*) > 1""")
+SELECT 'promo_codes.code', code, COUNT(*) FROM promos GROUP BY code HAVING COUNT(*) > 1
+UNION ALL
+SELECT 'users.username', 'nation' || CAST(c_nationkey AS VARCHAR) || '_' || lower(c_mktsegment), COUNT(*) FROM customer
+GROUP BY c_nationkey, lower(c_mktsegment) HAVING COUNT(*) > 1
+UNION ALL
+SELECT 'metrics.key', CAST(day AS VARCHAR) || '@' || name || '@{}', COUNT(*) FROM (
+  SELECT CAST(ts AS DATE) AS day, 'events_' || event_type AS name, EXTRACT(HOUR FROM ts) AS run FROM events GROUP BY ALL)
+GROUP BY day, name HAVING COUNT(*) > 1""")
 def q_duplicate_keys(spark, sf):
     """V7 over the unique keys of the mapped tables: booking reference,
-    (flight number, UTC day), promo code."""
+    (flight number, UTC day), promo code, username, metric key."""
     checks = [
         ("seat_requests.booking_ref", view(spark, sf, "seat_requests"), [F.col("booking_ref")]),
         ("flights.flight_number_day", view(spark, sf, "flights"),
          [F.col("flight_number"), F.to_date("departs_at").cast("string")]),
         ("promo_codes.code", C.promo_table(spark), [F.col("code")]),
+        ("users.username", table(spark, sf, "customer").selectExpr("concat('nation', c_nationkey, '_', lower(c_mktsegment)) AS username"), [F.col("username")]),
+        # hourly runs that each wrote a day's count again
+        ("metrics.key", table(spark, sf, "events").selectExpr("to_date(ts) AS day", "concat('events_', event_type) AS name", "hour(ts) AS run").distinct(),
+         [F.col("day").cast("string"), F.col("name"), F.lit("{}")]),
     ]
     out = None
     for name, df, key in checks:
@@ -218,14 +229,20 @@ def q_fk_orphans(spark, sf):
     return out
 
 
-@register("flight_rules", with_views("flights") + """
+@register("flight_rules", with_views("flight_drafts", "reservation_drafts") + """
 SELECT rule, failed, rows FROM (
   SELECT COUNT(*) AS rows,
     COUNT(CASE WHEN NOT COALESCE(total_seats > 0, FALSE) THEN 1 END) AS total_positive,
-    COUNT(CASE WHEN NOT COALESCE(total_seats BETWEEN 0 AND total_seats, FALSE) THEN 1 END) AS available_in_range,
+    COUNT(CASE WHEN NOT COALESCE(available_seats BETWEEN 0 AND total_seats, FALSE) THEN 1 END) AS available_in_range,
     COUNT(CASE WHEN NOT COALESCE(ticket_price > 0, FALSE) THEN 1 END) AS price_positive
-  FROM flights)
-UNPIVOT (failed FOR rule IN (total_positive, available_in_range, price_positive))""")
+  FROM flight_drafts)
+UNPIVOT (failed FOR rule IN (total_positive, available_in_range, price_positive))
+UNION ALL
+SELECT rule, failed, rows FROM (
+  SELECT COUNT(*) AS rows, COUNT(CASE WHEN NOT COALESCE(seats_held > 0, FALSE) THEN 1 END) AS seats_held_positive,
+    COUNT(CASE WHEN NOT COALESCE(length(booking_ref) >= 1, FALSE) THEN 1 END) AS has_booking_ref FROM reservation_drafts)
+UNPIVOT (failed FOR rule IN (seats_held_positive, has_booking_ref))""")
 def q_flight_rules(spark, sf):
-    f = view(spark, sf, "flights").withColumn("available_seats", F.col("total_seats"))
-    return Q.rule_counts(f, Q.seat_rules())
+    """V9 over flights and reservations."""
+    return (Q.rule_counts(view(spark, sf, "flight_drafts"), Q.seat_rules())
+            .unionByName(Q.rule_counts(view(spark, sf, "reservation_drafts"), Q.reservation_rules())))

@@ -41,6 +41,7 @@ DIALECT = {
         "json_k": "get_json_object(props, '$.k')",
         "millis": "unix_millis(CAST(ts AS TIMESTAMP))",
         "body": _BODY,
+        "uuid": _UUID.replace("event_id", "o_orderkey"),
         "departs": "CAST(date_add(DATE '2026-04-01', CAST(p_partkey % 30 AS INT)) AS TIMESTAMP_NTZ)"
                    " + make_dt_interval(0, CAST(p_partkey % 24 AS INT), 0, 0)",
     },
@@ -48,6 +49,7 @@ DIALECT = {
         "json_k": "json_extract_string(props, '$.k')",
         "millis": "(epoch_us(ts) // 1000)",
         "body": _BODY,
+        "uuid": _UUID.replace("event_id", "o_orderkey"),
         "departs": "CAST(DATE '2026-04-01' + CAST(p_partkey % 30 AS INT) AS TIMESTAMP)"
                    " + to_hours(CAST(p_partkey % 24 AS INT))",
     },
@@ -111,6 +113,81 @@ VIEWS: dict[str, dict] = {
                        "WHEN 1 THEN 'INACTIVE' ELSE 'ACTIVE' END"),
         ],
     },
+    # submissions to the catalogue, promo codes, orders and flights before
+    # their rules are checked: each breaks some rule by a property of its row
+    "catalogue_drafts": {
+        "base": "part",
+        "cols": [
+            ("product_id", "p_partkey"),
+            ("name", "CASE WHEN p_size = 1 THEN '' ELSE p_name END"),
+            ("description", "CASE WHEN p_size < 10 THEN NULL ELSE repeat(p_name, p_size * 12) END"),
+            ("price", "CAST(p_retailprice - 905 AS DECIMAL(12,2))"),
+            ("stock", "p_size * 10 - 25"),
+            ("category", "repeat(p_type, 1 + p_size % 15)"),
+            ("status", "CASE p_size WHEN 7 THEN 'DRAFT' WHEN 8 THEN NULL ELSE 'ACTIVE' END"),
+        ],
+    },
+    "promo_drafts": {
+        "base": "lineitem",
+        "cols": [
+            ("code", "l_returnflag || '_' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING) || '_' || CAST(l_partkey AS STRING)"),
+            ("valid_from", "l_shipdate"),
+            ("valid_until", "CASE WHEN l_quantity = 25 THEN NULL WHEN l_quantity < 20 THEN l_shipdate - INTERVAL 1 DAY "
+                            "WHEN l_quantity < 25 THEN l_shipdate ELSE l_shipdate + INTERVAL 30 DAY END"),
+        ],
+    },
+    "order_drafts": {
+        "base": "orders",
+        "cols": [("order_id", "o_orderkey"), ("promo_code", "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE replace(o_orderpriority, '-', '_') END")],
+    },
+    "item_drafts": {"base": "lineitem", "cols": [("order_id", "l_orderkey"), ("quantity", "CAST(l_quantity * 21 - 40 AS INT)")]},
+    "flight_drafts": {
+        "base": "part",
+        "cols": [
+            ("flight_id", "p_partkey"),
+            ("total_seats", "p_size * 5 - 10"),
+            ("available_seats", "CAST(floor(p_retailprice - 905) AS INT)"),
+            ("ticket_price", "CAST(p_retailprice - 902 AS DECIMAL(10,2))"),
+        ],
+    },
+    "reservation_drafts": {
+        "base": "lineitem",
+        "cols": [("booking_ref", "CASE WHEN l_linenumber = 7 THEN '' ELSE CAST(l_orderkey AS STRING) END"), ("seats_held", "CAST(l_quantity - 3 AS INT)")],
+    },
+    "booking_ids": {
+        "base": "orders",
+        "cols": [("order_id", "o_orderkey"),
+                 ("booking_id", "CASE o_orderpriority WHEN '5-LOW' THEN md5(CAST(o_orderkey AS STRING)) WHEN '1-URGENT' THEN upper({uuid}) ELSE {uuid} END")],
+    },
+    # requests to change orders: updates by urgency, cancels by price
+    "update_requests": {
+        "base": "orders", "where": "o_orderpriority IN ('1-URGENT', '2-HIGH')",
+        "cols": [("order_id", "o_orderkey"), ("action", "'UPDATE'"), ("ts", "o_orderdate + INTERVAL 4 DAY")],
+    },
+    "cancel_requests": {
+        "base": "orders", "where": "o_totalprice > 150000",
+        "cols": [("order_id", "o_orderkey"), ("action", "'CANCEL'"),
+                 ("ts", "CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderdate + INTERVAL 2 DAY ELSE o_orderdate + INTERVAL 9 DAY END")],
+    },
+    # the catalogue with its times, deletion requests and changes to it
+    "dated_products": {
+        "base": "part",
+        "cols": [("product_id", "p_partkey"), ("status", "CASE WHEN p_partkey % 10 = 0 THEN 'ARCHIVED' ELSE 'ACTIVE' END"),
+                 ("price", "CAST(p_retailprice AS DECIMAL(12,2))"), ("updated_at", "TIMESTAMP '1997-01-01 00:00:00'")],
+    },
+    "delete_requests": {"base": "lineitem", "where": "l_returnflag = 'R' AND l_quantity > 45", "cols": [("product_id", "l_partkey")]},
+    "catalogue_changes": {
+        "base": "lineitem",
+        "cols": [("product_id", "l_partkey + 100"), ("status", "CASE WHEN l_linestatus = 'F' THEN 'INACTIVE' ELSE 'ACTIVE' END"),
+                 ("price", "CAST(l_quantity * 3 AS DECIMAL(12,2))"), ("updated_at", "l_shipdate")],
+    },
+    # who acted on which order
+    "order_actions": {
+        "base": "lineitem",
+        "cols": [("object_id", "l_orderkey"), ("actor_id", "CASE WHEN l_returnflag = 'N' THEN l_orderkey % 100 ELSE l_suppkey END"),
+                 ("role", "CASE WHEN l_linenumber = 1 THEN 'ADMIN' ELSE 'USER' END")],
+    },
+    "order_owners": {"base": "orders", "cols": [("object_id", "o_orderkey"), ("owner_id", "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey % 100 END")]},
     # marketplace orders; promo code picked by o_orderkey % 12 (10 codes,
     # then none, then an unknown code)
     "shop_orders": {

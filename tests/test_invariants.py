@@ -61,12 +61,40 @@ def test_lookup_point_and_batch(spark):
 
 
 def test_order_request_rules(spark):
-    df = spark.createDataFrame(
-        [(1, [{"quantity": 1}], "SAVE10"), (2, [], None), (3, [{"quantity": 1000}], "bad code"),
-         (4, [{"quantity": 5}] * 51, "OK_CODE")],
-        "order_id long, items array<struct<quantity:int>>, promo_code string")
-    got = {r["order_id"]: r["reasons"] for r in Q.apply_rules(df, Q.order_request_rules()).collect()}
-    assert got == {1: [], 2: ["items_count"], 3: ["quantity_range", "promo_pattern"], 4: ["items_count"]}
+    orders = spark.createDataFrame([(1, "SAVE10"), (2, None), (3, "bad code"), (4, "OK_CODE"), (5, None)], "order_id long, promo_code string")
+    items = spark.createDataFrame([(1, 1), (3, 1000), (5, None), (5, 2), *[(4, 5)] * 51], "order_id long, quantity int")
+    got = {r["order_id"]: (r["n_items"], r["reasons"]) for r in Q.order_request_rules(orders, items).collect()}
+    assert got == {1: (1, []), 2: (0, ["items_count"]), 3: (1, ["quantity_range", "promo_pattern"]), 4: (51, ["items_count"]), 5: (2, ["quantity_range"])}
+
+
+def test_restored_stock_and_uses_follow_the_requests(spark):
+    import datetime as dt
+    day = lambda n: dt.datetime(2024, 1, n)
+    orders = spark.createDataFrame([(i, s) for i, s in enumerate(["CREATED"] * 5 + ["PAYMENT_PENDING"] * 2 + ["COMPLETED"] * 2)], "order_id long, status string")
+    actions = spark.createDataFrame([(0, "CANCEL", day(2)), (0, "CANCEL", day(3)), (1, "UPDATE", day(2)), (2, "UPDATE", day(2)), (2, "CANCEL", day(3)),
+                                     (3, "CANCEL", day(2)), (3, "UPDATE", day(3)), (5, "UPDATE", day(1)), (6, "CANCEL", day(1)), (7, "CANCEL", day(1)), (99, "CANCEL", day(1))],
+                                    "order_id long, action string, ts timestamp_ntz")
+    d = {r.order_id: (r.updated, r.cancelled) for r in C.order_decisions(orders, actions).collect()}
+    assert d == {0: (False, True), 1: (True, False), 2: (True, True), 3: (False, True), 5: (False, False), 6: (False, True), 7: (False, False)}
+    items = spark.createDataFrame([(o, p, 10 ** o) for o in range(8) for p in (1, 77)], "order_id long, product_id long, quantity long")
+    new = spark.createDataFrame([(2, 1, 3), (1, 1, 5)], "order_id long, product_id long, quantity long")
+    back = C.stock_restored(orders, actions, items, new, spark.createDataFrame([(1,), (2,)], "product_id long")).collect()
+    assert [tuple(r) for r in back] == [(1, 1 + 10 + 100 + 1000 + 10 ** 6 + 3)]
+    priced = spark.createDataFrame([(o, "SAVE10") for o in range(8)] + [(8, None)], "order_id long, applied_promo string")
+    repriced = spark.createDataFrame([(1, -1), (2, -1), (3, -1), (0, 0)], "order_id long, uses_delta int")
+    assert [tuple(r) for r in C.promo_uses(priced, repriced, orders, actions).collect()] == [("SAVE10", 8, 2, 3, 3)]
+
+
+def test_a_deep_page_reads_one_range(spark):
+    from marquee.functions.ranking import page, page_index
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("product_id"), F.lit("x").alias("name"))
+    index = page_index(df, [F.col("product_id")], ranges=50)
+    for offset, size in ((0, 20), (4321, 20), (4990, 20), (5000, 20), (95, 230)):
+        got = page(index, offset, size)
+        assert [r.product_id for r in got.orderBy("position").collect()] == list(range(offset, min(offset + size, 5000)))
+        assert got.columns == ["product_id", "name", "position"] and index.total == 5000
+    touched = page(index, 4321, 20)
+    assert touched.select("position").count() == 20 and index.ranges_of(4321, 20).count() <= 2
 
 
 def test_promo_window_and_line_total(spark):
