@@ -84,6 +84,25 @@ def test_near_duplicates_equal_all_pairs(docs, rows, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_a_repeated_id_with_another_text_is_a_document_of_its_own(spark):
+    rnd = random.Random(1)
+    text = lambda: [f"w{rnd.randrange(10**6)}" for _ in range(80)]
+    a, b, z = text(), text(), text()
+    change = lambda t: " ".join([*t[:40], "other", *t[41:]])
+    rows = [(5, " ".join(a), "x", 1), (5, " ".join(b), "y", 2), (6, change(a), "x", 3), (7, change(b), "y", 4), (5, " ".join(b), "y", 2), (8, " ".join(z), "x", 5), (5, "", "x", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string, nth int").withColumn("component", F.lit(1)).withColumn("text_hash", F.lit(2))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect())
+    assert got == [(5, 0, 5, True), (5, 76, 5, True), (5, 76, 5, True), (5, 76, 5, True), (6, 76, 5, False), (7, 76, 5, False), (8, 76, 8, True)]
+    kept = minhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id, r["nth"]) for r in kept.collect()) == [(5, 1), (5, 2), (5, 6), (8, 5)]
+
+
+def test_distances_follow_from_the_similarity():
+    assert minhash.near_distance(75) == 42 and minhash.near_distance(90) < 42 and minhash.near_distance(100) == 0
+    with pytest.raises(ValueError):
+        minhash.drop_near_duplicates(None, percent=70)
+
+
 def test_hot_key_is_compared_in_blocks(docs, rows, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK_ROWS", 2)
     want = brute_components(rows)
