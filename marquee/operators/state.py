@@ -81,3 +81,18 @@ def dau_exact_from_state(state: DataFrame) -> DataFrame:
     made distinct per day, so the count is a plain count."""
     return (state.select("event_date", "user_id").distinct()
             .groupBy("event_date").agg(F.count(F.lit(1)).alias("dau")))
+
+
+def merged_dau_state(state: DataFrame) -> DataFrame:
+    """A2 partials of many batches as one sketch per day."""
+    return state.groupBy("event_date").agg(F.hll_union_agg("uniq_users").alias("uniq_users"))
+
+
+def merged_views_state(state: DataFrame) -> DataFrame:
+    """A4 partials of many batches as one count per (day, movie)."""
+    return state.groupBy("event_date", "movie_id").agg(F.sum("view_cnt").alias("view_cnt"))
+
+
+def merged_avg_state(state: DataFrame) -> DataFrame:
+    """A6 partials of many batches as one (sum, count) per day."""
+    return state.groupBy("event_date").agg(F.sum("sum_sec").alias("sum_sec"), F.sum("cnt").alias("cnt"))

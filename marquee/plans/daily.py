@@ -19,6 +19,7 @@ from marquee.operators import export as X
 from marquee.operators import metrics as M
 from marquee.operators import retention as R
 from marquee.operators import stores as ST
+from marquee.streaming.upkeep import read_raw
 
 
 def default_day(today: dt.date | None = None) -> dt.date:
@@ -101,7 +102,7 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = build_session()
     day = dt.date.fromisoformat(a.date) if a.date else default_day()
-    run_day(spark, spark.read.parquet(a.raw), a.store, day)
+    run_day(spark, read_raw(spark, a.raw), a.store, day)
     if a.export:
         export_day(spark, a.store, a.export, day, a.format)
 

@@ -15,6 +15,9 @@ backfill and purge work on the same folders.  Rejected rows go to a
 quarantine table with their reasons, one folder per batch.  The incremental
 views write one partial-state partition per micro-batch under
 ``batch_id=<id>`` in the same way; readers merge all batches.
+
+Upkeep of both is in ``streaming.upkeep``: batch folders become sorted day
+files, batch states become one merged state, while readers and the stream go on.
 """
 
 from __future__ import annotations
@@ -22,12 +25,14 @@ from __future__ import annotations
 import hashlib
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.operators import quality as Q
 from marquee.operators import state as S
+from marquee.streaming.upkeep import read_partials
 
 # Wire schema of one event (string ids, epoch-millis time, nullable progress).
 WIRE_SCHEMA = T.StructType([
@@ -139,10 +144,15 @@ def write_state_batch(batch: DataFrame, batch_id: int, state_root: str) -> None:
     """T2 body: the three partial states of one micro-batch, each written to
     ``batch_id=<id>`` with overwrite (replay-safe)."""
     b = batch.where("valid") if "valid" in batch.columns else batch
-    b = b.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    for name, frame in (("dau_state", S.dau_state(b)), ("movie_views_state", S.views_state(b)),
-                        ("avg_progress_state", S.avg_state(b))):
-        frame.drop("batch_id").write.mode("overwrite").parquet(f"{state_root}/{name}/batch_id={batch_id}")
+    # three states from one reading of the source: only the columns they use are kept
+    b = (b.select("event_date", "user_id", "movie_id", "event_type", "progress_seconds", F.lit(batch_id).cast("long").alias("batch_id"))
+         .persist(StorageLevel.DISK_ONLY))
+    try:
+        for name, frame in (("dau_state", S.dau_state(b)), ("movie_views_state", S.views_state(b)),
+                            ("avg_progress_state", S.avg_state(b))):
+            frame.drop("batch_id").write.mode("overwrite").parquet(f"{state_root}/{name}/batch_id={batch_id}")
+    finally:
+        b.unpersist()
 
 
 def start_state_views(stream: DataFrame, state_root: str, checkpoint: str, trigger: dict | None = None):
@@ -155,7 +165,7 @@ def start_state_views(stream: DataFrame, state_root: str, checkpoint: str, trigg
 def read_state(spark: SparkSession, state_root: str) -> dict[str, DataFrame]:
     """Merged readers over all batches."""
     return {
-        "dau": S.dau_from_state(spark.read.parquet(f"{state_root}/dau_state")),
-        "views": S.views_from_state(spark.read.parquet(f"{state_root}/movie_views_state")),
-        "avg_watch": S.avg_from_state(spark.read.parquet(f"{state_root}/avg_progress_state")),
+        "dau": S.dau_from_state(read_partials(spark, f"{state_root}/dau_state")),
+        "views": S.views_from_state(read_partials(spark, f"{state_root}/movie_views_state")),
+        "avg_watch": S.avg_from_state(read_partials(spark, f"{state_root}/avg_progress_state")),
     }
