@@ -101,38 +101,41 @@ def minimizer_contexts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).select(
-        F.coalesce("doc_id", F.xxhash64("text")).alias("doc"), "doc_id", "text")
+        F.coalesce("doc_id", F.xxhash64("text")).alias("doc"), F.hash("text").alias("version"), "doc_id", "text")
 
 
 def contexts_of(docs: DataFrame) -> DataFrame:
-    """anchor, context, rel, windows, doc, start of every minimizer context of ``docs`` (doc, text)."""
+    """anchor, context, rel, windows, doc, version, start of every minimizer context of ``docs`` (doc, version, text)."""
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for row, start, windows, rel, anchor, context in minimizer_contexts(*text_buffers(batch.column(1))):
+            ids, versions = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for row, start, windows, rel, anchor, context in minimizer_contexts(*text_buffers(batch.column(2))):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor), pa.array(context), pa.array(rel.astype(np.int16)), pa.array(windows.astype(np.int16)),
-                     pa.array(ids[row]), pa.array(start.astype(np.int32))], ["anchor", "context", "rel", "windows", "doc", "start"])
+                     pa.array(ids[row]), pa.array(versions[row]), pa.array(start.astype(np.int32))],
+                    ["anchor", "context", "rel", "windows", "doc", "version", "start"])
 
-    return docs.select("doc", "text").mapInArrow(run, "anchor long, context long, rel short, windows short, doc long, start int")
+    return docs.select("doc", "version", "text").mapInArrow(
+        run, "anchor long, context long, rel short, windows short, doc long, version int, start int")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """doc, doc_id and the text compressed, to be shuffled."""
+    """doc, version, doc_id and the text compressed, to be shuffled."""
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             for a in range(0, len(batch), 512):
                 some = batch.slice(a, 512)
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(
-                    [pack(t.as_buffer() if len(t.as_buffer()) else b"") for t in some.column(2).cast(pa.large_binary())], pa.binary())], ["doc", "doc_id", "packed"])
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), some.column(2), pa.array(
+                    [pack(t.as_buffer() if len(t.as_buffer()) else b"") for t in some.column(3).cast(pa.large_binary())], pa.binary())],
+                    ["doc", "version", "doc_id", "packed"])
 
-    return docs.select("doc", "doc_id", "text").mapInArrow(run, "doc long, doc_id long, packed binary")
+    return docs.select("doc", "version", "doc_id", "text").mapInArrow(run, "doc long, version int, doc_id long, packed binary")
 
 
 def _context_bytes(wanted: DataFrame, packed: DataFrame) -> DataFrame:
-    """Adds their bytes to the rows of ``wanted`` (anchor, context, rel, windows, copies, doc, start)."""
-    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "context", "rel", "windows", "copies", "start")).alias("want"))
+    """Adds their bytes to the rows of ``wanted`` (anchor, context, rel, windows, copies, doc, version, start)."""
+    lists = wanted.groupBy("doc", "version").agg(F.collect_list(F.struct("anchor", "context", "rel", "windows", "copies", "start")).alias("want"))
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
@@ -151,7 +154,7 @@ def _context_bytes(wanted: DataFrame, packed: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array(texts, pa.binary())],
                                                  ["anchor", "context", "rel", "windows", "copies", "bytes"])
 
-    return lists.join(packed, "doc").select("packed", "want").mapInArrow(
+    return lists.join(packed, ["doc", "version"]).select("packed", "want").mapInArrow(
         run, "anchor long, context long, rel short, windows short, copies long, bytes binary")
 
 
@@ -271,7 +274,7 @@ def _by_window(rows: DataFrame, most: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc and the byte ranges (start, stop) covered by repeated windows; ``docs``: doc, text.
+    """doc, version and the byte ranges (start, stop) covered by repeated windows; ``docs``: doc, version, doc_id, text.
 
     Minimizers of more than ``BATCH_ROWS`` different contexts are counted by windows, the others indexed."""
     most = BATCH_ROWS
@@ -279,12 +282,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     many = stored(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     shared = stored(found.join(many, "anchor"), "shared")
     name = ["anchor", "context", "rel", "windows"]
-    contexts = stored(shared.groupBy(*name).agg(F.count("*").alias("copies"), F.min(F.struct("doc", "start")).alias("at")), "contexts")
+    contexts = stored(shared.groupBy(*name).agg(F.count("*").alias("copies"), F.min(F.struct("doc", "version", "start")).alias("at")), "contexts")
     several = stored(contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "several")
     packed = _packed(docs)
 
     def bytes_of(anchors: DataFrame) -> DataFrame:
-        return _context_bytes(contexts.join(anchors, "anchor", "left_semi").select(*name, "copies", "at.doc", "at.start"), packed)
+        return _context_bytes(contexts.join(anchors, "anchor", "left_semi").select(*name, "copies", "at.doc", "at.version", "at.start"), packed)
 
     partly = stored(_index(bytes_of(several.where(F.col("n") <= most).select("anchor"))), "partly")
     large = several.where(F.col("n") > most).select("anchor")
@@ -293,9 +296,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         partly = partly.unionByName(stored(_by_window(bytes_of(F.broadcast(large)), most), "partly-by-window"))
     wholly = contexts.where("copies > 1").select(*name, F.array(F.struct(F.lit(0).alias("a"), F.col("windows").cast("int").alias("z"))).alias("ranges"))
     return (shared.join(wholly.unionByName(partly), name)
-            .select("doc", F.explode(F.transform("ranges", lambda r: F.struct(
+            .select("doc", "version", F.explode(F.transform("ranges", lambda r: F.struct(
                 (F.col("start") + r["a"]).alias("start"), (F.col("start") + r["z"] + (LENGTH - 1)).alias("stop")))).alias("s"))
-            .groupBy("doc").agg(F.collect_set("s").alias("spans")))
+            .groupBy("doc", "version").agg(F.collect_set("s").alias("spans")))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -303,8 +306,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removed byte ranges) and kept (the bytes that remain).
 
     Null and empty texts, and texts shorter than a window, lose nothing.  Rows
-    that repeat a text of at least a window lose all of it.  doc_id names a
-    row's text (rows may repeat it whole); a null doc_id is carried along.
+    that repeat a text of at least a window lose all of it.  Rows are told apart
+    by doc_id and a hash of the text, so a doc_id that repeats with another text
+    is a document of its own; a null doc_id is carried along.
     Extra columns are ignored; an empty table gives an empty result."""
     rows = _keyed(docs, id_col, text_col)
     spans = stored(repeated_spans(rows), "spans")
@@ -340,7 +344,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      pa.array(lists, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), pa.array(kept, pa.binary())],
                     ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
-    return _packed(rows).join(spans, "doc", "left").select("doc_id", "packed", "spans").mapInArrow(
+    return _packed(rows).join(spans, ["doc", "version"], "left").select("doc_id", "packed", "spans").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>, kept binary")
 
 
