@@ -8,7 +8,7 @@ with a binary payload in the format below.
 Re-Pair: frequent pairs of adjacent symbols are replaced by new symbols, in
 rounds; a round counts all pairs and replaces every pair that occurs at least
 ``LEAST_PAIRS`` times, leftmost first where occurrences overlap.  No pair spans
-two documents.  The payload holds the rules, the length of each rule's
+two documents.  Rounds go on until no pair is left that often.  The payload holds the rules, the length of each rule's
 expansion and, for each document, where its symbols begin, so a document (or a
 range of its ids) is decoded without the rest of the shard.
 
@@ -39,7 +39,6 @@ SHARD_TOKENS = 1 << 20
 #: Text bytes per task.
 TASK_BYTES = 24 << 20
 LEAST_PAIRS = 24
-ROUNDS = 5
 #: Symbols are 16-bit numbers.
 _SYMBOLS = 1 << 16
 _CACHE_WORDS = 350_000
@@ -158,14 +157,13 @@ def _cuts(data: np.ndarray) -> np.ndarray:
     return at[seen]
 
 
-def repair(ids: np.ndarray, lengths: np.ndarray, base: int, rounds: int = ROUNDS,
-           least: int = LEAST_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repair(ids: np.ndarray, lengths: np.ndarray, base: int, least: int = LEAST_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, first symbol of each document (and the end), rules (left, right); rule k is symbol base + k."""
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)  # ends a document
     last[np.cumsum(lengths) - 1] = True
     rules = np.zeros((0, 2), np.uint32)
-    for _ in range(rounds):
+    while True:  # every round makes the sequence shorter
         room = _SYMBOLS - base - len(rules)
         if len(seq) < 2 or room <= 0:
             break
