@@ -149,15 +149,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The rows of ``docs``, each as many times as the mix takes it, columns as they are.
-
-    Rows and decisions meet by doc_id, size and their number within these, so
-    rows that repeat a doc_id each get a decision of their own."""
-    nth = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(0)))
-    plan = (mix(docs, id_col, text_col, source_col, **options).where("copies > 0")
-            .select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), "copies", F.col("source").alias("__source"))
-            .withColumn("__nth", nth("__id", "__size", "__source")))
-    rows = docs.withColumn("__words", word_count(F.col(text_col))).withColumn("__n", nth(id_col, "__words", source_col))
-    return (rows.join(plan, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size"))
-                      & F.col(source_col).eqNullSafe(F.col("__source")) & (F.col("__n") == F.col("__nth")))
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns))
+    """The rows of ``docs``, each as many times as the mix takes it, columns as they are, whatever their names.
+
+    Rows and decisions meet by doc_id, source, size and their number within
+    these, so rows that repeat a doc_id each get a decision of their own.  Rows
+    are numbered by a hash of the whole row, decisions by their copies, so
+    reruns agree."""
+    key = ["doc_id", "size", "source"]
+    nth = lambda by: F.row_number().over(Window.partitionBy(*key).orderBy(by))
+    plan = mix(docs, id_col, text_col, source_col, **options).where("copies > 0").select(*key, "copies").withColumn("nth", nth(F.desc("copies")))
+    # the row travels as one column, so no column name can clash
+    rows = (docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("size"),
+                        F.col(source_col).cast("string").alias("source")).withColumn("nth", nth(F.xxhash64("row"))))
+    met = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*key, "nth")]
+    return (rows.alias("r").join(plan.alias("p"), met)
+            .select("r.row", F.explode(F.sequence(F.lit(1), F.col("p.copies"))).alias("copy")).select("row.*"))

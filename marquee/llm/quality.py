@@ -157,5 +157,7 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns as they are."""
-    return judge(docs, text_col, lang_col).where("__q.kept").select(*docs.columns)
+    """The rows of ``docs`` that are kept, with their columns as they are, whatever their names."""
+    # the row travels as one column, so no column name can clash
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    return judge(rows).where("__q.kept").select("row.*")
