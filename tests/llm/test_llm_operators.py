@@ -145,7 +145,7 @@ def least_distance(item, text):
 def test_decontamination_equals_edit_distance(spark, none):
     rnd = random.Random(2)
     text = lambda n: "".join(rnd.choice("abc de") for _ in range(n))
-    items = [(k, "item " + text(60 + 30 * k)) for k in range(4)] + [(8, None), (9, ""), (10, "short")]
+    items = [(k, "item " + text(60 + 30 * k)) for k in range(4)] + [(8, None), (9, ""), (10, " Short\tone "), (11, "What is 17 times 23?"), (12, "7"), (13, "é")]
     tests, docs = spark.createDataFrame(items, "item_id long, text string"), []
     for n in range(60):
         t = list(items[n % 4][1])
@@ -153,7 +153,8 @@ def test_decontamination_equals_edit_distance(spark, none):
             p = rnd.randrange(len(t))
             t[p:p + 1] = rnd.choice(["", "x", t[p] + "y"])
         docs.append((n, text(40) + "".join(t).upper().replace(" ", "\n \t") + text(30)))
-    docs += [(100, None), (101, ""), (102, text(500)), (None, items[0][1])]
+    docs += [(100, None), (101, ""), (102, text(500)), (None, items[0][1]), (103, "a SHORT  one"), (104, "short ones, ashort one"), (105, "short one"),
+             (106, "so: what is 17 times 23?? 17"), (107, "what is 17 times 2 3? x7 7x é7"), (108, "7"), (109, "caf\u00e9 \u00e9t\u00e9"), (110, "-é-7")]
     frame = spark.createDataFrame([(*d, "z") for d in docs], "doc_id long, text string, item_id string")
     want = set()
     for d, t in docs:
@@ -161,6 +162,7 @@ def test_decontamination_equals_edit_distance(spark, none):
             x, y = decontam.normalise(x), decontam.normalise(t)
             if len(x) >= decontam.LEAST_ITEM_BYTES and y and (e := least_distance(x, y)) <= decontam.budget(len(x)):
                 want.add((d, k, e))
+    want |= {(103, 10, 0), (105, 10, 0), (106, 11, 0), (108, 12, 0), (110, 12, 0), (110, 13, 0)}  # the short items, by hand
     assert {(r.doc_id, r.item_id, r.distance) for r in decontam.leaks(frame, tests).collect()} == want
     left = decontam.decontaminate(frame, tests)
     assert left.columns == frame.columns and {r.doc_id for r in left.collect()} == {d for d, _ in docs} - {d for d, _, _ in want}
@@ -355,6 +357,46 @@ def test_repeats_of_a_large_minimizer(spark, monkeypatch):
     assert max(n or 0 for n in indexed) <= 4
 
 
+def test_repeats_of_an_id_with_another_text(spark):
+    rnd = random.Random(12)
+    some = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    x, z = some(600), some(900)
+    rows = [(5, x), (5, z), (9, x), (None, z[:300]), (None, some(250)), (7, some(400)), (7, some(400))]
+    got = sorted((tuple(r) for r in substrings.repeats_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_repeats(rows) and sorted(r[2] for r in got if r[0] == 5) == [300, 600]
+
+
+def test_clashing_columns(spark):
+    """Stages that keep whole rows hand on columns of any name."""
+    names = "row __t __w __m __q __lang __jc __jw copies copy nth size __id __size __source __nth __words __n __copy r p key part".split()
+    rnd = random.Random(6)
+    rows = [(i % 37, " ".join(rnd.choice(quality.COMMON_WORDS["en"]) + str(rnd.randrange(90)) for _ in range(rnd.randrange(60, 160))), "en", "ab"[i % 2],
+             *(f"{n}{i}" for n in names)) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} string" for n in names))
+    given = {tuple(r) for r in frame.collect()}
+    kept = quality.quality_filter(frame)
+    assert kept.columns == frame.columns and {tuple(r) for r in kept.collect()} <= given
+    mixed = mixing.apply_mix(frame)
+    got = collections.Counter(tuple(r) for r in mixed.collect())
+    assert mixed.columns == frame.columns and set(got) <= given and max(got.values()) <= 3
+    # as many rows of each id as the decisions say
+    want = collections.Counter()
+    for r in mixing.mix(frame).collect():
+        want[r.doc_id] += r.copies
+    assert +want == +collections.Counter(k[0] for k in got.elements())
+    left = minhash.drop_near_duplicates(frame)
+    assert left.columns == frame.columns and {tuple(r) for r in left.collect()} <= given
+
+
+def test_grammar_runs_to_its_end():
+    ids = np.tile(np.arange(1, 6, dtype=np.uint32), 40_000)
+    symbols, firsts, rules = tokens.repair(ids, np.array([len(ids)]), 1000)
+    pairs = collections.Counter(zip(symbols.tolist(), symbols.tolist()[1:]))
+    assert max(pairs.values()) < tokens.LEAST_PAIRS and len(symbols) < 200
+    shard = tokens.Shard(tokens.pack([ids], 1000))
+    assert np.array_equal(shard.document(0), ids) and np.array_equal(shard.slice(0, 70_001, 70_009), ids[70_001:70_009])
+
+
 def test_token_shards(spark, docs, rows, none, monkeypatch):
     import public_tokenizers
     from tokenizers import Tokenizer
