@@ -9,11 +9,18 @@ for the one document that is left at the end.
 
 A source is cut into blocks by a hash of doc_id; every block is rounded alone
 and leaves at most one document undecided.  Those are rounded again in groups
-of ``FAN_IN`` blocks, level by level, until one is left per source.
+of ``FAN_IN`` blocks, level by level, until one is left per source.  It goes to
+the nearer side.
+
+Where that one document is so large that its source misses the target by more
+than ``MOST_ERROR``, its copies are settled and the other documents of the
+source are rounded anew, to what then is left of the target.  That goes on
+while it halves the error; of all attempts a source keeps the best one.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -29,6 +36,8 @@ MOST_COPIES = 3
 #: Documents of one source that one task rounds at a time, and undecided ones that meet on the next level.
 BLOCK_ROWS = 4_000
 FAN_IN = 256
+#: Share of its target by which a source may miss it before its largest documents are settled first.
+MOST_ERROR = 0.002
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -106,6 +115,25 @@ def _round_groups(rows: DataFrame, level: int, seed: int) -> DataFrame:
     return rows.groupBy("rank", "block").applyInArrow(run, rows.schema)
 
 
+def _rounded(rows: DataFrame, rates: DataFrame, largest: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Rounds ``rows`` (uid, doc_id, rank, block, size, coin_id) at the rate of their source, level by level: the
+    decided rows, and those left undecided, one per source at most; both with whole and part."""
+    rate = F.col("rate")
+    left = (rows.join(rates, "rank").withColumn("whole", F.floor(rate).cast("int"))
+            .withColumn("part", F.when(F.col("size") > 0, rate - F.floor(rate)).otherwise(F.lit(0.0)))
+            .select("uid", "doc_id", "rank", "block", "size", "coin_id", "whole", "part"))
+    level, decided = 0, []
+    while True:
+        done = stored(_round_groups(left, level, seed), f"rounded{level}")
+        open_ = (F.col("part") > 0) & (F.col("part") < 1)
+        decided.append(done.where(~open_))
+        left = done.where(open_).withColumn("block", F.floor(F.col("block") / FAN_IN))
+        level += 1
+        if largest <= 1:
+            return functools.reduce(DataFrame.unionByName, decided), left
+        largest = math.ceil(largest / FAN_IN)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, most: int = MOST_COPIES, seed: int = 7) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken.
@@ -117,34 +145,52 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     doc_id, size and the seed only, so reruns agree however the table is
     partitioned.  An empty table gives an empty result.
     """
-    sizes = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+    sizes = stored(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                                word_count(F.col(text_col)).alias("size")), "sizes")
     targets = stored(source_targets(sizes, weights, most).withColumn(
         "rate", F.coalesce(F.col("target") / F.nullif(F.col("source_size").cast("double"), F.lit(0.0)), F.lit(0.0)))
         .withColumn("n_blocks", F.ceil(F.col("rows") / BLOCK_ROWS)), "targets")
     largest = targets.agg(F.max("n_blocks")).first()[0] or 1  # one number
-    rows = (sizes.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-            .withColumn("coin_id", F.xxhash64("doc_id", "size"))
-            .withColumn("whole", F.floor("rate").cast("int"))
-            .withColumn("part", F.when(F.col("size") > 0, F.col("rate") - F.floor("rate")).otherwise(F.lit(0.0)))
-            .withColumn("block", F.pmod(F.xxhash64("coin_id"), F.col("n_blocks")))
-            .select("doc_id", "rank", "block", "size", "coin_id", "whole", "part"))
-    level, left, decided = 0, rows, []
+    every = (sizes.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+             .withColumn("coin_id", F.xxhash64("doc_id", "size"))
+             .withColumn("block", F.pmod(F.xxhash64("coin_id"), F.col("n_blocks"))))
+    rows, rates = every.select("uid", "doc_id", "rank", "block", "size", "coin_id"), targets.select("rank", "rate")
+    # what is settled already: copies of single documents, and the words left for the others of their source
+    goals = targets.select("rank", F.col("target").alias("goal"), F.col("source_size").alias("words"), F.lit(None).cast("double").alias("error"))
+    settled, attempts, errors = None, [], []
     while True:
-        done = stored(_round_groups(left, level, seed), f"rounded{level}")
-        open_ = (F.col("part") > 0) & (F.col("part") < 1)
-        decided.append(done.where(~open_))
-        left = done.where(open_).withColumn("block", F.floor(F.col("block") / FAN_IN))
-        level += 1
-        if largest <= 1:
+        k = len(attempts)
+        decided, last = _rounded(rows, rates, largest, seed)
+        last = stored(last, f"last{k}")  # one row per source at most
+        part = decided.unionByName(last).select("rank", "doc_id", "size", (F.col("whole") + F.round("part").cast("int")).alias("copies"))
+        attempts.append((part if settled is None else part.unionByName(settled)).withColumn("attempt", F.lit(k)))
+        miss = F.abs(F.col("part") - F.round("part")) * F.col("size")
+        missed = stored(goals.join(targets.select("rank", "target"), "rank").join(last.withColumn("miss", miss), "rank", "left")
+                        .withColumn("miss", F.coalesce("miss", F.lit(0.0))), f"missed{k}")
+        errors.append(missed.select("rank", F.lit(k).alias("attempt"), "miss"))
+        off = (missed.where((F.col("miss") > MOST_ERROR * F.col("target")) & (F.col("words") > F.col("size"))
+                            & (F.col("error").isNull() | (2 * F.col("miss") <= F.col("error")))))
+        # the nearer side, unless the others cannot take the rest
+        others = F.col("words") - F.col("size")
+        after = lambda c: F.col("goal") - c * F.col("size")
+        near = F.col("whole") + F.round("part").cast("int")
+        copies = F.when(after(near) < 0, F.col("whole")).when(after(near) > most * others, F.col("whole") + 1).otherwise(near)
+        off = stored(off.withColumn("copies", copies.cast("int")).select(
+            "rank", "uid", "doc_id", F.col("size"), "copies", after(F.col("copies")).alias("goal"), others.alias("words"), F.col("miss").alias("error"))
+            .where((F.col("goal") >= 0) & (F.col("goal") <= most * F.col("words"))), f"off{k}")
+        if off.isEmpty():
             break
-        largest = math.ceil(largest / FAN_IN)
-    # one document per source is left: it goes to the nearer side
-    all_rows = left.withColumn("part", F.when(F.col("part") >= 0.5, 1.0).otherwise(0.0))
-    for d in decided:
-        all_rows = all_rows.unionByName(d)
-    return (all_rows.join(targets.select("rank", "source", "source_size", "target"), "rank")
-            .withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + F.col("part").cast("int")).otherwise(0))
+        one = off.select("rank", "doc_id", "size", "copies")
+        settled = one if settled is None else one.unionByName(settled.join(off.select("rank"), "rank", "left_semi"))
+        rows = stored(rows.join(off.select("rank", F.col("uid").alias("u")), "rank").where("uid != u").drop("u"), f"others{k}")
+        rates = off.select("rank", (F.col("goal") / F.col("words")).alias("rate"))
+        goals = off.select("rank", "goal", "words", "error")
+    taken = functools.reduce(DataFrame.unionByName, attempts)
+    if len(attempts) > 1:
+        best = functools.reduce(DataFrame.unionByName, errors).groupBy("rank").agg(F.min(F.struct("miss", "attempt"))["attempt"].alias("attempt"))
+        taken = taken.join(best, ["rank", "attempt"])
+    return (taken.join(targets.select("rank", "source", "source_size", "target"), "rank")
+            .withColumn("copies", F.when(F.col("size") > 0, F.col("copies")).otherwise(0))
             .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")))
 
 

@@ -284,6 +284,25 @@ def test_mix(spark, docs, rows, none, monkeypatch):
     assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in got)
 
 
+def test_mix_settles_giant_documents_first(spark):
+    """A source whose largest documents are a large part of it meets its target by its small ones."""
+    rnd = random.Random(3)
+    rows = [(1, 4000, "a"), (2, 3000, "a"), *((10 + i, rnd.randrange(20, 60), "a") for i in range(80)),  # 7000 of about 10000 words
+            (200, 9000, "b"), *((300 + i, 10 + i % 7, "b") for i in range(200)),
+            *((1000 + i, 50, "c") for i in range(900)), (5000, 77, "d"), (5001, 0, "d"), (5002, 0, "e"), (5, 33, None), (5, 33, None)]
+    frame = spark.createDataFrame([(d, "w " * n, s) for d, n, s in rows], "doc_id long, text string, source string")
+    got = mixing.mix(frame).collect()
+    assert sorted((r.doc_id, r.size) for r in got) == sorted((d, n) for d, n, _ in rows)
+    taken, target = collections.Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert 0 <= r.copies <= 3 and r.taken == r.copies * r.size
+    for s in "abc":
+        assert abs(taken[s] - target[s]) <= max(0.01 * target[s], 60), (s, taken[s], target[s])
+    assert sorted((r.doc_id, r.size, r.taken) for r in mixing.mix(frame.repartition(5)).collect()) == sorted((r.doc_id, r.size, r.taken) for r in got)
+
+
 def test_targets_water_filling(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 100), ("c", 1000), (None, 5)], "source string, size long")
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
