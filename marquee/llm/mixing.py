@@ -15,7 +15,8 @@ the nearer side.
 Where that one document is so large that its source misses the target by more
 than ``MOST_ERROR``, its copies are settled and the other documents of the
 source are rounded anew, to what then is left of the target.  That goes on
-while it halves the error; of all attempts a source keeps the best one.
+until ``STALLED`` attempts in a row have not halved the error; of all attempts
+a source keeps the best one.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ BLOCK_ROWS = 4_000
 FAN_IN = 256
 #: Share of its target by which a source may miss it before its largest documents are settled first.
 MOST_ERROR = 0.002
+STALLED = 4
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -156,7 +158,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
              .withColumn("block", F.pmod(F.xxhash64("coin_id"), F.col("n_blocks"))))
     rows, rates = every.select("uid", "doc_id", "rank", "block", "size", "coin_id"), targets.select("rank", "rate")
     # what is settled already: copies of single documents, and the words left for the others of their source
-    goals = targets.select("rank", F.col("target").alias("goal"), F.col("source_size").alias("words"), F.lit(None).cast("double").alias("error"))
+    goals = targets.select("rank", F.col("target").alias("goal"), F.col("source_size").alias("words"), F.lit(None).cast("double").alias("error"), F.lit(0).alias("stalled"))
     settled, attempts, errors = None, [], []
     while True:
         k = len(attempts)
@@ -168,15 +170,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         missed = stored(goals.join(targets.select("rank", "target"), "rank").join(last.withColumn("miss", miss), "rank", "left")
                         .withColumn("miss", F.coalesce("miss", F.lit(0.0))), f"missed{k}")
         errors.append(missed.select("rank", F.lit(k).alias("attempt"), "miss"))
-        off = (missed.where((F.col("miss") > MOST_ERROR * F.col("target")) & (F.col("words") > F.col("size"))
-                            & (F.col("error").isNull() | (2 * F.col("miss") <= F.col("error")))))
+        better = F.col("error").isNull() | (2 * F.col("miss") <= F.col("error"))
+        off = (missed.where((F.col("miss") > MOST_ERROR * F.col("target")) & (F.col("words") > F.col("size")))
+               .withColumns({"stalled": F.when(better, 0).otherwise(F.col("stalled") + 1), "error": F.when(better, F.col("miss")).otherwise(F.col("error"))})
+               .where(F.col("stalled") < STALLED))
         # the nearer side, unless the others cannot take the rest
         others = F.col("words") - F.col("size")
         after = lambda c: F.col("goal") - c * F.col("size")
         near = F.col("whole") + F.round("part").cast("int")
         copies = F.when(after(near) < 0, F.col("whole")).when(after(near) > most * others, F.col("whole") + 1).otherwise(near)
         off = stored(off.withColumn("copies", copies.cast("int")).select(
-            "rank", "uid", "doc_id", F.col("size"), "copies", after(F.col("copies")).alias("goal"), others.alias("words"), F.col("miss").alias("error"))
+            "rank", "uid", "doc_id", F.col("size"), "copies", after(F.col("copies")).alias("goal"), others.alias("words"), "error", "stalled")
             .where((F.col("goal") >= 0) & (F.col("goal") <= most * F.col("words"))), f"off{k}")
         if off.isEmpty():
             break
@@ -184,7 +188,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         settled = one if settled is None else one.unionByName(settled.join(off.select("rank"), "rank", "left_semi"))
         rows = stored(rows.join(off.select("rank", F.col("uid").alias("u")), "rank").where("uid != u").drop("u"), f"others{k}")
         rates = off.select("rank", (F.col("goal") / F.col("words")).alias("rate"))
-        goals = off.select("rank", "goal", "words", "error")
+        goals = off.select("rank", "goal", "words", "error", "stalled")
     taken = functools.reduce(DataFrame.unionByName, attempts)
     if len(attempts) > 1:
         best = functools.reduce(DataFrame.unionByName, errors).groupBy("rank").agg(F.min(F.struct("miss", "attempt"))["attempt"].alias("attempt"))
