@@ -8,14 +8,16 @@ with a binary payload in the format below.
 Re-Pair: frequent pairs of adjacent symbols are replaced by new symbols, in
 rounds; a round counts all pairs and replaces every pair that occurs at least
 ``LEAST_PAIRS`` times, leftmost first where occurrences overlap.  No pair spans
-two documents.  Rounds go on until no pair is left that often.  The payload holds the rules, the length of each rule's
-expansion and, for each document, where its symbols begin, so a document (or a
-range of its ids) is decoded without the rest of the shard.
+two documents.  Rounds go on until no pair is left that often, or until the symbols
+of the format are used up, the most frequent pairs first.  The payload holds the
+rules, the length of each rule's expansion and, for each document, where its symbols
+begin, so a document (or a range of its ids) is decoded without the rest of the shard.
 
 Payload, little-endian: b"RPG1", uint32 base (first new symbol), uint32 rules,
 uint32 documents, uint32 symbols; rules x (uint16 left, uint16 right); rules x
 uint32 expansion length; documents x uint32 ids; (documents + 1) x uint32 first
-symbol; symbols x uint16.
+symbol; symbols x uint16.  Vocabularies of 65 536 ids and more give b"RPG2", the
+same with uint32 symbols in rules and sequence.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +42,26 @@ SHARD_TOKENS = 1 << 20
 #: Text bytes per task.
 TASK_BYTES = 24 << 20
 LEAST_PAIRS = 24
-#: Symbols are 16-bit numbers.
-_SYMBOLS = 1 << 16
+#: Parts whose totals one task adds up.
+PART_GROUP = 4096
+#: Vocabularies below this have 16-bit symbols, others 32-bit ones.
+_NARROW = 1 << 16
 _CACHE_WORDS = 350_000
 #: Text bytes that are encoded together.
-_BLOCK_BYTES = 1 << 20
+_BLOCK_BYTES = 4 << 20
 _PAIR_BITS = 18
-_MAGIC = b"RPG1"
-#: Pieces that can be encoded with a line feed before and after them.
-_PLAIN = re.compile(rb" ?[!-~](?:[^\n]*[!-~])?")
+_MAGIC, _WIDE_MAGIC = b"RPG1", b"RPG2"
+#: Pieces that can be encoded end to end: one space, then visible ASCII, Latin or Cyrillic letters.
+_PLAIN = re.compile(rb" (?:[!-~]|[\xc3-\xc9\xd0-\xd3][\x80-\xbf])+")
+#: New pieces that are encoded end to end in one string.
+_JOINED = 64
+
+
+def symbol_type(base: int) -> str:
+    """Numpy type of the symbols of a shard whose first new symbol is ``base``."""
+    return "<u2" if base < _NARROW else "<u4"
+
+
 
 class Encoder:
     """Ids of whole texts, with the tokenizer run once for each different piece.
@@ -65,25 +79,30 @@ class Encoder:
             import public_tokenizers
             path = public_tokenizers.path("byte_bpe_50k.json")
         self.tokenizer = Tokenizer.from_file(path)
-        self.base = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        if self.base >= _SYMBOLS:
-            raise ValueError("ids must fit in 16 bits")
-        self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.base = max(vocabulary.values()) + 1
+        self.kind = symbol_type(self.base)
+        # ids whose text begins with a space (byte-level vocabularies write it as U+0120)
+        self.opens = np.zeros(self.base, bool)
+        self.opens[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         # two generations, so pieces still in use stay known
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def _learn(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of new pieces.  Plain words go to the tokenizer many at a time with line feeds
-        between them: a line feed before a word or one space is a piece and an id of its own."""
+        """Ids of new pieces.  Plain words go to the tokenizer many to a string: each begins with a
+        space, where byte-level BPE always cuts, and has no other, so the ids that begin with a
+        space are where the words begin."""
         out: list[bytes | None] = [None] * len(pieces)
         plain = [i for i, p in enumerate(pieces) if _PLAIN.fullmatch(p)]
-        for a in range(0, len(plain), 4096):
-            part = plain[a:a + 4096]
-            raw = self._ids([b"\n".join([pieces[i] for i in part])])[0]
-            cut = np.flatnonzero(np.frombuffer(raw, "<u2") == self.feed) * 2
-            if len(cut) == len(part) - 1:
-                for i, x, y in zip(part, [0, *(cut + 2).tolist()], [*cut.tolist(), len(raw)]):
+        width = np.dtype(self.kind).itemsize
+        for a in range(0, len(plain), 64 * _JOINED):
+            part = plain[a:a + 64 * _JOINED]
+            raw = b"".join(self._ids([b"".join([pieces[i] for i in part[k:k + _JOINED]]) for k in range(0, len(part), _JOINED)]))
+            cut = np.flatnonzero(self.opens[np.frombuffer(raw, self.kind)]) * width
+            if len(cut) == len(part):
+                cut = cut.tolist()
+                for i, x, y in zip(part, cut, [*cut[1:], len(raw)]):
                     out[i] = raw[x:y]
         rest = [i for i, x in enumerate(out) if x is None]
         for a in range(0, len(rest), 4096):
@@ -92,7 +111,8 @@ class Encoder:
         return out
 
     def _ids(self, texts: list[bytes]) -> list[bytes]:
-        return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+        code = "H" if self.kind == "<u2" else "I"
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
     def _lookup(self, pieces: list[bytes]) -> list[bytes]:
         if len(self.known) > _CACHE_WORDS:
@@ -129,9 +149,9 @@ class Encoder:
         edges = np.append(starts, len(data)).astype(np.int64)
         pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
         coded = pieces.dictionary_encode()
-        found = [*self._lookup(coded.dictionary.to_pylist()), struct.pack("<H", END_ID)]
-        ids = np.frombuffer(b"".join(found), "<u2")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        found = [*self._lookup(coded.dictionary.to_pylist()), np.array([END_ID], self.kind).tobytes()]
+        ids = np.frombuffer(b"".join(found), self.kind)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // ids.itemsize
         # the pieces in order, and the end id after the last one of each text
         order = np.insert(coded.indices.to_numpy().astype(np.int64), np.searchsorted(starts, offsets[1:]), len(found) - 1)
         n = sizes[order]
@@ -140,6 +160,12 @@ class Encoder:
         return np.split(out, ends[np.flatnonzero(order == len(found) - 1)][:-1])
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str | None) -> Encoder:
+    """One encoder per Python worker, so its tasks share what they have learnt."""
+    return Encoder(path)
+
+
 def _cuts(data: np.ndarray) -> np.ndarray:
     """Places in UTF-8 bytes between a visible character and space, tab, line feed or carriage return.
 
@@ -163,11 +189,12 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int, least: int = LEAST_P
     last = np.zeros(len(seq), bool)  # ends a document
     last[np.cumsum(lengths) - 1] = True
     rules = np.zeros((0, 2), np.uint32)
+    limit = np.iinfo(symbol_type(base)).max + 1
     while True:  # every round makes the sequence shorter
-        room = _SYMBOLS - base - len(rules)
+        room = limit - base - len(rules)
         if len(seq) < 2 or room <= 0:
             break
-        code = (seq[:-1].astype(np.uint64) << np.uint64(16)) | seq[1:]
+        code = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
         slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _PAIR_BITS)).astype(np.int32)
         slot[last[:-1]] = -1
         often = np.bincount(slot[slot >= 0], minlength=1 << _PAIR_BITS) >= least
@@ -193,12 +220,12 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int, least: int = LEAST_P
         picked = pairs[chosen[used]]
         seq[at] = (base + len(rules) + new).astype(np.uint32)
         last[at] = last[at + 1]
-        rules = np.concatenate([rules, np.stack([picked >> np.uint64(16), picked & np.uint64(0xFFFF)], axis=1).astype(np.uint32)])
+        rules = np.concatenate([rules, np.stack([picked >> np.uint64(32), picked & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)])
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq, last = seq[keep], last[keep]
     firsts = np.concatenate(([0], np.flatnonzero(last) + 1))
-    return seq.astype("<u2"), firsts.astype("<u4"), rules.astype("<u2")
+    return seq.astype(symbol_type(base)), firsts.astype("<u4"), rules.astype(symbol_type(base))
 
 
 def rule_sizes(rules: np.ndarray, base: int) -> np.ndarray:
@@ -223,7 +250,7 @@ def pack(ids: list[np.ndarray], base: int) -> bytes:
     lengths = np.array([len(x) for x in ids], "<u4")
     seq, firsts, rules = repair(np.concatenate(ids), lengths.astype(np.int64), base)
     sizes = rule_sizes(rules, base)
-    return b"".join([_MAGIC, struct.pack("<4I", base, len(rules), len(ids), len(seq)), rules.tobytes(), sizes.tobytes(),
+    return b"".join([_MAGIC if base < _NARROW else _WIDE_MAGIC, struct.pack("<4I", base, len(rules), len(ids), len(seq)), rules.tobytes(), sizes.tobytes(),
                      lengths.tobytes(), firsts.tobytes(), seq.tobytes()])
 
 
@@ -231,20 +258,22 @@ class Shard:
     """Random access to a payload."""
 
     def __init__(self, payload: bytes):
-        if payload[:4] != _MAGIC:
+        if payload[:4] not in (_MAGIC, _WIDE_MAGIC):
             raise ValueError("not a token shard")
+        kind = "<u2" if payload[:4] == _MAGIC else "<u4"
+        width = np.dtype(kind).itemsize
         self.base, rules, docs, symbols = struct.unpack_from("<4I", payload, 4)
         at = 20
         take = lambda kind, n: np.frombuffer(payload, kind, n, at)
-        rule = take("<u2", 2 * rules).reshape(-1, 2)
-        at += 4 * rules
+        rule = take(kind, 2 * rules).reshape(-1, 2)
+        at += 2 * width * rules
         self.sizes = take("<u4", rules)
         at += 4 * rules
         self.lengths = take("<u4", docs)
         at += 4 * docs
         self.firsts = take("<u4", docs + 1)
         at += 4 * (docs + 1)
-        self.symbols = take("<u2", symbols)
+        self.symbols = take(kind, symbols)
         self.expanded = rule_expansions(rule, self.base)
         self.begin = np.concatenate(([0], np.cumsum(self.sizes, dtype=np.int64)))
 
@@ -296,7 +325,7 @@ def token_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         from pyspark import TaskContext
-        encoder, part, number = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, number = worker_encoder(tokenizer), TaskContext.get().partitionId(), 0
         names, ids, size = [], [], 0
 
         def shard():
@@ -345,9 +374,19 @@ def write_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def token_digest(shards: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in a table of shards, decoded from it.
 
-    start counts the ids of all documents before it; the running total goes
-    over one row per shard."""
-    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = shards.select("part", "number", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("shard_start"))
+    start counts the ids of all documents before it: running totals over the shards of
+    a part, over the parts of a group of ``PART_GROUP``, and over the groups, so no task
+    sees more than one row per group."""
+    def before(df: DataFrame, within: list, order: str, out: str) -> DataFrame:
+        w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.coalesce(F.sum("n_tokens").over(w), F.lit(0)))
+
+    held = shards.select("part", "number", "n_tokens")
+    parts = held.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens")).withColumn("part_group", F.expr(f"part div {PART_GROUP}"))
+    groups = before(parts.groupBy("part_group").agg(F.sum("n_tokens").alias("n_tokens")), [F.lit(0)], "part_group", "group_start")
+    starts = (before(parts, ["part_group"], "part", "part_start").join(groups.drop("n_tokens"), "part_group")
+              .select("part", (F.col("group_start") + F.col("part_start")).alias("part_start")))
+    offsets = (before(held, ["part"], "number", "shard_start").join(starts, "part")
+               .select("part", "number", (F.col("part_start") + F.col("shard_start")).alias("shard_start")))
     return (read_documents(shards).join(offsets, ["part", "number"])
             .select("doc_id", (F.col("shard_start") + F.col("ids_before")).alias("start"), "n_tokens", "ids_crc32"))

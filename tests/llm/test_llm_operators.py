@@ -481,3 +481,33 @@ def test_encoder_cuts_and_blocks(monkeypatch):
     got = own.encode(texts)
     assert len(got) == len(texts)
     assert all(g.tolist() == plain.encode(t or "", add_special_tokens=False).ids + [tokens.END_ID] for g, t in zip(got, texts))
+
+
+def test_wide_symbols_round_trip():
+    rnd = np.random.default_rng(6)
+    ids = [np.concatenate([rnd.integers(0, 90_000, 40), np.tile(rnd.integers(60_000, 90_000, 5), 60), [tokens.END_ID]]).astype("<u4") for _ in range(30)]
+    for base in (90_000, tokens._NARROW, 1 << 20):
+        cut = [np.minimum(x, base - 1) for x in ids]
+        shard = tokens.Shard(tokens.pack(cut, base))
+        assert shard.symbols.itemsize == 4 and len(shard.symbols) < sum(map(len, cut))
+        assert all(np.array_equal(shard.document(k), x) for k, x in enumerate(cut))
+        assert np.array_equal(shard.slice(3, 35, 170), cut[3][35:170])
+
+
+def test_joined_words_equal_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    plain, own, rnd = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), tokens.Encoder(), random.Random(12)
+    letters = ["a", "b", "the", "'s", "'", "1", "23", "!", "<|endoftext|>", "<|", "\u00e4", "\u00d7", "\u0436", "\u4e2d", "\u00a0", "\u0120", "\x85", "\x1c", "\u2003", "\x7f"]
+    texts = ["".join(rnd.choice([" "] * 6 + ["  ", "\n", "\t", " \n"]) + "".join(rnd.choices(letters, k=rnd.randrange(1, 5))) for _ in range(40)) for _ in range(300)]
+    got = own.encode(texts)
+    assert all(g.tolist() == plain.encode(t, add_special_tokens=False).ids + [tokens.END_ID] for g, t in zip(got, texts))
+
+
+def test_offsets_over_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "TASK_BYTES", 40)
+    monkeypatch.setattr(tokens, "PART_GROUP", 3)
+    docs = spark.createDataFrame([(i, "word " * (i % 7)) for i in range(60)], "doc_id long, text string")
+    got = tokens.token_digest(tokens.write_tokens(docs)).orderBy("start").collect()
+    assert [r.doc_id for r in got] == list(range(60))
+    assert [r.start for r in got] == np.concatenate([[0], np.cumsum([r.n_tokens for r in got])[:-1]]).tolist()
