@@ -89,25 +89,23 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def _learn(self, pieces: list[bytes]) -> list[bytes]:
+    def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Ids of new pieces.  Plain words go to the tokenizer many to a string: each begins with a
         space, where byte-level BPE always cuts, and has no other, so the ids that begin with a
         space are where the words begin."""
-        out: list[bytes | None] = [None] * len(pieces)
-        plain = [i for i, p in enumerate(pieces) if _PLAIN.fullmatch(p)]
+        out: dict[bytes, bytes] = {}
+        plain = list(filter(_PLAIN.fullmatch, pieces))
         width = np.dtype(self.kind).itemsize
         for a in range(0, len(plain), 64 * _JOINED):
             part = plain[a:a + 64 * _JOINED]
-            raw = b"".join(self._ids([b"".join([pieces[i] for i in part[k:k + _JOINED]]) for k in range(0, len(part), _JOINED)]))
+            raw = b"".join(self._ids([b"".join(part[k:k + _JOINED]) for k in range(0, len(part), _JOINED)]))
             cut = np.flatnonzero(self.opens[np.frombuffer(raw, self.kind)]) * width
             if len(cut) == len(part):
                 cut = cut.tolist()
-                for i, x, y in zip(part, cut, [*cut[1:], len(raw)]):
-                    out[i] = raw[x:y]
-        rest = [i for i, x in enumerate(out) if x is None]
+                out.update(zip(part, [raw[x:y] for x, y in zip(cut, [*cut[1:], len(raw)])]))
+        rest = [p for p in pieces if p not in out]
         for a in range(0, len(rest), 4096):
-            for i, x in zip(rest[a:a + 4096], self._ids([pieces[i] for i in rest[a:a + 4096]])):
-                out[i] = x
+            out.update(zip(rest[a:a + 4096], self._ids(rest[a:a + 4096])))
         return out
 
     def _ids(self, texts: list[bytes]) -> list[bytes]:
@@ -118,18 +116,13 @@ class Encoder:
         if len(self.known) > _CACHE_WORDS:
             self.older, self.known = self.known, {}
         found = list(map(self.known.get, pieces))
-        missing = [i for i, x in enumerate(found) if x is None]
-        learn = []
-        for i in missing:
-            x = found[i] = self.older.get(pieces[i])
-            if x is None:
-                learn.append(i)
-            else:
-                self.known[pieces[i]] = x
-        learnt = self._learn([pieces[i] for i in learn])
-        for i, x in zip(learn, learnt):
-            found[i] = self.known[pieces[i]] = x
-        return found
+        names = [p for p, x in zip(pieces, found) if x is None]
+        held = list(map(self.older.get, names))
+        learnt = self._learn([p for p, x in zip(names, held) if x is None])
+        held = [x or learnt[p] for p, x in zip(names, held)]
+        self.known.update(zip(names, held))
+        rest = iter(held)
+        return [x or next(rest) for x in found]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text with ``END_ID`` appended (null: only that)."""
@@ -151,13 +144,17 @@ class Encoder:
         coded = pieces.dictionary_encode()
         found = [*self._lookup(coded.dictionary.to_pylist()), np.array([END_ID], self.kind).tobytes()]
         ids = np.frombuffer(b"".join(found), self.kind)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // ids.itemsize
+        # a text has fewer than 2^31 bytes, and no more ids than that
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // np.int32(ids.itemsize)
         # the pieces in order, and the end id after the last one of each text
-        order = np.insert(coded.indices.to_numpy().astype(np.int64), np.searchsorted(starts, offsets[1:]), len(found) - 1)
+        order = np.insert(coded.indices.to_numpy(), np.searchsorted(starts, offsets[1:]), len(found) - 1)
         n = sizes[order]
-        ends = np.cumsum(n)
-        out = ids[np.repeat(np.cumsum(sizes)[order] - ends, n) + np.arange(int(ends[-1]))]
-        return np.split(out, ends[np.flatnonzero(order == len(found) - 1)][:-1])
+        ends = np.cumsum(n, dtype=np.int32)
+        begins = np.cumsum(sizes, dtype=np.int32)[order]
+        begins -= ends
+        at = np.repeat(begins, n)
+        at += np.arange(len(at), dtype=np.int32)
+        return np.split(ids[at], ends[np.flatnonzero(order == len(found) - 1)][:-1])
 
 
 @lru_cache(maxsize=1)
@@ -190,24 +187,22 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int, least: int = LEAST_P
     last[np.cumsum(lengths) - 1] = True
     rules = np.zeros((0, 2), np.uint32)
     limit = np.iinfo(symbol_type(base)).max + 1
-    while True:  # every round makes the sequence shorter
-        room = limit - base - len(rules)
-        if len(seq) < 2 or room <= 0:
-            break
-        code = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+    places = np.flatnonzero(~last[:-1])  # where a frequent pair may begin
+    while limit > base + len(rules) and len(places):  # every round makes the sequence shorter
+        code = (seq[places].astype(np.uint64) << np.uint64(32)) | seq[places + 1]
         slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _PAIR_BITS)).astype(np.int32)
-        slot[last[:-1]] = -1
-        often = np.bincount(slot[slot >= 0], minlength=1 << _PAIR_BITS) >= least
-        at = np.flatnonzero(often[slot] & (slot >= 0))
-        if not len(at):
+        often = np.bincount(slot, minlength=1 << _PAIR_BITS) >= least
+        held = np.flatnonzero(often[slot])
+        if not len(held):
             break
-        coded = pa.array(code[at]).dictionary_encode()
+        at = places[held]
+        coded = pa.array(code[held]).dictionary_encode()
         pairs, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
         count = np.bincount(which)
         chosen = np.flatnonzero(count >= least)
         if not len(chosen):
             break
-        chosen = chosen[np.argsort(-count[chosen], kind="stable")][:room]
+        chosen = chosen[np.argsort(-count[chosen], kind="stable")][:limit - base - len(rules)]
         number = np.full(len(pairs), -1, np.int64)
         number[chosen] = np.arange(len(chosen))
         at, which = at[number[which] >= 0], number[which][number[which] >= 0]
@@ -224,6 +219,11 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int, least: int = LEAST_P
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq, last = seq[keep], last[keep]
+        # pairs without a symbol of this round were too rare or are all replaced, so only those beside one can be frequent
+        at -= np.arange(len(at))
+        beside = np.zeros(len(seq) + 1, bool)
+        beside[at] = beside[at - 1] = True  # -1 is the spare place at the end
+        places = np.flatnonzero(beside[:len(seq) - 1] & ~last[:-1])
     firsts = np.concatenate(([0], np.flatnonzero(last) + 1))
     return seq.astype(symbol_type(base)), firsts.astype("<u4"), rules.astype(symbol_type(base))
 
