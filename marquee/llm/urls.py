@@ -2,13 +2,16 @@
 
 1. A url's host and path are matched against a list of rules (host and its
    subdomains, path prefix, longest rule wins).
-2. The urls decided that way are labelled baskets of tokens.  Spark's FP-growth
-   mines token combinations that go with a label; rules below the support and
+2. The urls decided that way are labelled baskets of tokens.  Tokens that occur in
+   exactly the same baskets form a class, and one of them stands for it, so item
+   sets do not multiply over tokens that always go together.  Spark's FP-growth
+   mines combinations of classes that go with a label; rules below the support and
    confidence limits are pruned.
 3. Urls that no list rule decides are matched against the mined rules by an
-   inverted index: a rule is filed under its rarest token, so a url only meets
-   rules that share a rare token with it, and the rest of the rule is checked
-   on the url's own tokens.
+   inverted index: a rule is filed under the tokens of its rarest class, so a url
+   only meets rules that share a rare token with it, and the rest of the rule is
+   checked on the url's own tokens.  A url has a class if it has any token of it:
+   each of them would have given the same rule.
 """
 
 from __future__ import annotations
@@ -64,14 +67,33 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
         F.when(F.contains(url, F.lit("#")), F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>"))))
 
 
+def token_classes(labelled: DataFrame, least: float) -> DataFrame:
+    """token, leader (the smallest token of its class) of the tokens in at least ``least`` of the baskets.
+
+    Two tokens are of one class if they occur in the same baskets: as many, with
+    the same sum of basket hashes (64 bits, exact).  There are no more rows than a
+    basket has tokens on average, divided by ``least``."""
+    rows = labelled.select("tokens", F.xxhash64(F.array_sort("tokens")).cast("decimal(20,0)").alias("basket"))
+    counts = (rows.select(F.explode("tokens").alias("token"), "basket").groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("basket").alias("baskets")))
+    total = labelled.agg(F.count(F.lit(1)).alias("total"))  # one row
+    often = counts.join(F.broadcast(total), F.col("n") >= F.col("total") * F.lit(least)).drop("total")
+    leaders = often.groupBy("n", "baskets").agg(F.min("token").alias("leader"))
+    return often.join(leaders, ["n", "baskets"]).select("token", "leader")
+
+
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """rule_id, tokens, verdict, confidence, support, index_token of the mined rules.
+    """rule_id, tokens, classes, verdict, confidence, support, index_tokens of the mined rules.
 
-    ``labelled``: tokens, verdict.  FP-growth runs on the baskets with their
-    label as one more token; rules kept are those whose consequent is a label.
+    ``labelled``: tokens (distinct in a row), verdict.  FP-growth runs on the
+    leaders of the baskets' token classes with the label as one more token; rules
+    kept are those whose consequent is a label.  tokens are the leaders of a rule,
+    classes all tokens of each leader's class, in the same order.
     A combination that has no more confidence than a part of it with the same
     verdict is pruned.  Their number is bounded by the limits, not by the table."""
-    baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(_LABEL), F.col("verdict")))).alias("items"))
+    classes = stored(token_classes(labelled, min_support), "url-token-classes")
+    leaders = [r.leader for r in classes.select("leader").distinct().collect()]  # bounded, see token_classes
+    kept = F.array_intersect("tokens", F.array(*map(F.lit, leaders)).cast("array<string>"))
+    baskets = labelled.select(F.concat(kept, F.array(F.concat(F.lit(_LABEL), F.col("verdict")))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = (model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit(_LABEL)) & (F.size("antecedent") <= MOST_TOKENS)
                                           & ~F.exists("antecedent", lambda x: F.startswith(x, F.lit(_LABEL))))
@@ -84,19 +106,21 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
               .where((F.col("verdict") == F.col("v")) & (F.size("t") < F.size("tokens")) & (F.col("c") >= F.col("confidence"))
                      & (F.size(F.array_except("t", "tokens")) == 0)).select("rule_id").distinct())
     kept = rules.join(beaten, "rule_id", "left_anti")
-    counts = (model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq")))
-    rarest = (kept.select("rule_id", F.explode("tokens").alias("token")).join(counts, "token")
-              .groupBy("rule_id").agg(F.min(F.struct("freq", "token"))["token"].alias("index_token")))
-    return kept.join(rarest, "rule_id")
+    counts = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("leader"), F.col("freq"))
+    members = classes.groupBy("leader").agg(F.sort_array(F.collect_list("token")).alias("class")).join(counts, "leader")
+    parts = (kept.select("rule_id", F.explode("tokens").alias("leader")).join(members, "leader").groupBy("rule_id")
+             .agg(F.transform(F.sort_array(F.collect_list(F.struct("leader", "class"))), lambda x: x["class"]).alias("classes"),
+                  F.min(F.struct("freq", "leader", "class"))["class"].alias("index_tokens")))
+    return kept.join(parts, "rule_id")
 
 
 def match_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """row_key and its mined verdict: of the rules that fit, the one with the
     most confidence, then support, then tokens, then rule_id.  ``pages``: row_key, tokens."""
-    index = rules.select("rule_id", F.col("tokens").alias("rule_tokens"), "verdict", "confidence", "support", "index_token")
+    index = rules.select("rule_id", "classes", "verdict", "confidence", "support", F.explode("index_tokens").alias("index_token"))
     return (pages.select("row_key", "tokens", F.explode("tokens").alias("index_token")).join(index, "index_token")
-            .where(F.size(F.array_except("rule_tokens", "tokens")) == 0)
-            .groupBy("row_key").agg(F.max_by("verdict", F.struct("confidence", "support", F.size("rule_tokens"), "rule_id")).alias("mined")))
+            .where(F.forall("classes", lambda c: F.arrays_overlap(c, F.col("tokens"))))
+            .groupBy("row_key").agg(F.max_by("verdict", F.struct("confidence", "support", F.size("classes"), "rule_id")).alias("mined")))
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES,

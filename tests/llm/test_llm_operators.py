@@ -511,3 +511,42 @@ def test_offsets_over_many_parts(spark, monkeypatch):
     got = tokens.token_digest(tokens.write_tokens(docs)).orderBy("start").collect()
     assert [r.doc_id for r in got] == list(range(60))
     assert [r.start for r in got] == np.concatenate([[0], np.cumsum([r.n_tokens for r in got])[:-1]]).tolist()
+
+
+def test_mined_verdicts_equal_counting(spark):
+    """Rules, index and verdicts against counting every combination, with tokens that always go together."""
+    import itertools
+    rnd = random.Random(21)
+    def basket():
+        t = [x for x in "abcde" if rnd.random() < 0.5]
+        return t + (["a1", "a2"] if "a" in t else []) + (["d1"] if "d" in t else [])
+    label = lambda t: "block" if ("a" in t and "b" in t) or rnd.random() < 0.2 else "allow"
+    baskets = [(t, label(t)) for t in (basket() for _ in range(120))]
+    support, confidence = 0.05, 0.7
+    single = {x for t, _ in baskets for x in t}
+    found = {}
+    for k in (1, 2, 3):
+        for items in itertools.combinations(sorted(single), k):
+            hold = [v for t, v in baskets if set(items) <= set(t)]
+            for v in ("allow", "block"):
+                n = hold.count(v)
+                if n and n / len(baskets) >= support and n / len(hold) >= confidence:
+                    found[items, v] = (n / len(hold), n / len(baskets))
+    kept = {(i, v): c for (i, v), c in found.items()
+            if not any(v == w and set(j) < set(i) and d[0] >= c[0] for (j, w), d in found.items())}
+    pages = [[x for x in ("a", "a1", "a2", "b", "c", "d", "d1", "e", "z") if rnd.random() < 0.4] for _ in range(150)]
+    rules = urls.mine_rules(spark.createDataFrame(baskets, "tokens array<string>, verdict string"), support, confidence)
+    got = {r.row_key: r.mined for r in urls.match_rules(spark.createDataFrame(list(enumerate(pages)), "row_key long, tokens array<string>"), rules).collect()}
+    for k, page in enumerate(pages):
+        fits = [(c, v) for (i, v), c in kept.items() if set(i) <= set(page)]
+        assert (k in got) == bool(fits)
+        if fits:
+            assert got[k] in {v for c, v in fits if c == max(fits)[0]}
+
+
+def test_many_tokens_that_go_together(spark):
+    fields = "&".join(f"f{i}=1" for i in range(30))
+    frame = spark.createDataFrame([(i, f"https://a.{'com' if i % 2 else 'net'}/{'x' if i % 2 else 'es'}/{i}?{fields}") for i in range(500)]
+                                  + [(900, f"https://b.org/es/1?{fields}"), (901, "https://b.org/es/1?f7")], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge_urls(frame).collect()}
+    assert got[0] == ("net/es/", "block") and got[1] == ("com/", "allow") and got[900] == got[901] == (None, "block")
