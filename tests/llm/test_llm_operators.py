@@ -550,3 +550,22 @@ def test_many_tokens_that_go_together(spark):
                                   + [(900, f"https://b.org/es/1?{fields}"), (901, "https://b.org/es/1?f7")], "page_id long, url string")
     got = {r.page_id: (r.rule, r.verdict) for r in urls.judge_urls(frame).collect()}
     assert got[0] == ("net/es/", "block") and got[1] == ("com/", "allow") and got[900] == got[901] == (None, "block")
+
+
+def test_licence_confirmation_equals_sets(spark):
+    rnd = random.Random(8)
+    texts = [t for ts in licences.TEMPLATES.values() for t in ts]
+    lines = ["you can redistribute it", "subject to the terms of the", "", "in source and binary forms", "Copyright 2021 A. All rights reserved.", None, *texts]
+    for _ in range(200):
+        ws = rnd.choice(texts).split(" ")
+        i = rnd.randrange(len(ws))
+        lines.append(" ".join(["some", "words"] * rnd.randrange(4) + ws[i:i + rnd.randrange(1, 14)] + ["more", "of", "them"] * rnd.randrange(3)))
+    got = spark.createDataFrame([(x,) for x in lines], "t string").select(
+        "t", *[licences.confirmed(f, licences.paragraph_words(F.col("t"))).alias(n) for n, f in (("any", None), ("mpl", F.lit("mpl")))]).collect()
+    def expected(line, names):
+        mine = set(licences._template_trigrams(line)) - {""}
+        sets = [set(licences._template_trigrams(t)) for n in names for t in licences.TEMPLATES[n]]
+        return any(len(mine & t) >= max(min(len(mine), len(t)) * licences.LEAST_OVERLAP, min(len(t) / 2, licences.LEAST_COMMON)) for t in sets)
+    for r in got:
+        assert bool(r["any"]) == expected(r.t or "", licences.TEMPLATES) and bool(r["mpl"]) == expected(r.t or "", ["mpl"]), r.t
+    assert [bool(r["any"]) for r in got[:5]] == [False, False, False, False, True]
