@@ -2,17 +2,19 @@
 
 A paragraph (a line of a text) becomes sparse word n-grams (1 to 3 words,
 hashed).  A multinomial logistic regression, trained on excerpts of licence
-templates and a bounded sample of ordinary paragraphs, gives each paragraph a
-family or "unknown".  A family is believed only above a confidence that was
-calibrated on ordinary paragraphs which trained nothing.  Last, the paragraph
-is compared with the templates of its family: the share of the template's
+templates and on ordinary paragraphs, gives each paragraph a family or
+"unknown".  A family is believed only above a confidence that was calibrated
+on ordinary paragraphs which trained nothing.  Last, the paragraph is compared
+with the templates of its family: the share of the template's
 trigrams of words that it holds, or of its own that a template holds, must be
 high enough, and so must their number: a few words in a row that a long template
 shares with ordinary prose are no licence.
 
 Only paragraphs that hold a trigram of a template reach the model; no other
-one could be confirmed.  Everything runs as DataFrame expressions and Spark
-ML; texts stay in their rows.
+one could be confirmed.  Every ordinary one among them takes part: those of one
+half of the documents train, those of the other half calibrate.  The confidence
+counts all paragraphs of that half, those that never reach the model as 0.
+Everything runs as DataFrame expressions and Spark ML; texts stay in their rows.
 """
 
 from __future__ import annotations
@@ -70,11 +72,10 @@ TEMPLATES = {
 }
 UNKNOWN = "unknown"
 FAMILIES = (UNKNOWN, *TEMPLATES)
-#: Hash buckets of the n-grams; paragraphs of the training sample (ordinary ones), and of those that calibrate.
+#: Hash buckets of the n-grams.
 BUCKETS = 1 << 12
-SAMPLE_PARAGRAPHS = 4000
-#: Share of ordinary paragraphs that may pass the confidence limit, and the least that limit can be.
-FALSE_RATE, LEAST_CONFIDENCE = 0.001, 0.5
+#: Share of ordinary paragraphs that may pass the confidence limit, the least that limit can be, and its steps.
+FALSE_RATE, LEAST_CONFIDENCE, CONFIDENCE_STEPS = 0.001, 0.5, 10_000
 #: Share of trigrams that a confirmed paragraph and a template of its family have in common.
 LEAST_OVERLAP = 0.5
 #: Trigrams in common that confirm a paragraph; of a template with fewer than twice as many, half of it.
@@ -105,10 +106,14 @@ def template_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "family string, text string").select("family", paragraph_words(F.col("text")).alias("words"))
 
 
-def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, position (from 0), paragraph of every line that holds a word."""
-    lines = F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n")
-    return (docs.select(F.col(id_col).alias("doc_id"), F.posexplode(lines).alias("position", "paragraph")).where(F.trim("paragraph") != ""))
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text.cast("string"), F.lit("")), "\n")
+
+
+def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple = ()) -> DataFrame:
+    """doc_id, columns to keep, position (from 0), paragraph of every line that holds a word."""
+    return (docs.select(F.col(id_col).alias("doc_id"), *keep, F.posexplode(_lines(F.col(text_col))).alias("position", "paragraph"))
+            .where(F.trim("paragraph") != ""))
 
 
 def _training(templates: DataFrame) -> DataFrame:
@@ -119,15 +124,18 @@ def _training(templates: DataFrame) -> DataFrame:
     return templates.select("family", F.explode(part).alias("words"))
 
 
-def sample_paragraphs(docs: DataFrame, most: int = SAMPLE_PARAGRAPHS) -> DataFrame:
-    """At most ``most`` first and last paragraphs of documents, chosen by a hash
-    of doc_id, without those that a template confirms; half of them calibrate."""
-    lines = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")
-    chosen = (docs.select(F.xxhash64("doc_id").alias("h"), F.col("doc_id"), F.get(lines, F.lit(0)).alias("a"), F.element_at(lines, -1).alias("b"))
-              .orderBy("h", "doc_id").limit(most // 2))
-    rows = chosen.select("h", F.explode(F.array("a", "b")).alias("p")).where(F.trim("p") != "").select(
-        paragraph_words(F.col("p")).alias("words"), (F.pmod(F.xxhash64("h", "p"), F.lit(2)) == 0).alias("calibrates"))
-    return rows.where(~confirmed(None, F.col("words")))
+def _halves(docs: DataFrame) -> DataFrame:
+    """doc_id, text, calibrates: by a hash of both, whether the document's ordinary paragraphs calibrate or train."""
+    return docs.select("doc_id", "text", (F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)) == 0).alias("calibrates"))
+
+
+def candidates(docs: DataFrame) -> DataFrame:
+    """Every paragraph that holds a trigram of a template: doc_id, calibrates, position,
+    paragraph, words, ordinary (no template confirms it)."""
+    # whole texts first: most hold no trigram of a template at all
+    lines = paragraphs(_halves(docs).where(may_match(F.col("text"))), keep=("calibrates",)).where(may_match(F.col("paragraph")))
+    return (lines.withColumn("words", paragraph_words(F.col("paragraph")))
+            .withColumn("ordinary", ~F.coalesce(confirmed(None, F.col("words")), F.lit(False))))
 
 
 def _shingles(ws: Column) -> Column:
@@ -211,26 +219,33 @@ class Classifier:
                 .drop("__grams", "features", "rawPrediction", "prediction", "__p", "__best"))
 
 
-def train(docs: DataFrame, most: int = SAMPLE_PARAGRAPHS) -> Classifier:
-    """Fits on template excerpts and half of the sample, and sets the confidence on the other half."""
+def train(docs: DataFrame, lines: DataFrame | None = None) -> Classifier:
+    """Fits on template excerpts and every ordinary candidate of one half of the documents, and sets the
+    confidence on all ordinary paragraphs of the other half.  ``lines``: the candidates of ``docs``, if at hand."""
     spark = docs.sparkSession
-    sample = stored(sample_paragraphs(docs, most), "paragraph-sample")
+    lines = stored(candidates(docs), "licence-lines") if lines is None else lines
     label = F.element_at(F.map_from_arrays(F.array(*map(F.lit, FAMILIES)), F.array(*[F.lit(float(i)) for i in range(len(FAMILIES))])), F.col("family"))
     rows = (_training(template_table(spark)).select("family", "words")
-            .unionByName(sample.where("not calibrates").select(F.lit(UNKNOWN).alias("family"), "words")).withColumn("label", label))
-    # excerpts are many and ordinary paragraphs are bounded: each class weighs the same
+            .unionByName(lines.where("ordinary and not calibrates").select(F.lit(UNKNOWN).alias("family"), "words")).withColumn("label", label))
+    # excerpts and ordinary paragraphs differ in number: each class weighs the same
     weights = rows.groupBy("label").agg((F.lit(1000.0) / F.count("*")).alias("weight"))
     rows = rows.join(weights, "label").withColumn("__grams", features(F.col("words")))
     rows = HashingTF(inputCol="__grams", outputCol="features", numFeatures=BUCKETS, binary=True).transform(rows)
-    # a class without rows (an empty table has no ordinary paragraph) keeps its place in the model
+    # a class without rows (no ordinary paragraph among the candidates) keeps its place in the model
     model = LogisticRegression(family="multinomial", weightCol="weight", regParam=0.002, elasticNetParam=0.5, maxIter=25, tol=1e-4).fit(
-        rows.select("label", "weight", "features").coalesce(4))
-    ordinary = Classifier(model, 0.0).scored(sample.where("calibrates"))
-    limit = ordinary.agg(F.expr(f"percentile(probability, {1 - FALSE_RATE})")).first()[0]
+        rows.select("label", "weight", "features"))
+    # paragraphs that are no candidates are never believed: they count as probability 0
+    every = _halves(docs).where("calibrates").agg(F.sum(F.size(F.filter(_lines(F.col("text")), lambda x: F.trim(x) != "")))).first()[0] or 0
+    silent = every - lines.where("calibrates").count()
+    ordinary = Classifier(model, 0.0).scored(lines.where("ordinary and calibrates"))
+    step = (F.ceil(F.col("probability") * CONFIDENCE_STEPS) / CONFIDENCE_STEPS).cast("double").alias("probability")
+    counts = ordinary.groupBy(step).agg(F.count("*").alias("n")).unionByName(
+        spark.range(1).select(F.lit(0.0).alias("probability"), F.lit(silent).cast("long").alias("n")))
+    limit = counts.where("n > 0").agg(F.expr(f"percentile(probability, {1 - FALSE_RATE}, n)")).first()[0]
     return Classifier(model, max(LEAST_CONFIDENCE, min(limit or 0.0, 0.95)))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE_PARAGRAPHS) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per paragraph found to be a licence: doc_id, position, family, probability, overlap, paragraph.
 
     Null and empty texts have no paragraph.  Rows that repeat are reported once
@@ -239,16 +254,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     if rows.isEmpty():
         return rows.sparkSession.createDataFrame([], f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, position int, family string, probability double, overlap double, paragraph string")
-    classifier = train(rows, most)
-    # whole texts first: most hold no trigram of a template at all
-    lines = paragraphs(rows.where(may_match(F.col("text"))), "doc_id", "text").where(may_match(F.col("paragraph")))
-    scored = classifier.scored(lines.withColumn("words", paragraph_words(F.col("paragraph"))))
+    lines = stored(candidates(rows), "licence-lines")
+    scored = train(rows, lines).scored(lines)
     return (scored.where(F.col("family") != UNKNOWN).withColumn("overlap", overlap(F.col("family"), F.col("words")))
             .where(confirmed(F.col("family"), F.col("words"))).select("doc_id", "position", "family", "probability", "overlap", "paragraph"))
 
 
-def document_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE_PARAGRAPHS) -> DataFrame:
+def document_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with a licence: doc_id, families (sorted), n_paragraphs, probability (best)."""
-    found = scan(docs, id_col, text_col, most)
+    found = scan(docs, id_col, text_col)
     return found.groupBy("doc_id").agg(F.sort_array(F.collect_set("family")).alias("families"), F.count("*").alias("n_paragraphs"),
                                        F.round(F.max("probability"), 4).alias("probability"))

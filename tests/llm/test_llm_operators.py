@@ -569,3 +569,17 @@ def test_licence_confirmation_equals_sets(spark):
     for r in got:
         assert bool(r["any"]) == expected(r.t or "", licences.TEMPLATES) and bool(r["mpl"]) == expected(r.t or "", ["mpl"]), r.t
     assert [bool(r["any"]) for r in got[:5]] == [False, False, False, False, True]
+
+
+def test_licence_training_sees_every_ordinary_paragraph(spark):
+    """Ordinary paragraphs train or calibrate wherever they stand and however many they are."""
+    near = "permission is hereby granted free of cost"
+    frame = spark.createDataFrame([(i, f"first line\n{near} {i}\nlast line", "x") for i in range(2500)] + [(9000, None, "x"), (None, "", "x")],
+                                  "doc_id long, text string, family string")
+    lines = licences.candidates(frame)
+    assert lines.where("ordinary").count() == 2500 and 1000 < lines.where("calibrates").count() < 1500
+    asked = frame.where("doc_id = 7").select(licences.paragraph_words(F.lit(near)).alias("words"))
+    classifier = licences.train(frame)
+    # trained on first and last lines alone, the model gave it 0.24 for a licence
+    assert [r.probability < 0.01 for r in classifier.scored(asked).collect()] == [True]
+    assert classifier.confidence == licences.LEAST_CONFIDENCE
