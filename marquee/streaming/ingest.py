@@ -53,9 +53,10 @@ def parse_wire(lines: DataFrame, payload: str = "value") -> DataFrame:
 
     Nothing is dropped: what does not parse goes on with the fields that could be read."""
     schema = T.StructType([*WIRE_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
-    text = F.col(payload).cast("string")
-    e = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    parsed = lines.select(F.col(payload).cast("binary").alias("payload"), text.alias("__text"), e.alias("__e"))
+    rows = lines.select(F.col(payload).cast("binary").alias("payload"), F.col(payload).cast("string").alias("__text"))
+    e = F.from_json("__text", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    # generated, not projected: a filter on any of the fields would else parse the message again for each use of one
+    parsed = rows.select("payload", "__text", F.explode(F.array(e)).alias("__e"))
     whole = F.col("__e").isNotNull() & F.col("__e._corrupt").isNull() & F.trim("__text").startswith("{")
     return parsed.select(*[F.col(f"__e.{f.name}").alias(f.name) for f in WIRE_SCHEMA.fields], "payload",
                          (~F.coalesce(whole, F.lit(False))).alias("unparsable"))

@@ -86,3 +86,15 @@ def test_ledger_keeps_entries_of_unknown_orders_and_products(spark):
                    (7, d(1), "RESERVE", 1, -2, None, "UNKNOWN_PRODUCT", None), (7, d(8), "RESTORE", 1, 2, None, "UNKNOWN_PRODUCT", None),
                    (None, d(1), "RESERVE", 1, -4, None, "UNKNOWN_PRODUCT", None),
                    (5, None, "RESERVE", 8, -3, None, "UNKNOWN_ORDER", None), (7, None, "RESERVE", None, -1, None, "UNKNOWN_ORDER", None)}
+
+
+def test_wire_messages_are_parsed_once(spark):
+    """A filter on the rules does not parse a message again for each field that they use."""
+    from marquee.operators import quality as Q
+    from marquee.streaming import ingest as I
+    lines = spark.createDataFrame([('{"event_id":"","user_id":"u","timestamp":"soon"}',), ('{"user_id":"",',), ("",), (None,), ("[1]",)], "value string")
+    ok, bad = Q.split_valid(I.validated(I.parse_wire(lines)))
+    for frame in (ok, bad.select("payload", "reasons")):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    got = {bytes(r.payload).decode() if r.payload is not None else None: r.reasons for r in bad.collect()}
+    assert got == {x: ["unparsable"] for (x,) in lines.collect()} and ok.count() == 0
