@@ -185,7 +185,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         if off.isEmpty():
             break
         one = off.select("rank", "doc_id", "size", "copies")
-        settled = one if settled is None else one.unionByName(settled.join(off.select("rank"), "rank", "left_semi"))
+        # stored, or every attempt's plan would hold those of all before it
+        settled = one if settled is None else stored(one.unionByName(settled.join(off.select("rank"), "rank", "left_semi")), f"settled{k}")
         rows = stored(rows.join(off.select("rank", F.col("uid").alias("u")), "rank").where("uid != u").drop("u"), f"others{k}")
         rates = off.select("rank", (F.col("goal") / F.col("words")).alias("rate"))
         goals = off.select("rank", "goal", "words", "error", "stalled")

@@ -583,3 +583,12 @@ def test_licence_training_sees_every_ordinary_paragraph(spark):
     # trained on first and last lines alone, the model gave it 0.24 for a licence
     assert [r.probability < 0.01 for r in classifier.scored(asked).collect()] == [True]
     assert classifier.confidence == licences.LEAST_CONFIDENCE
+
+
+def test_plan_of_a_mix_does_not_hold_the_earlier_attempts(spark):
+    """Documents settled in one attempt are read back in the next, not joined anew in the plan of each that follows."""
+    rnd = random.Random(4)
+    frame = spark.createDataFrame([(k, "w " * (rnd.choice([900, 2000, 3500]) if k < 6 else rnd.choice([170, 430])), "ab"[k % 2]) for k in range(24)],
+                                  "doc_id long, text string, source string")
+    plan = mixing.mix(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("attempt") > 4 and plan.count("LeftSemi") == 0
