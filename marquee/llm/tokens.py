@@ -22,8 +22,10 @@ same with uint32 symbols in rules and sequence.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import string
 import struct
 import zlib
 from array import array
@@ -51,10 +53,14 @@ _CACHE_WORDS = 350_000
 _BLOCK_BYTES = 4 << 20
 _PAIR_BITS = 18
 _MAGIC, _WIDE_MAGIC = b"RPG1", b"RPG2"
-#: Pieces that can be encoded end to end: one space, then visible ASCII, Latin or Cyrillic letters.
-_PLAIN = re.compile(rb" (?:[!-~]|[\xc3-\xc9\xd0-\xd3][\x80-\xbf])+")
-#: New pieces that are encoded end to end in one string.
+#: Pieces that can be encoded many to a string, by group: one space and ASCII letters or digits; one space and
+#: visible ASCII, Latin or Cyrillic letters; those without the space.
+_PLAIN = re.compile(rb" (?:[A-Za-z]+|[0-9]+)()| (?:[!-~]|[\xc3-\xc9\xd0-\xd3][\x80-\xbf])+()|(?:[!-~]|[\xc3-\xc9\xd0-\xd3][\x80-\xbf])+()")
+#: New pieces that are encoded in one string.
 _JOINED = 64
+#: Kinds of bytes: letters, digits, other visible ASCII characters, apostrophe, space, other white space, first
+#: bytes of the letters above; 0 for all others.
+_LETTER, _DIGIT, _SIGN, _QUOTE, _SPACE, _BREAK, _LEAD = range(1, 8)
 
 
 def symbol_type(base: int) -> str:
@@ -68,13 +74,16 @@ class Encoder:
 
     Byte-level BPE never merges across the cut between a visible character and
     the white space after it, so texts are cut there and the ids of the pieces
-    are joined.  Cuts are found in the UTF-8 bytes of a block of texts and equal
-    pieces of the block are looked up once.  At most two generations of
-    ``_CACHE_WORDS`` pieces (and one block more) are known at a time."""
+    are joined.  A tokenizer that cuts by the byte-level rule alone is also given
+    ASCII letters, digits and signs apart (``_kinds``).  Cuts are found in the UTF-8
+    bytes of a block of texts and equal pieces of the block are looked up once.  At
+    most two generations of ``_CACHE_WORDS`` pieces (and one block more) are known at
+    a time."""
 
     def __init__(self, path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import Metaspace
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path("byte_bpe_50k.json")
@@ -85,44 +94,58 @@ class Encoder:
         # ids whose text begins with a space (byte-level vocabularies write it as U+0120)
         self.opens = np.zeros(self.base, bool)
         self.opens[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.kinds, self.words, self.between = _kinds(json.loads(self.tokenizer.to_str())), None, vocabulary.get("\u010a")
+        if self.kinds is not None:
+            # the same model; cuts before spaces and writes them as U+0120, all that the byte-level rule does to plain words
+            self.words = Tokenizer(self.tokenizer.model)
+            self.words.pre_tokenizer = Metaspace(replacement="\u0120", prepend_scheme="never", split=True)
         # two generations, so pieces still in use stay known
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of new pieces.  Plain words go to the tokenizer many to a string: each begins with a
-        space, where byte-level BPE always cuts, and has no other, so the ids that begin with a
-        space are where the words begin."""
+        """Ids of new pieces.  Plain words go to the tokenizer many to a string.  Those that begin with a
+        space, where byte-level BPE always cuts, and have no other are the ids from one that begins with
+        a space to the next.  Others are parted by line feeds, if the byte-level rule cuts on both sides."""
         out: dict[bytes, bytes] = {}
-        plain = list(filter(_PLAIN.fullmatch, pieces))
-        width = np.dtype(self.kind).itemsize
-        for a in range(0, len(plain), 64 * _JOINED):
-            part = plain[a:a + 64 * _JOINED]
-            raw = b"".join(self._ids([b"".join(part[k:k + _JOINED]) for k in range(0, len(part), _JOINED)]))
-            cut = np.flatnonzero(self.opens[np.frombuffer(raw, self.kind)]) * width
-            if len(cut) == len(part):
-                cut = cut.tolist()
-                out.update(zip(part, [raw[x:y] for x, y in zip(cut, [*cut[1:], len(raw)])]))
-        rest = [p for p in pieces if p not in out]
+        groups: list[list[bytes]] = [[], [], [], []]
+        for p in pieces:
+            form = _PLAIN.fullmatch(p)
+            groups[form.lastindex if form else 0].append(p)
+        _, simple, spaced, bare = groups
+        self._joined(simple, self.words or self.tokenizer, out)
+        self._joined(spaced, self.tokenizer, out)
+        if self.kinds is not None and self.between is not None:
+            self._joined(bare, self.tokenizer, out, b"\n")
+        rest = pieces if not out else [p for p in pieces if p not in out]
         for a in range(0, len(rest), 4096):
-            out.update(zip(rest[a:a + 4096], self._ids(rest[a:a + 4096])))
+            out.update(zip(rest[a:a + 4096], self._ids(rest[a:a + 4096], self.tokenizer)))
         return out
 
-    def _ids(self, texts: list[bytes]) -> list[bytes]:
+    def _joined(self, words: list[bytes], tokenizer, out: dict[bytes, bytes], glue: bytes = b"") -> None:
+        width = np.dtype(self.kind).itemsize
+        for a in range(0, len(words), 64 * _JOINED):
+            part = words[a:a + 64 * _JOINED]
+            raw = b"".join(self._ids([glue + glue.join(part[k:k + _JOINED]) for k in range(0, len(part), _JOINED)], tokenizer))
+            ids = np.frombuffer(raw, self.kind)
+            cut = np.flatnonzero(ids == self.between if glue else self.opens[ids]) * width
+            if len(cut) == len(part):
+                begin = (cut + width * len(glue)).tolist()
+                out.update(zip(part, [raw[x:y] for x, y in zip(begin, [*cut[1:].tolist(), len(raw)])]))
+
+    def _ids(self, texts: list[bytes], tokenizer) -> list[bytes]:
         code = "H" if self.kind == "<u2" else "I"
-        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+        return [array(code, e.ids).tobytes() for e in tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
     def _lookup(self, pieces: list[bytes]) -> list[bytes]:
         if len(self.known) > _CACHE_WORDS:
             self.older, self.known = self.known, {}
         found = list(map(self.known.get, pieces))
         names = [p for p, x in zip(pieces, found) if x is None]
-        held = list(map(self.older.get, names))
-        learnt = self._learn([p for p, x in zip(names, held) if x is None])
-        held = [x or learnt[p] for p, x in zip(names, held)]
-        self.known.update(zip(names, held))
-        rest = iter(held)
-        return [x or next(rest) for x in found]
+        fresh = {p: x for p, x in zip(names, map(self.older.get, names)) if x is not None}
+        fresh.update(self._learn([p for p in names if p not in fresh]))
+        self.known.update(fresh)
+        return [x or fresh[p] for p, x in zip(pieces, found)]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text with ``END_ID`` appended (null: only that)."""
@@ -137,12 +160,16 @@ class Encoder:
     def _block(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         first = np.zeros(len(data) + 1, bool)
         first[offsets] = True
+        if self.kinds is not None:
+            _part(data, first, self.kinds)
         first[_cuts(data)] = True
         starts = np.flatnonzero(first[:-1])
         edges = np.append(starts, len(data)).astype(np.int64)
         pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
         coded = pieces.dictionary_encode()
-        found = [*self._lookup(coded.dictionary.to_pylist()), np.array([END_ID], self.kind).tobytes()]
+        held, edges = text_buffers(coded.dictionary)
+        held, edges = held.tobytes(), edges.tolist()
+        found = [*self._lookup([held[x:y] for x, y in zip(edges, edges[1:])]), np.array([END_ID], self.kind).tobytes()]
         ids = np.frombuffer(b"".join(found), self.kind)
         # a text has fewer than 2^31 bytes, and no more ids than that
         sizes = np.fromiter(map(len, found), np.int32, len(found)) // np.int32(ids.itemsize)
@@ -180,6 +207,50 @@ def _cuts(data: np.ndarray) -> np.ndarray:
     return at[seen]
 
 
+def _kinds(spec: dict) -> np.ndarray | None:
+    """Kind of each byte for ``_part``, if the tokenizer cuts texts by the byte-level rule and nothing else; otherwise None.
+
+    Bytes of added tokens, which are looked for before that rule, have no kind, except letters;
+    added tokens that a plain word may hold or begin with, or that hold white space, rule this out."""
+    rule, added = spec["pre_tokenizer"] or {}, spec["added_tokens"]
+    if (spec["normalizer"] or rule.get("type") != "ByteLevel" or not rule["use_regex"] or rule["add_prefix_space"]
+            or any(t["lstrip"] or t["rstrip"] or t["single_word"] or not re.match(r"[!-/:-@\[-`{-~]", t["content"]) or re.search(r"\s", t["content"])
+                   for t in added)):
+        return None
+    kinds = np.zeros(256, np.uint8)
+    kinds[0x21:0x7F] = _SIGN
+    kinds[0xC3:0xCA] = kinds[0xD0:0xD4] = _LEAD
+    for chars, kind in ((string.ascii_letters, _LETTER), (string.digits, _DIGIT), ("'", _QUOTE), (" ", _SPACE), ("\t\n\r", _BREAK)):
+        kinds[list(chars.encode())] = kind
+    bound = list("".join(t["content"] for t in added).encode())
+    kinds[bound] = np.where(kinds[bound] == _LETTER, _LETTER, 0)
+    return kinds
+
+
+def _part(data: np.ndarray, first: np.ndarray, kinds: np.ndarray) -> None:
+    """Adds to ``first`` (starts of texts) where the byte-level rule cuts between ASCII bytes that have a kind.
+
+    It takes letters, digits and signs apart; an apostrophe may go with the letters after it, and
+    a space with the one kind after it.  Of white space before a visible character the last
+    character is cut off from those before it, and unless it is a space from that character too."""
+    kind = kinds[data]
+    pair = kind[:-1] * np.uint8(8) + kind[1:]
+    led = _LED[pair] & ~first[1:-1]  # white space that ends a text leads nothing
+    first[1:-1] |= _APART[pair]
+    first[:-2] |= led
+
+
+def _pairs(*pairs: tuple[int, int]) -> np.ndarray:
+    out = np.zeros(64, bool)
+    out[[8 * a + b for a, b in pairs]] = True
+    return out
+
+
+_APART = _pairs(*((_LETTER, b) for b in (_DIGIT, _SIGN, _QUOTE)), *((_DIGIT, b) for b in (_LETTER, _SIGN, _QUOTE)),
+                (_SIGN, _LETTER), (_SIGN, _DIGIT), (_QUOTE, _DIGIT), *((_BREAK, b) for b in (_LETTER, _DIGIT, _SIGN, _QUOTE, _LEAD)))
+_LED = _pairs(*((a, b) for a in (_SPACE, _BREAK) for b in (_LETTER, _DIGIT, _SIGN, _QUOTE, _LEAD)))
+
+
 def repair(ids: np.ndarray, lengths: np.ndarray, base: int, least: int = LEAST_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, first symbol of each document (and the end), rules (left, right); rule k is symbol base + k."""
     seq = ids.astype(np.uint32)
@@ -187,10 +258,14 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int, least: int = LEAST_P
     last[np.cumsum(lengths) - 1] = True
     rules = np.zeros((0, 2), np.uint32)
     limit = np.iinfo(symbol_type(base)).max + 1
+    # a pair is one number: two 16-bit symbols in 32 bits, wider ones in 64
+    wide, bits, odd = (np.uint32, 16, 0x9E3779B1) if limit <= _NARROW else (np.uint64, 32, 0x9E3779B97F4A7C15)
     places = np.flatnonzero(~last[:-1])  # where a frequent pair may begin
     while limit > base + len(rules) and len(places):  # every round makes the sequence shorter
-        code = (seq[places].astype(np.uint64) << np.uint64(32)) | seq[places + 1]
-        slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _PAIR_BITS)).astype(np.int32)
+        code = seq[places].astype(wide)
+        code <<= wide(bits)
+        code |= seq[places + 1]
+        slot = ((code * wide(odd)) >> wide(2 * bits - _PAIR_BITS)).astype(np.int64)
         often = np.bincount(slot, minlength=1 << _PAIR_BITS) >= least
         held = np.flatnonzero(often[slot])
         if not len(held):
@@ -203,19 +278,23 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int, least: int = LEAST_P
         if not len(chosen):
             break
         chosen = chosen[np.argsort(-count[chosen], kind="stable")][:limit - base - len(rules)]
-        number = np.full(len(pairs), -1, np.int64)
-        number[chosen] = np.arange(len(chosen))
-        at, which = at[number[which] >= 0], number[which][number[which] >= 0]
+        number = np.full(len(pairs), -1, np.int32)
+        number[chosen] = np.arange(len(chosen), dtype=np.int32)
+        which = number[which]
+        ours = which >= 0
+        at, which = at[ours], which[ours]
         # of occurrences that overlap, every other one from the left
-        run = np.cumsum(np.concatenate(([True], at[1:] != at[:-1] + 1))) - 1
-        begin = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1] + 1)))
-        take = (np.arange(len(at)) - begin[run]) % 2 == 0
+        step = np.arange(len(at), dtype=np.int32)
+        begin = step.copy()
+        begin[1:] *= at[1:] != at[:-1] + 1
+        np.maximum.accumulate(begin, out=begin)
+        take = (step - begin) & 1 == 0
         at, which = at[take], which[take]
-        used, new = np.unique(which, return_inverse=True)
+        used = np.bincount(which, minlength=len(chosen)) > 0
         picked = pairs[chosen[used]]
-        seq[at] = (base + len(rules) + new).astype(np.uint32)
+        seq[at] = (np.cumsum(used, dtype=np.uint32) + np.uint32(base + len(rules) - 1))[which]
         last[at] = last[at + 1]
-        rules = np.concatenate([rules, np.stack([picked >> np.uint64(32), picked & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)])
+        rules = np.concatenate([rules, np.stack([picked >> wide(bits), picked & wide((1 << bits) - 1)], axis=1).astype(np.uint32)])
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq, last = seq[keep], last[keep]

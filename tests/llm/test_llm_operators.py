@@ -504,6 +504,75 @@ def test_joined_words_equal_tokenizer():
     assert all(g.tolist() == plain.encode(t, add_special_tokens=False).ids + [tokens.END_ID] for g, t in zip(got, texts))
 
 
+def test_signs_and_words_are_learnt_apart(monkeypatch):
+    """A word is one piece whatever signs, digits or line feeds stand beside it, so the tokenizer runs for it once."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    plain, own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), tokens.Encoder()
+    learnt, learn = [], own._learn
+    monkeypatch.setattr(own, "_learn", lambda pieces: learnt.extend(pieces) or learn(pieces))
+    names, signs = [f"{a}{b}" for a in ("ant", "onth", "tion") for b in ("ble", "er", "ish", "eng")], [".", ",", ")", "!", "7", ";", ":", "?"]
+    texts = [f" {w}{x}\n{w}{x}\n\n {w}{x}" for w in names[:9] for x in signs] + [f"{x}\n{w}" for w in names for x in signs]
+    got = own.encode(texts)
+    assert all(g.tolist() == plain.encode(t, add_special_tokens=False).ids + [tokens.END_ID] for g, t in zip(got, texts))
+    assert len(learnt) == len(set(learnt)) <= 2 * len(names) + len(signs) + 4
+
+
+def test_cuts_between_kinds_equal_tokenizer():
+    """Every pair and many runs of kinds, beside added tokens, characters of several bytes and ends of texts."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    plain, own, rnd = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), tokens.Encoder(), random.Random(21)
+    parts = ["a", "the", "T", "'", "'s", "'ll", "1", "23", "!", ".", "(", "-", "_", "<|endoftext|>", "endoftext", "<", "|", ">", "\u00e4", "\u00d7", "\u0436", "\u4e2d",
+             "\u00a0", "\u2003", "\u0120", "\x85", "\x1c", "\x0b", "\x7f", "\0", "\u0301", "\u00b2", "\u0663", "\u2019", " ", " ", " ", "\n", "\n", "\t", "\r"]
+    texts = [a + b + c for a in parts for b in parts for c in ("", "a", " ", "\n")] + ["".join(rnd.choices(parts, k=rnd.randrange(12))) for _ in range(6000)]
+    got = own.encode(texts)
+    assert all(g.tolist() == plain.encode(t, add_special_tokens=False).ids + [tokens.END_ID] for g, t in zip(got, texts))
+
+
+@pytest.mark.parametrize("added", [["the"], ["12"], ["a.b"], ["-x1-"], ["~", "-x"]])
+def test_added_tokens_are_found_whole(tmp_path, added):
+    import public_tokenizers
+    from tokenizers import AddedToken, Tokenizer
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    plain.add_special_tokens([AddedToken(t, normalized=False) for t in added])
+    plain.save(str(tmp_path / "tokenizer.json"))
+    own, rnd = tokens.Encoder(str(tmp_path / "tokenizer.json")), random.Random(3)
+    texts = ["".join(rnd.choices(["the", "a.b", "a", ".", "b", "12", "-x1-", "-", "x1", "~", " ", "\n", "m"], k=9)) for _ in range(800)]
+    assert all(g.tolist() == plain.encode(t, add_special_tokens=False).ids + [tokens.END_ID] for g, t in zip(own.encode(texts), texts))
+
+
+def test_grammar_equals_plain_loop():
+    """Symbols and rules against a loop over lists, with pairs that overlap and documents that end in them."""
+    rnd = np.random.default_rng(8)
+    for base, symbols in ((1000, 4), (1000, 2), (70_000, 3)):
+        docs = [rnd.integers(0, symbols, rnd.integers(1, 40)).tolist() for _ in range(30)]
+        want, rules = [list(d) for d in docs], []
+        while True:
+            count = collections.Counter(p for d in want for p in zip(d, d[1:]))
+            frequent = [p for p, n in count.most_common() if n >= 9]
+            if not frequent:
+                break
+            used = {}
+            for k, d in enumerate(want):
+                out = []
+                while d:
+                    pair = tuple(d[:2])
+                    # of neighbours that can both be replaced, the left one is
+                    hit = pair in frequent
+                    if hit:
+                        used.setdefault(pair, None)
+                    out.append(pair if hit else d[0])
+                    d = d[2 if hit else 1:]
+                want[k] = out
+            number = {p: base + len(rules) + i for i, p in enumerate(p for p in frequent if p in used)}
+            rules += list(number)
+            want = [[number.get(x, x) if isinstance(x, tuple) else x for x in d] for d in want]
+        seq, firsts, got = tokens.repair(np.concatenate(docs).astype("<u4"), np.array([len(d) for d in docs]), base, 9)
+        assert [seq[a:b].tolist() for a, b in zip(firsts, firsts[1:])] == want
+        assert list(map(tuple, got.tolist())) == rules
+
+
 def test_offsets_over_many_parts(spark, monkeypatch):
     monkeypatch.setattr(tokens, "TASK_BYTES", 40)
     monkeypatch.setattr(tokens, "PART_GROUP", 3)
